@@ -119,9 +119,10 @@ def lookup_key(
     null_safe: bool = False,
     spread_by: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate key of the matching dimension row, or null."""
-    return lookup(fact, dim, on, [key], "left", null_safe, spread_by, rows_per_task)
+    return lookup(fact, dim, on, [key], "left", null_safe, spread_by, rows_per_task, hot)
 
 
 def mark_matches(

@@ -67,8 +67,8 @@ def union_periods(parts: Sequence[DataFrame]) -> DataFrame:
 def union_ranked(parts: Sequence[DataFrame], order: str = ROW_ORD) -> DataFrame:
     """Union same-shaped sources; every row of an earlier source sorts before a later one's.
 
-    Source rank and ordinal share one long, which keeps keep-first aggregation on
-    fixed-width buffers.
+    Source rank and ordinal (at most 56 bits) share one long, which keeps keep-first
+    aggregation on fixed-width buffers.
     """
     ranked = [
         p.withColumn(order, F.lit(i << _SOURCE_SHIFT).cast("long") + named(order))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,7 @@ from tenderlake import contracts as C
 from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
 from tenderlake.operators.aggregates import attribute_drift
-from tenderlake.operators.joins import ROWS_PER_TASK, lookup, lookup_key, orphan_count
+from tenderlake.operators.joins import ROWS_PER_TASK, hot_keys, lookup, lookup_key, orphan_count
 from tenderlake.operators.keys import (
     assign_dense_key,
     distinct_values,
@@ -146,6 +147,15 @@ def tender_context(
     ).drop("_data")
 
 
+def _spreader(source: DataFrame, rows_per_task: int):
+    """Spread arguments for a lookup; keys are counted on the source, not on join results."""
+
+    def spread(keys: Sequence[str]) -> dict:
+        return {"spread_by": C.ROW_ORD, "hot": hot_keys(source, keys, rows_per_task)}
+
+    return spread
+
+
 def build_fact_item(
     items: DataFrame,
     tenders: DataFrame,
@@ -168,21 +178,22 @@ def build_fact_item(
         named("Valor Item").alias("valor_item"),
         C.ROW_ORD,
     )
-    spread = {"spread_by": C.ROW_ORD, "rows_per_task": rows_per_task}
+    spread = _spreader(slim, rows_per_task)
     fact = lookup(
         slim, context, [(k, k) for k in context_key], ["sk_tempo", "sk_orgao"], "inner",
-        null_safe=True, **spread,
+        null_safe=True, **spread(context_key),
     )
     fact = lookup_key(
-        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao", null_safe=True, **spread
+        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
+        null_safe=True, **spread(C.TENDER_KEY),
     )
     fact = lookup_key(
         fact, dims["dim_fornecedor"], [("Código Vencedor", "codigo_fornecedor")],
-        "sk_fornecedor", **spread,
+        "sk_fornecedor", **spread(["Código Vencedor"]),
     )
     fact = lookup_key(
         fact, dims["dim_produto"], [("Descrição", "descricao_item")], "sk_produto",
-        null_safe=True, **spread,
+        null_safe=True, **spread(["Descrição"]),
     )
     price = X.unit_price(F.col("valor_item"), F.col("quantidade_item"))
     named_fact = fact.withColumn("valor_unitario_item", price).select(
@@ -202,17 +213,18 @@ def build_fact_bid(
         "flag_vencedor",
         C.ROW_ORD,
     )
-    spread = {"spread_by": C.ROW_ORD, "rows_per_task": rows_per_task}
+    spread = _spreader(slim, rows_per_task)
     fact = lookup_key(
         slim, dims["dim_fornecedor"], [("Código Participante", "codigo_fornecedor")],
-        "sk_fornecedor", **spread,
+        "sk_fornecedor", **spread(["Código Participante"]),
     )
     fact = lookup_key(
         fact, dims["dim_produto"], [("Descrição Item Compra", "descricao_item")], "sk_produto",
-        null_safe=True, **spread,
+        null_safe=True, **spread(["Descrição Item Compra"]),
     )
     fact = lookup_key(
-        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao", null_safe=True, **spread
+        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
+        null_safe=True, **spread(C.TENDER_KEY),
     )
     return fact.select(C.ROW_ORD, "sk_licitacao", "sk_produto", "sk_fornecedor", "flag_vencedor")
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named, null_tokens
-from tenderlake.operators.keys import latest_by_key
+from tenderlake.operators.keys import latest_by_key, union_periods
 from tenderlake.session import delete_path, path_exists
 
 FILE, BLOCK, LINE_ID = "_arquivo", "_bloco", "_id_linha"
@@ -64,6 +63,7 @@ def recognise(files: DataFrame, specs: Sequence[C.DatasetSpec] = C.DATASETS) ->
         [(s.source, s.logical, list(s.required)) for s in specs],
         "fonte string, dataset string, obrigatorias array<string>",
     )
+    files = files.withColumn("path", _plain_path(F.col("path")))
     read = files.withColumn("nome", file_name(F.col("path")))
     read = read.withColumns(
         {"_casa": F.col("nome").rlike(C.FILE_NAME_PATTERN)}
@@ -217,30 +217,41 @@ def read_landing_csv(
     return rows.select(*columns)
 
 
-def fingerprint_files(
-    spark: SparkSession, folder: str, names: str = "*.csv", limit: int = HASH_LIMIT
-) -> DataFrame:
-    """Content fingerprint per file.
+def fingerprint_paths(spark: SparkSession, files: DataFrame, limit: int = HASH_LIMIT) -> DataFrame:
+    """Content fingerprint of listed files.
 
     SHA-256 of the bytes for files up to ``limit``. SHA-256 cannot be computed in parts, so
     larger files get a digest of their lines instead, summed by tasks over splits.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).load(folder)
-    small = files.filter(F.col("length") <= limit).select(
-        _plain_path(F.col("path")).alias("path"), F.sha2("content", 256).alias("sha256")
-    )
-    large = [r.path for r in listing(spark, folder, names).filter(F.col("bytes") > limit).collect()]
-    if not large:
-        return small
-    line = F.sha2(F.col("value").cast("binary"), 256)
-    word = F.conv(F.substring(line, 1, 15), 16, 10).cast("decimal(38,0)")
-    digests = (
-        spark.read.text(large)
-        .groupBy(source_path().alias("path"))
-        .agg(F.sum(word).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    )
-    tagged = F.concat_ws(":", F.lit("linhas"), F.col("_n").cast("string"), F.col("_s").cast("string"))
-    return small.unionByName(digests.select("path", tagged.alias("sha256")))
+    listed = files.select(_plain_path(F.col("path")).alias("path"), "bytes").collect()
+    small = [f.path for f in listed if 0 < f.bytes <= limit]
+    large = [f.path for f in listed if f.bytes > limit]
+    nothing = F.sha2(F.lit(b""), 256)
+    out = spark.createDataFrame([(f.path,) for f in listed if f.bytes == 0], "path string")
+    out = out.withColumn("sha256", nothing)
+    if small:
+        whole = spark.read.format("binaryFile").load(small)
+        out = out.unionByName(
+            whole.select(_plain_path(F.col("path")).alias("path"), F.sha2("content", 256).alias("sha256"))
+        )
+    if large:
+        line = F.sha2(F.col("value").cast("binary"), 256)
+        word = F.conv(F.substring(line, 1, 15), 16, 10).cast("decimal(38,0)")
+        digests = (
+            spark.read.text(large)
+            .groupBy(source_path().alias("path"))
+            .agg(F.sum(word).cast("string").alias("s"), F.count(F.lit(1)).cast("string").alias("n"))
+        )
+        tagged = F.concat_ws(":", F.lit("linhas"), "n", "s")
+        out = out.unionByName(digests.select("path", tagged.alias("sha256")))
+    return out
+
+
+def fingerprint_files(
+    spark: SparkSession, folder: str, names: str = "*.csv", limit: int = HASH_LIMIT
+) -> DataFrame:
+    """Content fingerprint per file of a folder."""
+    return fingerprint_paths(spark, listing(spark, folder, names), limit)
 
 
 def ingest_outcome(files: DataFrame) -> DataFrame:
@@ -316,7 +327,7 @@ def promote(outcomes: DataFrame, bronze_root: str) -> None:
         ]
         if not parts:
             continue
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        rows = union_periods(parts)
         name = file_name(F.col(FILE))
         (
             rows.withColumns(
