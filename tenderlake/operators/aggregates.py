@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.functions.columns import named, zscore
-from tenderlake.operators.joins import ROWS_PER_TASK, lookup, parts_for
+from tenderlake.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, lookup, parts_for
 
 
 def sum_count_by(
@@ -34,14 +34,19 @@ def sum_count_by_attributes(
 ) -> DataFrame:
     """Sum a fact by dimension attributes, joining after a first sum by surrogate key.
 
-    The fact is reduced to one row per surrogate key before any join, so the joins move
-    dimension-sized data and a hot key weighs no more than any other.
+    The fact is reduced to one row per combination of surrogate keys before any join. With
+    one key the joins move dimension-sized data and a hot key weighs no more than any other;
+    with several, a key that is still hot is spread.
     """
     sks = [sk for _, sk in lookups]
     reduced = fact.groupBy(*sks).agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    several = len(sks) > 1
+    if several:
+        reduced = reduced.withColumn("_id", F.xxhash64(*sks))
     for dim, sk in lookups:
-        wanted = [sk, *[k for k in keys if k in dim.columns]]
-        reduced = reduced.join(dim.select(*wanted), sk)
+        wanted = [k for k in keys if k in dim.columns]
+        spread = {"spread_by": "_id"} if several else {}
+        reduced = lookup(reduced, dim, [(sk, sk)], wanted, "inner", **spread)
     measures = [F.sum("_v").alias(total)]
     if count:
         measures.append(F.sum("_n").alias(count))
@@ -81,13 +86,15 @@ def flag_outliers(
     sigmas: float = 2,
     min_count: int = 5,
     rows_per_task: int = ROWS_PER_TASK,
+    groups: int | None = None,
 ) -> DataFrame:
     """Rows whose value lies more than ``sigmas`` deviations above their group's mean.
 
     Group statistics are partially aggregated. Groups whose maximum stays below the
     threshold never reach the join. A group too large for one task is dealt to several,
     using the count the statistics already hold; every use of the statistics asks for the
-    same columns, so Spark computes them once.
+    same columns, so Spark computes them once. Where ``groups``, an upper bound on the number
+    of groups, allows it, the statistics are broadcast and the rows are not shuffled at all.
     """
     known = df.filter(named(value).isNotNull() & named(group).isNotNull())
     stats = group_stats(known, [group], value, min_count)
@@ -103,6 +110,7 @@ def flag_outliers(
         spread_by=row_id,
         hot=stats.filter(size > rows_per_task).select(named(group), parts.alias("_partes")),
         parts=parts,
+        dim_rows=BROADCAST_ROWS + 1 if groups is None else groups,
         residual=lambda rows, side: above_threshold(
             rows[f"`{value}`"], side["_v_media"], side["_v_desvio_padrao"], sigmas
         ),

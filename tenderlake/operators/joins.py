@@ -1,8 +1,9 @@
 """Lookups from large tables into dimensions, safe against hot keys.
 
-No join side is broadcast by hint because it "should be small": Spark broadcasts a side
-on its own after checking the size. The only hinted side is the list of hot keys, whose
-row count cannot exceed (rows of the large side) / (rows per task).
+A dimension is broadcast only after its rows have been counted. Beyond the limit the join
+is shuffled, and keys with too many rows for one task are dealt to several. The list of
+such keys is the only side broadcast uncounted: it cannot hold more than
+(rows of the large side) / (rows per task) entries.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from tenderlake.functions.columns import named
 
 ROWS_PER_TASK = 5_000_000
+BROADCAST_ROWS = 500_000
 
 _SHARES, _SHARE = "_partes", "_parte"
 
@@ -64,12 +66,16 @@ def lookup(
     hot: DataFrame | None = None,
     parts: Column | None = None,
     residual=None,
+    dim_rows: int | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join ``fact`` to a dimension unique on its key and add the columns ``take``.
 
-    ``on`` pairs fact columns with dimension columns. With ``spread_by`` (a column that
-    differs from row to row) the rows of a hot key are dealt to several tasks by hash and
-    the matching dimension row is repeated for each of them; other keys are untouched.
+    ``on`` pairs fact columns with dimension columns. A dimension of at most
+    ``broadcast_rows`` rows is broadcast; ``dim_rows`` saves the counting where a bound is
+    known. Beyond that, with ``spread_by`` (a column that differs from row to row), the rows
+    of a hot key are dealt to several tasks by hash and the matching dimension row is
+    repeated for each of them; other keys are untouched.
     ``hot`` and ``parts`` (the number of repeats as an expression over ``dim``) replace
     the counting pass where counts are known; zero parts in ``hot`` says that the key has
     no partner, and an inner join drops its rows before the shuffle. ``residual`` builds
@@ -84,6 +90,10 @@ def lookup(
     )
     pairs = [(a, f"_k{i}") for i, (a, _) in enumerate(on)]
     kept = fact.columns
+    if dim_rows is None:
+        dim_rows = dim.count()
+    if dim_rows <= broadcast_rows:
+        side, spread_by = F.broadcast(side), None
     if spread_by:
         if hot is None:
             hot = hot_keys(fact, fact_keys, rows_per_task)
@@ -120,9 +130,12 @@ def lookup_key(
     spread_by: str | None = None,
     rows_per_task: int = ROWS_PER_TASK,
     hot: DataFrame | None = None,
+    **sizes: int,
 ) -> DataFrame:
     """Add the surrogate key of the matching dimension row, or null."""
-    return lookup(fact, dim, on, [key], "left", null_safe, spread_by, rows_per_task, hot)
+    return lookup(
+        fact, dim, on, [key], "left", null_safe, spread_by, rows_per_task, hot, **sizes
+    )
 
 
 def mark_matches(
@@ -132,10 +145,12 @@ def mark_matches(
     take: Sequence[str] = (),
     spread_by: str | None = None,
     marker: str = "_encontrado",
+    **sizes: int,
 ) -> DataFrame:
     """Left join that also tells whether the row found a partner."""
     found = right.withColumn(marker, F.lit(True))
-    joined = lookup(left, found, [(k, k) for k in keys], [*take, marker], spread_by=spread_by)
+    on = [(k, k) for k in keys]
+    joined = lookup(left, found, on, [*take, marker], spread_by=spread_by, **sizes)
     return joined.withColumn(marker, F.coalesce(F.col(marker), F.lit(False)))
 
 
@@ -159,8 +174,9 @@ def inner_with_orphans(
     keys: Sequence[str],
     take: Sequence[str] = (),
     spread_by: str | None = None,
+    **sizes: int,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ``left`` with a partner, and the number of those without one."""
-    marked = mark_matches(left, right, keys, take, spread_by)
+    marked = mark_matches(left, right, keys, take, spread_by, **sizes)
     matched = marked.filter("_encontrado").drop("_encontrado")
     return matched, orphan_count(left, right, keys)

@@ -12,13 +12,21 @@ from tenderlake import contracts as C
 from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
 from tenderlake.operators.aggregates import attribute_drift
-from tenderlake.operators.joins import ROWS_PER_TASK, hot_keys, lookup, lookup_key, orphan_count
+from tenderlake.operators.joins import (
+    BROADCAST_ROWS,
+    ROWS_PER_TASK,
+    hot_keys,
+    lookup,
+    lookup_key,
+    orphan_count,
+)
 from tenderlake.operators.keys import (
     assign_dense_key,
     distinct_values,
     first_by_key,
     union_ranked,
 )
+from tenderlake.session import staged
 
 _UNIT = {
     "Código UG": "codigo_ug",
@@ -136,22 +144,21 @@ def tender_context(
     tenders: DataFrame, dim_tempo: DataFrame, dim_orgao: DataFrame, date_key: int = 2
 ) -> DataFrame:
     """Date and unit keys per tender, resolved here once instead of once per item."""
-    keys = list(C.TENDER_KEY[:date_key])
-    rows = tenders.select(
-        *[named(k) for k in keys], named("Data Resultado Compra").alias("_data"), C.ROW_ORD
-    )
-    first = first_by_key(rows, keys, C.ROW_ORD).drop(C.ROW_ORD)
+    keys = [named(k) for k in C.TENDER_KEY[:date_key]]
+    decided = F.min_by(named("Data Resultado Compra"), C.ROW_ORD).alias("_data")
+    first = tenders.groupBy(*keys).agg(decided)
     dated = lookup_key(first, dim_tempo, [("_data", "data")], "sk_tempo")
     return lookup_key(
         dated, dim_orgao, [("Código UG", "codigo_ug")], "sk_orgao", null_safe=True
     ).drop("_data")
 
 
-def _spreader(source: DataFrame, rows_per_task: int):
+def _spreader(source: DataFrame, rows_per_task: int, broadcast_rows: int):
     """Spread arguments for a lookup; keys are counted on the source, not on join results."""
 
     def spread(keys: Sequence[str]) -> dict:
-        return {"spread_by": C.ROW_ORD, "hot": hot_keys(source, keys, rows_per_task)}
+        hot = hot_keys(source, keys, rows_per_task)
+        return {"spread_by": C.ROW_ORD, "hot": hot, "broadcast_rows": broadcast_rows}
 
     return spread
 
@@ -162,13 +169,14 @@ def build_fact_item(
     dims: dict[str, DataFrame],
     date_key: int = 2,
     rows_per_task: int = ROWS_PER_TASK,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Won items with their five keys, and the number of items without a tender.
 
     The date follows the first tender of (number, unit), as in the published star;
     ``date_key=3`` uses the full tender key instead.
     """
-    context = tender_context(tenders, dims["dim_tempo"], dims["dim_orgao"], date_key)
+    context = staged(tender_context(tenders, dims["dim_tempo"], dims["dim_orgao"], date_key))
     context_key = list(C.TENDER_KEY[:date_key])
     slim = items.select(
         *[named(k) for k in C.TENDER_KEY],
@@ -178,7 +186,7 @@ def build_fact_item(
         named("Valor Item").alias("valor_item"),
         C.ROW_ORD,
     )
-    spread = _spreader(slim, rows_per_task)
+    spread = _spreader(slim, rows_per_task, broadcast_rows)
     fact = lookup(
         slim, context, [(k, k) for k in context_key], ["sk_tempo", "sk_orgao"], "inner",
         null_safe=True, **spread(context_key),
@@ -203,7 +211,10 @@ def build_fact_item(
 
 
 def build_fact_bid(
-    participants: DataFrame, dims: dict[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
+    participants: DataFrame,
+    dims: dict[str, DataFrame],
+    rows_per_task: int = ROWS_PER_TASK,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Bids with tender, product and supplier keys; unresolved keys stay null."""
     slim = participants.select(
@@ -213,7 +224,7 @@ def build_fact_bid(
         "flag_vencedor",
         C.ROW_ORD,
     )
-    spread = _spreader(slim, rows_per_task)
+    spread = _spreader(slim, rows_per_task, broadcast_rows)
     fact = lookup_key(
         slim, dims["dim_fornecedor"], [("Código Participante", "codigo_fornecedor")],
         "sk_fornecedor", **spread(["Código Participante"]),
@@ -232,13 +243,15 @@ def build_fact_bid(
 def build_dimensions(
     tenders: DataFrame, items: DataFrame, participants: DataFrame
 ) -> dict[str, DataFrame]:
-    return {
+    """The five dimensions, written, so that fact lookups know their sizes."""
+    dims = {
         "dim_tempo": build_dim_date(tenders),
         "dim_orgao": build_dim_unit(tenders)[0],
         "dim_fornecedor": build_dim_supplier(items, participants),
         "dim_produto": build_dim_product(items, participants),
         "dim_licitacao": build_dim_tender(tenders),
     }
+    return {name: staged(dim) for name, dim in dims.items()}
 
 
 def build_star(tenders: DataFrame, items: DataFrame, participants: DataFrame) -> Star:

@@ -88,7 +88,7 @@ def price_stats(star: Star, min_count: int = 5, k: int = 20) -> DataFrame:
     squares = F.sum(F.col("n") * (F.col("v") + F.pow(own_mean - mean, F.lit(2.0))))
     merged = lookup(
         moments, whole, [("descricao_item",) * 2], ["quantidade_ocorrencias", "soma"], "inner",
-        null_safe=True,
+        null_safe=True, dim_rows=star.dim_produto.count(),
     ).groupBy("descricao_item", "quantidade_ocorrencias", "soma").agg(squares.alias("q"))
     size = F.col("quantidade_ocorrencias")
     stats = merged.select(
@@ -119,7 +119,8 @@ def price_outliers(star: Star, sigmas: float = 2, min_count: int = 5) -> DataFra
         "valor_unitario_item",
     )
     return flag_outliers(
-        fact, "sk_produto", "valor_unitario_item", "sk_fato_item", sigmas, min_count
+        fact, "sk_produto", "valor_unitario_item", "sk_fato_item", sigmas, min_count,
+        groups=star.dim_produto.count(),
     ).withColumnRenamed("media", "preco_medio_produto")
 
 

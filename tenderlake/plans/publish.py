@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +91,11 @@ def read_version(spark: SparkSession, root: str, version: str | None = None) ->
 
 
 def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    return {name: df.count() for name, df in tables.items()}
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("tabela"), "n")
+        for name, df in tables.items()
+    ]
+    return {r.tabela: r.n for r in reduce(DataFrame.unionByName, counts).collect()}
 
 
 def publish_if_clean(
