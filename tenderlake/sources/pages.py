@@ -16,18 +16,10 @@ ENVELOPE = "data array<string>, totalRegistros long, totalPaginas long"
 ARRAY_PAGE_SIZE = 15
 
 
-def read_pages(spark: SparkSession, folder: str, layout: str) -> DataFrame:
-    """One row per page: origin code, page number, declared totals and its raw records.
-
-    A page is one document of bounded size, so it is read whole; pages spread over tasks.
-    """
+def parse_pages(documents: DataFrame, layout: str) -> DataFrame:
+    """Documents (``arquivo``, ``value``) to one row per page: origin code, page number,
+    declared totals and raw records. Files with other names are left out."""
     pattern = LAYOUTS[layout]
-    pages = (
-        spark.read.option("pathGlobFilter", "*.json")
-        .text(folder, wholetext=True)
-        .select(file_name(source_path()).alias("arquivo"), "value")
-        .filter(F.col("arquivo").rlike(pattern))
-    )
     numbered = [
         F.regexp_extract("arquivo", pattern, i).cast("long").alias(n)
         for i, n in ((1, "origem"), (2, "pagina"))
@@ -38,7 +30,7 @@ def read_pages(spark: SparkSession, folder: str, layout: str) -> DataFrame:
     else:
         records = F.from_json("value", "array<string>")
         total = last = F.lit(None).cast("long")
-    return pages.select(
+    return documents.filter(F.col("arquivo").rlike(pattern)).select(
         *numbered,
         F.coalesce(records, F.array().cast("array<string>")).alias("registros"),
         total.alias("total_registros"),
@@ -46,18 +38,26 @@ def read_pages(spark: SparkSession, folder: str, layout: str) -> DataFrame:
     )
 
 
-def read_page_dumps(
-    spark: SparkSession, folder: str, layout: str, schema: str | None = None
-) -> DataFrame:
+def read_pages(spark: SparkSession, folder: str, layout: str) -> DataFrame:
+    """Pages of a dump folder. A page has a bounded size and is read whole; pages spread over tasks."""
+    files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+    return parse_pages(files.select(file_name(source_path()).alias("arquivo"), "value"), layout)
+
+
+def page_records(pages: DataFrame, schema: str | None = None) -> DataFrame:
     """One row per record, as JSON text in ``registro`` or, given a schema, as columns."""
-    rows = read_pages(spark, folder, layout).select(
-        "origem", "pagina", F.posexplode("registros").alias("posicao", "registro")
-    )
+    place = ("origem", "pagina", "posicao")
+    rows = pages.select("origem", "pagina", F.posexplode("registros").alias("posicao", "registro"))
     if schema is None:
         return rows
-    return rows.select("origem", "pagina", "posicao", F.from_json("registro", schema).alias("r")).select(
-        "origem", "pagina", "posicao", "r.*"
-    )
+    return rows.select(*place, F.from_json("registro", schema).alias("r")).select(*place, "r.*")
+
+
+def read_page_dumps(
+    spark: SparkSession, folder: str, layout: str, schema: str | None = None
+) -> DataFrame:
+    """Records of every page in a dump folder."""
+    return page_records(read_pages(spark, folder, layout), schema)
 
 
 def page_counts(pages: DataFrame) -> DataFrame:

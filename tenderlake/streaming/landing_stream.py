@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tenderlake.contracts import DATASETS, DatasetSpec
 from tenderlake.sources.landing import fingerprint_paths, ingest_files, recognise
 
+# The fixed columns of Spark's binaryFile source.
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def land_continuously(
     spark: SparkSession,
@@ -18,6 +22,7 @@ def land_continuously(
     checkpoint: str,
     on_outcomes: Callable[[DataFrame, int], None] | None = None,
     files_per_batch: int = 1000,
+    specs: Sequence[DatasetSpec] = DATASETS,
     **trigger,
 ) -> StreamingQuery:
     """Ingest files as they land; by default those present now, then stop.
@@ -29,6 +34,7 @@ def land_continuously(
     """
     found = (
         spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
@@ -38,7 +44,7 @@ def land_continuously(
     def ingest(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         files = session.createDataFrame(batch.collect(), batch.schema)
-        known = recognise(files)
+        known = recognise(files, specs)
         outcomes = ingest_files(session, known, fingerprint_paths(session, files), bronze_root)
         if on_outcomes:
             on_outcomes(outcomes, batch_id)

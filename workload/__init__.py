@@ -5,6 +5,7 @@ from workload import (  # noqa: F401
     load_queries,
     operator_queries,
     reports,
+    source_queries,
     table_queries,
 )
 from workload.registry import QUERIES, SQL
