@@ -13,7 +13,7 @@ import time
 
 from tenderlake import contracts as C
 from tenderlake.plans import gold, publish
-from tenderlake.session import build_session, new_folder, staged
+from tenderlake.session import build_session, new_folder
 from workload import QUERIES, adapters
 
 HEADLINES = (
@@ -54,8 +54,8 @@ def main() -> None:
         won, _ = gold.build_fact_item(items, tenders, dims)
         offered = gold.build_fact_bid(bids, dims)
         return {
-            "fato_item_licitacao": staged(gold.number_fact(won, C.FATO_ITEM)),
-            "fato_participacao": staged(gold.number_fact(offered, C.FATO_PARTICIPACAO)),
+            "fato_item_licitacao": gold.number_fact(won, C.FATO_ITEM),
+            "fato_participacao": gold.number_fact(offered, C.FATO_PARTICIPACAO),
         }
 
     built = dims | timed("build_facts", facts)

@@ -42,11 +42,22 @@ def _picked_by_key(df: DataFrame, keys: Sequence[str], pick, order: str | Column
     )
 
 
-def first_by_key(df: DataFrame, keys: Sequence[str], order: str | Column) -> DataFrame:
+def first_by_key(
+    df: DataFrame, keys: Sequence[str], order: str | Column, repetitive: bool = False
+) -> DataFrame:
     """The row with the smallest ``order`` for each key; missing keys form one group.
 
     Each map task keeps one row per key, so a hot key is one row per task in the shuffle.
+    ``repetitive`` is for tables that say the same about a key over and over (the name of a
+    supplier on each of its items): equal statements first merge in a hash aggregation that
+    holds only their smallest ordinal, and the picking, which Spark does by sorting, sees
+    one row per distinct statement. ``order`` must then be a column name.
     """
+    if repetitive:
+        said = [named(c) for c in df.columns if c != order]
+        df = df.groupBy(*said).agg(F.min(named(order)).alias(order)).select(
+            *[named(c) for c in df.columns]
+        )
     return _picked_by_key(df, keys, F.min_by, order)
 
 

@@ -65,11 +65,12 @@ class Star:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
-def _kept_first(df: DataFrame, mapping: dict[str, str], keys: list[str]) -> DataFrame:
+def _kept_first(
+    df: DataFrame, mapping: dict[str, str], keys: list[str], repetitive: bool
+) -> DataFrame:
     """First row per key under its star names, with the ordinal it was chosen by."""
-    return first_by_key(
-        X.project_star(df, mapping | {C.ROW_ORD: "_primeiro"}), keys, "_primeiro"
-    )
+    rows = X.project_star(df, mapping | {C.ROW_ORD: "_primeiro"})
+    return first_by_key(rows, keys, "_primeiro", repetitive)
 
 
 def date_rows(tenders: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def date_rows(tenders: DataFrame) -> DataFrame:
 
 
 def unit_rows(tenders: DataFrame) -> DataFrame:
-    return _kept_first(tenders, _UNIT, ["codigo_ug"])
+    return _kept_first(tenders, _UNIT, ["codigo_ug"], repetitive=True)
 
 
 def supplier_rows(items: DataFrame, participants: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def supplier_rows(items: DataFrame, participants: DataFrame) -> DataFrame:
     )
     both = union_ranked([winners, bidders]).dropna(subset=["codigo_fornecedor"])
     same = {c: c for c in ("codigo_fornecedor", "nome_fornecedor", "tipo_documento")}
-    return _kept_first(both, same, ["codigo_fornecedor"])
+    return _kept_first(both, same, ["codigo_fornecedor"], repetitive=True)
 
 
 def product_rows(items: DataFrame, participants: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def product_rows(items: DataFrame, participants: DataFrame) -> DataFrame:
 
 
 def tender_rows(tenders: DataFrame) -> DataFrame:
-    return _kept_first(tenders, _TENDER, list(_TENDER.values())[:3])
+    return _kept_first(tenders, _TENDER, list(_TENDER.values())[:3], repetitive=False)
 
 
 def _numbered(rows: DataFrame, sk: str, table: C.Table) -> DataFrame:
@@ -254,20 +255,26 @@ def build_dimensions(
     return {name: staged(dim) for name, dim in dims.items()}
 
 
-def build_star(tenders: DataFrame, items: DataFrame, participants: DataFrame) -> Star:
-    """All seven tables, facts numbered in source order."""
+def number_fact(fact: DataFrame, table: C.Table, ordered: bool = False) -> DataFrame:
+    """Dense load key of a fact.
+
+    Rows are numbered as they are loaded, which takes no shuffle and evaluates the fact
+    once. ``ordered=True`` numbers them in source order, at the price of a range shuffle.
+    """
+    key = table.primary_key[0]
+    order = [C.ROW_ORD] if ordered else []
+    return assign_dense_key(fact, key, order=order, key_type="bigint").select(*table.names)
+
+
+def build_star(
+    tenders: DataFrame, items: DataFrame, participants: DataFrame, ordered: bool = False
+) -> Star:
+    """All seven tables; ``ordered`` numbers the facts in source order."""
     dims = build_dimensions(tenders, items, participants)
     won, _ = build_fact_item(items, tenders, dims)
     bids = build_fact_bid(participants, dims)
     return Star(
         **dims,
-        fato_item_licitacao=number_fact(won, C.FATO_ITEM),
-        fato_participacao=number_fact(bids, C.FATO_PARTICIPACAO),
+        fato_item_licitacao=number_fact(won, C.FATO_ITEM, ordered),
+        fato_participacao=number_fact(bids, C.FATO_PARTICIPACAO, ordered),
     )
-
-
-def number_fact(fact: DataFrame, table: C.Table, ordered: bool = True) -> DataFrame:
-    """Dense load key of a fact, in source order, or as the rows lie with ``ordered=False``."""
-    key = table.primary_key[0]
-    order = [C.ROW_ORD] if ordered else []
-    return assign_dense_key(fact, key, order=order, key_type="bigint").select(*table.names)

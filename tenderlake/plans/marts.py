@@ -185,10 +185,17 @@ def bidders_by_state(star: Star) -> DataFrame:
     Repeated bids of one supplier in one tender collapse before the join, so a huge tender
     brings at most one row per supplier.
     """
-    states = star.dim_orgao.filter("uf IS NOT NULL").select("codigo_ug", "uf")
-    tenders = star.dim_licitacao.select("sk_licitacao", "codigo_ug").join(states, "codigo_ug")
+    states = star.dim_orgao.filter("uf IS NOT NULL")
+    tenders = lookup(
+        star.dim_licitacao.select("sk_licitacao", "codigo_ug"), states,
+        [("codigo_ug", "codigo_ug")], ["uf"], "inner", spread_by="sk_licitacao",
+    )
     pairs = star.fato_participacao.select("sk_licitacao", "sk_fornecedor").distinct()
-    placed = pairs.join(tenders, "sk_licitacao").select("uf", "sk_fornecedor")
+    pairs = pairs.withColumn("_id", F.xxhash64("sk_licitacao", "sk_fornecedor"))
+    placed = lookup(
+        pairs, tenders, [("sk_licitacao", "sk_licitacao")], ["uf"], "inner", spread_by="_id",
+        dim_rows=star.dim_licitacao.count(),
+    )
     name = "quantidade_fornecedores_distintos"
     return rank_all(distinct_by(placed, ["uf"], "sk_fornecedor", name), name, ["uf"])
 

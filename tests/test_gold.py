@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
 from tenderlake.operators.checks import check_contract
+from tenderlake.operators.keys import first_by_key
 from tenderlake.plans import gold as G
 from tenderlake.plans.publish import conform_all
 
@@ -158,6 +159,20 @@ def test_consistent_data_gives_no_missing_key_and_meets_the_contract(spark):
     assert results.filter("violacoes > 0").isEmpty()
 
 
+def test_facts_numbered_as_loaded_have_no_gap(spark):
+    won = items(spark, *[item(text=f"p{i}") for i in range(50)])
+    star = G.build_star(tenders(spark, tender()), won.repartition(6), bids(spark, bid()))
+    assert sorted(r[0] for r in star.fato_item_licitacao.select("sk_fato_item").collect()) == list(range(1, 51))
+
+
+def test_repetitive_sources_pick_the_same_first_row(spark, rows):
+    df = spark.createDataFrame(
+        [("a", "x", 3), ("a", "y", 1), ("a", "x", 0), ("b", None, 9), (None, "n", 4)], "k string, v string, o long"
+    )
+    assert rows(first_by_key(df, ["k"], "o", repetitive=True)) == rows(first_by_key(df, ["k"], "o"))
+    assert ("a", "x", 0) in rows(first_by_key(df, ["k"], "o", repetitive=True))
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_star_does_not_depend_on_partitioning(spark, partitions, rows):
     data = [tender(str(i % 40), str(i % 9), str(i % 3), f"UG {i % 11}") for i in range(120)]
@@ -166,7 +181,8 @@ def test_star_does_not_depend_on_partitioning(spark, partitions, rows):
 
     def build(n):
         return G.build_star(
-            tenders(spark, *data).repartition(n), items(spark, *won).repartition(n), bids(spark, *offered).repartition(n)
+            tenders(spark, *data).repartition(n), items(spark, *won).repartition(n),
+            bids(spark, *offered).repartition(n), ordered=True,
         )
 
     one, other = build(3), build(partitions)
