@@ -1,10 +1,17 @@
-"""Typed, checked, all-or-nothing publication of the star as versioned Parquet tables."""
+"""Typed, checked, all-or-nothing publication of the star.
+
+A published version is a list of folders: one per dimension, and one per fact or, in
+incremental loading, one per fact and period. Publishing appends that list in a single
+file; readers follow the list appended last. Nothing a reader may be using is rewritten,
+and a period that did not change is carried over by name, not by copy.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +23,20 @@ from tenderlake.operators.checks import check_contract, open_gate
 from tenderlake.plans.gold import Star
 from tenderlake.session import path_exists
 
-_POINTER = "publicacoes"
-_POINTER_SCHEMA = "versao string, publicado_em timestamp, ordem long"
+_LIST = "publicacoes"
+_LIST_SCHEMA = (
+    "ordem long, publicado_em timestamp, versao string, tabela string, periodo string, "
+    "caminho string, maior_chave long"
+)
+
+
+class Part(NamedTuple):
+    """A folder of a published version; ``period`` and ``last_key`` are for facts only."""
+
+    table: str
+    path: str
+    period: str | None = None
+    last_key: int | None = None
 
 
 def conform(df: DataFrame, table: C.Table) -> DataFrame:
@@ -41,6 +60,10 @@ def conform_all(
     return {t.name: conform(tables[t.name], t) for t in contract}
 
 
+def table_schema(table: C.Table) -> T.StructType:
+    return T.StructType([T.StructField(c.name, c.type) for c in table.columns])
+
+
 def write_gold(tables: dict[str, DataFrame], root: str) -> None:
     """Write every table of the star, replacing what was there."""
     for name, df in tables.items():
@@ -51,43 +74,84 @@ def read_star(spark: SparkSession, root: str) -> Star:
     return Star(**{t.name: spark.read.parquet(f"{root}/{t.name}") for t in C.WAREHOUSE})
 
 
+def _published(spark: SparkSession, root: str) -> list:
+    """Rows of the list appended last (one per folder)."""
+    path = f"{root}/{_LIST}"
+    if not path_exists(spark, path):
+        return []
+    entries = spark.read.schema(_LIST_SCHEMA).parquet(path)
+    last = entries.agg(F.max("ordem")).scalar()
+    return entries.filter(F.col("ordem") == last).collect()
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     """The version readers see: the one published last."""
-    path = f"{root}/{_POINTER}"
-    if not path_exists(spark, path):
-        return None
-    pointer = spark.read.schema(_POINTER_SCHEMA).parquet(path)
-    return pointer.agg(F.max_by("versao", "ordem")).first()[0]
+    entries = _published(spark, root)
+    return entries[0].versao if entries else None
+
+
+def current_parts(spark: SparkSession, root: str) -> list[Part]:
+    return [
+        Part(e.tabela, e.caminho, e.periodo, e.maior_chave) for e in _published(spark, root)
+    ]
+
+
+def new_version() -> str:
+    return uuid.uuid4().hex
+
+
+def version_path(root: str, version: str, table: str) -> str:
+    return f"{root}/versoes/{version}/{table}"
 
 
 def stage_version(tables: dict[str, DataFrame], root: str) -> str:
     """Write tables under a new version that no reader sees yet."""
-    version = uuid.uuid4().hex
+    version = new_version()
     for name, df in tables.items():
-        df.write.parquet(f"{root}/versoes/{version}/{name}")
+        df.write.parquet(version_path(root, version, name))
     return version
 
 
-def publish_version(spark: SparkSession, root: str, version: str) -> None:
-    """Switch readers to a staged version. One appended row is the whole switch."""
-    path = f"{root}/{_POINTER}"
-    last = 0
-    if path_exists(spark, path):
-        pointer = spark.read.schema(_POINTER_SCHEMA).parquet(path)
-        last = pointer.agg(F.coalesce(F.max("ordem"), F.lit(0))).first()[0]
-    row = spark.range(1).select(
-        F.lit(version).alias("versao"),
-        F.current_timestamp().alias("publicado_em"),
-        F.lit(last + 1).cast("long").alias("ordem"),
+def publish_parts(spark: SparkSession, root: str, version: str, parts: Sequence[Part]) -> None:
+    """Switch readers to a list of folders. One appended file is the whole switch."""
+    before = _published(spark, root)
+    order = before[0].ordem + 1 if before else 1
+    rows = spark.createDataFrame(
+        [(order, version, p.table, p.period, p.path, p.last_key) for p in parts],
+        "ordem long, versao string, tabela string, periodo string, caminho string, maior_chave long",
     )
-    row.write.mode("append").parquet(path)
+    entries = rows.withColumn("publicado_em", F.current_timestamp())
+    names = [f.split()[0] for f in _LIST_SCHEMA.split(", ")]
+    entries.select(*names).coalesce(1).write.mode("append").parquet(f"{root}/{_LIST}")
+
 
+def publish_version(
+    spark: SparkSession, root: str, version: str, contract: Sequence[C.Table] = C.WAREHOUSE
+) -> None:
+    """Switch readers to a staged version in which every table is one folder."""
+    parts = [Part(t.name, version_path(root, version, t.name)) for t in contract]
+    publish_parts(spark, root, version, parts)
 
-def read_version(spark: SparkSession, root: str, version: str | None = None) -> Star:
-    version = version or current_version(spark, root)
-    if version is None:
+
+def read_tables(
+    spark: SparkSession, parts: Sequence[Part], contract: Sequence[C.Table] = C.WAREHOUSE
+) -> dict[str, DataFrame]:
+    """Tables of a list of folders; a table without a folder is empty."""
+    tables = {}
+    for table in contract:
+        schema = table_schema(table)
+        paths = [p.path for p in parts if p.table == table.name]
+        tables[table.name] = (
+            spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+        )
+    return tables
+
+
+def read_version(spark: SparkSession, root: str) -> Star:
+    parts = current_parts(spark, root)
+    if not parts:
         raise FileNotFoundError(f"nothing published below {root}")
-    return read_star(spark, f"{root}/versoes/{version}")
+    return Star(**read_tables(spark, parts))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
@@ -111,14 +175,13 @@ def publish_if_clean(
     ``more_checks`` are further results in the shape of the contract check.
     """
     version = stage_version(conform_all(tables, contract), root)
-    written = {
-        t.name: spark.read.parquet(f"{root}/versoes/{version}/{t.name}") for t in contract
-    }
+    staged = [Part(t.name, version_path(root, version, t.name)) for t in contract]
+    written = read_tables(spark, staged, contract)
     results = check_contract(written, contract)
     for check in more_checks:
         results = results.unionByName(check)
     open_gate(results)
-    publish_version(spark, root, version)
+    publish_parts(spark, root, version, staged)
     return row_counts(written)
 
 

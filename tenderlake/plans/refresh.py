@@ -2,22 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
-from tenderlake.operators.checks import row_balance
+from tenderlake.operators.checks import open_gate, row_balance
 from tenderlake.plans import publish, silver
 from tenderlake.plans.gold import build_star
+from tenderlake.plans.period_load import load_period
 from tenderlake.sources.bronze import load_bronze
 from tenderlake.sources.landing import ingest_folder
 
 
-def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str) -> DataFrame:
-    """Clean every data set that has rows; returns the quality report."""
+def bronze_to_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    periods: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """Clean every data set that has rows, in all or some periods; returns the quality report."""
     marked = {}
     for name, mark in silver.CLEANERS.items():
-        raw = load_bronze(spark, bronze_root, name, allow_empty=name == C.COMMITMENTS)
+        raw = load_bronze(
+            spark, bronze_root, name, allow_empty=name == C.COMMITMENTS, periods=periods
+        )
         if raw is None:
             continue
         silver.write_silver(mark(raw), silver_root, name)
@@ -44,3 +54,15 @@ def refresh(spark: SparkSession, landing: str, root: str) -> dict[str, int]:
     return publish.publish_if_clean(
         spark, star.tables(), f"{root}/warehouse", more_checks=[balance_check(report)]
     )
+
+
+def refresh_period(spark: SparkSession, root: str, year: str, month: str) -> dict[str, int]:
+    """Clean one ingested month and load it into the star, leaving other months alone."""
+    silver_root = f"{root}/silver_periodos/{year}-{month}"
+    report = bronze_to_silver(spark, f"{root}/bronze", silver_root, [(year, month)])
+    open_gate(balance_check(report))
+    clean = silver.read_silver(spark, silver_root)
+    return load_period(
+        spark, f"{root}/warehouse", f"{year}-{month}",
+        clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS],
+    )
