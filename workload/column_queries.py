@@ -56,6 +56,7 @@ def p3(spark, sf):
     """
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_linenumber <> 3 THEN round(l_extendedprice, 2) END AS valor FROM lineitem""",
+    longs=("l_linenumber",),
 )
 def p4(spark, sf):
     grouped = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
@@ -101,6 +102,7 @@ def p6(spark, sf):
 SELECT l_orderkey, l_linenumber,
   CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN l_quantity / 1000
     ELSE l_quantity END AS quantidade FROM lineitem""",
+    longs=("l_linenumber",),
 )
 def p7(spark, sf):
     whole = text(F.col("l_quantity").cast("long"))
@@ -188,6 +190,7 @@ def p11(spark, sf):
 @query(
     "p12_flag_is",
     "SELECT l_orderkey, l_linenumber, l_returnflag = 'R' AS venceu FROM lineitem",
+    longs=("l_linenumber",),
 )
 def p12(spark, sf):
     raw = F.when(F.col("l_returnflag") == "R", " Sim\t").when(F.col("l_returnflag") == "A", "NÃO")
@@ -238,6 +241,7 @@ def p15(spark, sf):
 @query(
     "p16_unit_price",
     FATO + "SELECT l_orderkey, l_linenumber, unidade / 1e4 AS preco FROM fato",
+    longs=("l_linenumber",),
 )
 def p16(spark, sf):
     price = X.unit_price(F.col("l_extendedprice").cast(C.MONEY), quantity())

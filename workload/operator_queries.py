@@ -24,6 +24,7 @@ def _with_ord(df):
     """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderkey AS _row_ord,
   CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS copias FROM orders""",
+    longs=("copias",),
 )
 def d1(spark, sf):
     orders = table(spark, sf, "orders").select(
@@ -39,6 +40,7 @@ def d1(spark, sf):
 SELECT l_orderkey, l_linenumber, l_extendedprice, l_partkey, l_suppkey FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_extendedprice, l_partkey, l_suppkey) AS n FROM lineitem) WHERE n = 1""",
+    longs=("l_linenumber",),
 )
 def d2(spark, sf):
     rows = table(spark, sf, "lineitem").select(
@@ -168,6 +170,7 @@ def _kept_orders(spark, sf):
 SELECT l_orderkey, l_linenumber, l_extendedprice, o_custkey,
   (SELECT COUNT(*) FROM lineitem WHERE l_orderkey % 10 = 0) AS orfaos
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 10 <> 0""",
+    longs=("l_linenumber",),
 )
 def j1(spark, sf):
     lines = _with_ord(
@@ -183,6 +186,7 @@ def j1(spark, sf):
     """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_suppkey % 3 <> 0 THEN s_suppkey * 10 END AS sk
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
+    longs=("l_linenumber",),
 )
 def j2(spark, sf):
     """A third of the suppliers is not in the dimension: their lines keep a null key."""
@@ -198,6 +202,7 @@ def j2(spark, sf):
 @query(
     "j2_lookup_spread_over_tasks",
     "SELECT l_orderkey, l_linenumber, l_suppkey + 1 AS sk FROM lineitem",
+    longs=("l_linenumber",),
 )
 def j2_spread(spark, sf):
     """The shuffled form, with every supplier treated as too large for one task."""
@@ -214,6 +219,7 @@ def j2_spread(spark, sf):
     """
 SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 10 <> 0 THEN l_orderkey + 1 END AS sk
 FROM lineitem""",
+    longs=("l_linenumber",),
 )
 def j3(spark, sf):
     """Three-part key in which one part may be missing on both sides."""
@@ -238,6 +244,7 @@ WITH textos AS (SELECT DISTINCT CASE WHEN p_partkey % 9 <> 0 THEN p_name END AS
 dim AS (SELECT texto, row_number() OVER (ORDER BY texto NULLS FIRST) AS sk FROM textos)
 SELECT l_orderkey, l_linenumber, sk FROM lineitem JOIN part ON l_partkey = p_partkey
 LEFT JOIN dim ON texto IS NOT DISTINCT FROM (CASE WHEN p_partkey % 9 <> 0 THEN p_name END)""",
+    longs=("l_linenumber",),
 )
 def j4(spark, sf):
     words = F.when(F.col("p_partkey") % 9 != 0, F.col("p_name"))
@@ -340,6 +347,7 @@ def j8(spark, sf):
 SELECT l_returnflag, l_linestatus, l_linenumber,
   CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS valor_total, COUNT(*) AS linhas
 FROM lineitem GROUP BY 1, 2, 3""",
+    longs=("l_linenumber",),
 )
 def a1(spark, sf):
     rows = table(spark, sf, "lineitem").withColumn("valor", F.col("l_extendedprice").cast(C.MONEY))

@@ -14,13 +14,18 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(
+    name: str, sql: str | None = None, longs: tuple[str, ...] = ()
+) -> Callable[[Query], Query]:
+    """Register a query. ``longs`` names SQL results to widen to 64 bits, as :func:`plain` does."""
+
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
         QUERIES[name] = lambda spark, sf: plain(run(spark, sf))
         if sql is not None:
-            SQL[name] = sql.strip()
+            casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in longs)
+            SQL[name] = f"SELECT * REPLACE ({casts}) FROM ({sql.strip()})" if longs else sql.strip()
         return run
 
     return register

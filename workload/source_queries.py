@@ -297,14 +297,14 @@ SELECT c_nationkey AS origem, c_custkey // 500 + 1 AS pagina, c_custkey, c_name,
   CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer"""
 
 
-@query("s12_page_dumps_envelope", _RECORDS)
+@query("s12_page_dumps_envelope", _RECORDS, longs=("origem",))
 def s12_envelope(spark, sf):
     pages = P.parse_pages(_page_documents(spark, sf, "envelope"), "envelope")
     rows = P.page_records(pages, "c_custkey long, c_name string, c_acctbal double")
     return rows.drop("posicao")
 
 
-@query("s12_page_dumps_array", _RECORDS)
+@query("s12_page_dumps_array", _RECORDS, longs=("origem",))
 def s12_array(spark, sf):
     pages = P.parse_pages(_page_documents(spark, sf, "array"), "array")
     rows = P.page_records(pages, "c_custkey long, c_name string, c_acctbal double")
@@ -319,6 +319,7 @@ SELECT c_nationkey AS origem, COUNT(DISTINCT c_custkey // 500) AS paginas_lidas,
   MAX(c_custkey // 500) + 1 AS total_paginas, MAX(c_custkey // 500) + 1 AS maior_pagina,
   true AS chegou_ao_fim, COUNT(DISTINCT c_custkey // 500) = MAX(c_custkey // 500) + 1 AS completo
 FROM customer GROUP BY 1""",
+    longs=("origem",),
 )
 def s13(spark, sf):
     return P.profile_pages(P.parse_pages(_page_documents(spark, sf, "envelope"), "envelope"))

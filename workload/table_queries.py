@@ -234,6 +234,7 @@ FROM (SELECT l_suppkey % 40 AS s, CASE WHEN l_linenumber = 3 THEN 2 ELSE 1 END A
 UNION ALL
 SELECT 'empenhos_relacionados', SUM(c), COUNT(*), SUM(c - 1), 0, 0, 0, 0, 0, SUM(c) FILTER (k % 9 = 0)
 FROM (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS c FROM orders)""",
+    longs=S.REPORT,
 )
 def b12(spark, sf):
     report = S.quality_report({name: _marked(spark, sf, name) for name in _RAW})
@@ -505,6 +506,7 @@ def g1(spark, sf):
 @query(
     "k8_dense_fact_key",
     "SELECT 1 AS menor, COUNT(*) AS maior, COUNT(*) AS distintas FROM lineitem",
+    longs=("menor",),
 )
 def k8(spark, sf):
     key = "sk_fato_item"
@@ -528,6 +530,7 @@ def g2(spark, sf):
     FATO + """
 SELECT COUNT(*) FILTER (data IS NULL) AS sk_tempo, 0 AS sk_orgao, 0 AS sk_fornecedor,
   0 AS sk_produto, 0 AS sk_licitacao FROM fato""",
+    longs=("sk_orgao", "sk_fornecedor", "sk_produto", "sk_licitacao"),
 )
 def g2_nulls(spark, sf):
     keys = ["sk_tempo", "sk_orgao", "sk_fornecedor", "sk_produto", "sk_licitacao"]
