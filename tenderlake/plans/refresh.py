@@ -12,8 +12,9 @@ from tenderlake.operators.checks import open_gate, row_balance
 from tenderlake.plans import publish, silver
 from tenderlake.plans.gold import build_star
 from tenderlake.plans.period_load import load_period
+from tenderlake.session import size_shuffles
 from tenderlake.sources.bronze import load_bronze
-from tenderlake.sources.landing import ingest_folder
+from tenderlake.sources.landing import ingest_folder, listing
 
 
 def bronze_to_silver(
@@ -47,6 +48,8 @@ def balance_check(report: DataFrame) -> DataFrame:
 
 def refresh(spark: SparkSession, landing: str, root: str) -> dict[str, int]:
     """Run all steps in order. Any failure leaves the published version as it was."""
+    size = listing(spark, landing).agg(F.sum("bytes")).first()[0]
+    size_shuffles(spark, size or 0)
     ingest_folder(spark, landing, f"{root}/bronze")
     report = bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver")
     clean = silver.read_silver(spark, f"{root}/silver")

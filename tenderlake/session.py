@@ -19,6 +19,8 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+SHUFFLE_BYTES = 1 << 30
+
 _local_folders: dict[str, str] = {}
 
 
@@ -34,6 +36,19 @@ def build_session(name: str, master: str | None = None, **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to one per gigabyte of delimited text.
+
+    Typed and compressed, that is about 256 MB of shuffled rows. Adaptive execution merges
+    partitions that turn out small but never adds any, so the number has to fit the largest
+    shuffle, which moves whole rows. It is never lowered.
+    """
+    wanted = -(-input_bytes // SHUFFLE_BYTES)
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

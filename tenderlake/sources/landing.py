@@ -152,15 +152,18 @@ def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     paths = list(paths)
     headers = read_headers(spark, paths)
     counted = {r.path: r for r in count_lines(spark, paths).collect()}
-    rows = []
-    for path in paths:
-        seen = counted.get(path)
-        whole = seen is None or seen.divisivel
-        if whole:
-            records = max(seen.preenchidas - 1, 0) if seen else 0
-        else:
-            records = read_landing_csv(spark, [path], headers[path], splittable=False).count()
-        rows.append((path, headers[path], records, whole))
+    whole: dict[tuple[str, ...], list[str]] = {}
+    for path, seen in counted.items():
+        if not seen.divisivel:
+            whole.setdefault(tuple(headers[path]), []).append(path)
+    records = {path: max(seen.preenchidas - 1, 0) for path, seen in counted.items()}
+    for header, files in whole.items():
+        parsed = read_landing_csv(spark, files, header, splittable=False, provenance=True)
+        records |= dict.fromkeys(files, 0)
+        records |= {r[FILE]: r["count"] for r in parsed.groupBy(FILE).count().collect()}
+    rows = [
+        (p, headers[p], records.get(p, 0), p not in counted or counted[p].divisivel) for p in paths
+    ]
     return spark.createDataFrame(
         rows, "path string, colunas array<string>, linhas long, divisivel boolean"
     )

@@ -12,7 +12,7 @@ from tenderlake.plans import incremental as I
 from tenderlake.plans import publish as P
 from tenderlake.plans.period_load import drop_period
 from tenderlake.plans.refresh import refresh, refresh_period
-from tenderlake.session import shared_dir
+from tenderlake.session import shared_dir, size_shuffles
 from tenderlake.sources.landing import ingest_folder
 
 TABLE = C.Table(
@@ -243,6 +243,25 @@ def test_refresh_stops_at_the_gate(spark, tmp_path, landing, rows):
     assert P.current_version(spark, f"{root}/warehouse") == version
 
 
+def test_period_with_a_missing_natural_key_is_refused(spark, tmp_path, landing):
+    root = str(tmp_path / "lake")
+    landing("202402_ParticipantesLicitação.csv", BID_HEADER, ("2", "10", "5", "7", "", "1" * 14, "ACME", "SIM"))
+    ingest_folder(spark, landing.folder, f"{root}/bronze")
+    with pytest.raises(GateClosed, match="dim_produto.descricao_item not_null: 1"):
+        refresh_period(spark, root, "2024", "02")
+    assert P.current_version(spark, f"{root}/warehouse") is None
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 0) == int(before)
+        assert size_shuffles(spark, 100 << 40) == 102400
+        assert size_shuffles(spark, 1) == 102400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 class Settings:
     """Stands in for a session: only its settings are asked for."""
 

@@ -186,6 +186,20 @@ def test_each_kind_of_violation_is_counted(spark):
     }
 
 
+@pytest.mark.parametrize("step", [1, 1000])
+def test_surplus_rows_of_dense_and_sparse_keys(spark, step):
+    """Dense keys are counted by bitmaps, sparse ones by value; both exactly."""
+    ids = [i * step for i in range(-40000, 40000, 7 if step == 1 else 101)]
+    repeated = ids[::50] + ids[::50] + [None, None]
+    df = spark.createDataFrame([(i,) for i in ids + repeated], "id int").withColumn("code", F.lit("a"))
+    child = spark.createDataFrame([], "pk long, id int")
+    found = K.check_contract({"parent": df, "child": child}, (PARENT, CHILD)).collect()
+    surplus = {(r.tabela, r.regra): r.violacoes for r in found}
+    assert surplus["parent", "primary_key"] == 2 * len(ids[::50])
+    assert surplus["child", "primary_key"] == 0
+    assert (K._dense_keys({"parent": df, "child": child}, (PARENT, CHILD)) == {"parent"}) == (step == 1)
+
+
 def test_gate(spark):
     clean = spark.createDataFrame([("t", "r", "c", 0)], "tabela string, regra string, coluna string, violacoes long")
     K.open_gate(clean)
