@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderlake.functions.columns import named, zscore
-from tenderlake.operators.joins import BROADCAST_ROWS, ROWS_PER_TASK, lookup, parts_for
+from tenderlake.operators.joins import BROADCAST_BYTES, ROWS_PER_TASK, lookup, parts_for, rows_bytes
 
 
 def sum_count_by(
@@ -101,6 +102,7 @@ def flag_outliers(
     size = F.col("quantidade_ocorrencias")
     reachable = above_threshold(F.col("maior"), F.col("media"), F.col("desvio_padrao"), sigmas)
     parts = F.when(reachable, parts_for(size, rows_per_task)).otherwise(0)
+    bounded = groups is not None and not isinstance(df.schema[group].dataType, T.StringType)
     flagged = lookup(
         known,
         stats.filter(reachable),
@@ -110,7 +112,8 @@ def flag_outliers(
         spread_by=row_id,
         hot=stats.filter(size > rows_per_task).select(named(group), parts.alias("_partes")),
         parts=parts,
-        dim_rows=BROADCAST_ROWS + 1 if groups is None else groups,
+        broadcast_bytes=BROADCAST_BYTES if bounded else 0,
+        dim_bytes=rows_bytes(groups, 5) if bounded else None,
         residual=lambda rows, side: above_threshold(
             rows[f"`{value}`"], side["_v_media"], side["_v_desvio_padrao"], sigmas
         ),

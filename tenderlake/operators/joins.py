@@ -1,8 +1,8 @@
 """Lookups from large tables into dimensions, safe against hot keys.
 
-A dimension is broadcast only after its rows have been counted. Beyond the limit the join
-is shuffled, and keys with too many rows for one task are dealt to several. The list of
-such keys is the only side broadcast uncounted: it cannot hold more than
+A dimension is broadcast only after its columns have been measured. Beyond the limit the
+join is shuffled, and keys with too many rows for one task are dealt to several. The list
+of such keys is the only side broadcast unmeasured: it cannot hold more than
 (rows of the large side) / (rows per task) entries.
 """
 
@@ -13,11 +13,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tenderlake.functions.columns import named
 
 ROWS_PER_TASK = 5_000_000
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 100 << 20
+_ROW_BYTES, _CELL_BYTES = 32, 16
 
 _SHARES, _SHARE = "_partes", "_parte"
 
@@ -47,6 +49,19 @@ def matching(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], n
     return reduce(lambda x, y: x & y, [pair(a, b) for a, b in on])
 
 
+def rows_bytes(rows: int, columns: int) -> int:
+    """Memory that rows of fixed-width columns take as a hashed join side, about."""
+    return rows * (_ROW_BYTES + columns * _CELL_BYTES)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """The same for any table: its rows are counted and its texts measured, in one pass."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    lengths = [F.coalesce(F.sum(F.octet_length(named(c))), F.lit(0)) for c in texts]
+    row = df.agg(F.count(F.lit(1)), *lengths).first()
+    return rows_bytes(row[0], len(df.columns)) + sum(row[1:])
+
+
 def _with_shares(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     renamed = F.broadcast(hot.select(*[named(k).alias(f"_hot_{k}") for k in keys], _SHARES))
     on = [(k, f"_hot_{k}") for k in keys]
@@ -66,13 +81,13 @@ def lookup(
     hot: DataFrame | None = None,
     parts: Column | None = None,
     residual=None,
-    dim_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    dim_bytes: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``fact`` to a dimension unique on its key and add the columns ``take``.
 
     ``on`` pairs fact columns with dimension columns. A dimension of at most
-    ``broadcast_rows`` rows is broadcast; ``dim_rows`` saves the counting where a bound is
+    ``broadcast_bytes`` is broadcast; ``dim_bytes`` saves the measuring where a bound is
     known. Beyond that, with ``spread_by`` (a column that differs from row to row), the rows
     of a hot key are dealt to several tasks by hash and the matching dimension row is
     repeated for each of them; other keys are untouched.
@@ -90,9 +105,9 @@ def lookup(
     )
     pairs = [(a, f"_k{i}") for i, (a, _) in enumerate(on)]
     kept = fact.columns
-    if dim_rows is None:
-        dim_rows = dim.count()
-    if dim_rows <= broadcast_rows:
+    if dim_bytes is None and broadcast_bytes:
+        dim_bytes = measured_bytes(side)
+    if broadcast_bytes and dim_bytes <= broadcast_bytes:
         side, spread_by = F.broadcast(side), None
     if spread_by:
         if hot is None:

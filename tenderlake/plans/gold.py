@@ -13,7 +13,7 @@ from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
 from tenderlake.operators.aggregates import attribute_drift
 from tenderlake.operators.joins import (
-    BROADCAST_ROWS,
+    BROADCAST_BYTES,
     ROWS_PER_TASK,
     hot_keys,
     lookup,
@@ -154,12 +154,12 @@ def tender_context(
     ).drop("_data")
 
 
-def _spreader(source: DataFrame, rows_per_task: int, broadcast_rows: int):
+def _spreader(source: DataFrame, rows_per_task: int, broadcast_bytes: int):
     """Spread arguments for a lookup; keys are counted on the source, not on join results."""
 
     def spread(keys: Sequence[str]) -> dict:
         hot = hot_keys(source, keys, rows_per_task)
-        return {"spread_by": C.ROW_ORD, "hot": hot, "broadcast_rows": broadcast_rows}
+        return {"spread_by": C.ROW_ORD, "hot": hot, "broadcast_bytes": broadcast_bytes}
 
     return spread
 
@@ -170,7 +170,7 @@ def build_fact_item(
     dims: dict[str, DataFrame],
     date_key: int = 2,
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """Won items with their five keys, and the number of items without a tender.
 
@@ -187,7 +187,7 @@ def build_fact_item(
         named("Valor Item").alias("valor_item"),
         C.ROW_ORD,
     )
-    spread = _spreader(slim, rows_per_task, broadcast_rows)
+    spread = _spreader(slim, rows_per_task, broadcast_bytes)
     fact = lookup(
         slim, context, [(k, k) for k in context_key], ["sk_tempo", "sk_orgao"], "inner",
         null_safe=True, **spread(context_key),
@@ -215,7 +215,7 @@ def build_fact_bid(
     participants: DataFrame,
     dims: dict[str, DataFrame],
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Bids with tender, product and supplier keys; unresolved keys stay null."""
     slim = participants.select(
@@ -225,7 +225,7 @@ def build_fact_bid(
         "flag_vencedor",
         C.ROW_ORD,
     )
-    spread = _spreader(slim, rows_per_task, broadcast_rows)
+    spread = _spreader(slim, rows_per_task, broadcast_bytes)
     fact = lookup_key(
         slim, dims["dim_fornecedor"], [("Código Participante", "codigo_fornecedor")],
         "sk_fornecedor", **spread(["Código Participante"]),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.operators.aggregates import distinct_by, flag_outliers, mean_of, sum_count_by_attributes
 from tenderlake.operators.checks import reconcile
-from tenderlake.operators.joins import hot_keys, lookup
+from tenderlake.operators.joins import hot_keys, lookup, measured_bytes
 from tenderlake.operators.ranking import order_by_period, rank_all, top_k
 from tenderlake.plans.gold import Star
 
@@ -88,7 +88,7 @@ def price_stats(star: Star, min_count: int = 5, k: int = 20) -> DataFrame:
     squares = F.sum(F.col("n") * (F.col("v") + F.pow(own_mean - mean, F.lit(2.0))))
     merged = lookup(
         moments, whole, [("descricao_item",) * 2], ["quantidade_ocorrencias", "soma"], "inner",
-        null_safe=True, dim_rows=star.dim_produto.count(),
+        null_safe=True, dim_bytes=measured_bytes(star.dim_produto),
     ).groupBy("descricao_item", "quantidade_ocorrencias", "soma").agg(squares.alias("q"))
     size = F.col("quantidade_ocorrencias")
     stats = merged.select(
@@ -194,7 +194,7 @@ def bidders_by_state(star: Star) -> DataFrame:
     pairs = pairs.withColumn("_id", F.xxhash64("sk_licitacao", "sk_fornecedor"))
     placed = lookup(
         pairs, tenders, [("sk_licitacao", "sk_licitacao")], ["uf"], "inner", spread_by="_id",
-        dim_rows=star.dim_licitacao.count(),
+        dim_bytes=measured_bytes(star.dim_licitacao.select("sk_licitacao", "codigo_ug")),
     )
     name = "quantidade_fornecedores_distintos"
     return rank_all(distinct_by(placed, ["uf"], "sk_fornecedor", name), name, ["uf"])

@@ -80,8 +80,9 @@ def _published(spark: SparkSession, root: str) -> list:
     if not path_exists(spark, path):
         return []
     entries = spark.read.schema(_LIST_SCHEMA).parquet(path)
-    last = entries.agg(F.max("ordem")).scalar()
-    return entries.filter(F.col("ordem") == last).collect()
+    # Should two writers meet, the later one wins as a whole.
+    last = entries.agg(F.max_by("versao", F.struct("ordem", "publicado_em", "versao"))).scalar()
+    return entries.filter(F.col("versao") == last).collect()
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -115,6 +116,8 @@ def stage_version(tables: dict[str, DataFrame], root: str) -> str:
 def publish_parts(spark: SparkSession, root: str, version: str, parts: Sequence[Part]) -> None:
     """Switch readers to a list of folders. One appended file is the whole switch."""
     before = _published(spark, root)
+    if any(e.versao == version for e in before):
+        raise ValueError(f"version is published already: {version}")
     order = before[0].ordem + 1 if before else 1
     rows = spark.createDataFrame(
         [(order, version, p.table, p.period, p.path, p.last_key) for p in parts],

@@ -105,7 +105,7 @@ def test_products_of_both_sides(spark):
     ]
 
 
-FORMS = [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "rows_per_task": 1}]
+FORMS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "rows_per_task": 1}]
 
 
 @pytest.mark.parametrize("form", FORMS)

@@ -73,7 +73,7 @@ def test_union_ranked_prefers_the_earlier_source(spark, rows):
 # Joins: the broadcast and the spread form must agree, whatever the keys look like.
 
 FACT = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"k{i % 5}") for i in range(300)]
-FORMS = [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "rows_per_task": 7}]
+FORMS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "rows_per_task": 7}]
 
 
 @pytest.mark.parametrize("form", FORMS)
@@ -97,6 +97,23 @@ def test_orphans_are_counted_and_dropped(spark, form):
     assert orphans.first()[0] == len(FACT) - len(expected)
 
 
+def test_measuring_counts_texts(spark):
+    df = spark.createDataFrame([("ab", 1), (None, 2), ("ç" * 100, 3)], "t string, i int")
+    assert J.measured_bytes(df) == J.rows_bytes(3, 2) + 2 + 200
+
+
+def test_large_dimension_is_not_broadcast(spark):
+    fact = spark.createDataFrame(FACT, "id int, k string")
+    dim = spark.createDataFrame([(1, "hot"), (2, "k1")], "sk int, kk string")
+
+    def broadcasts(**form):
+        plan = J.lookup_key(fact, dim, [("k", "kk")], "sk", **form)._jdf.queryExecution().analyzed().toString()
+        return "strategy=broadcast" in plan
+
+    assert broadcasts()
+    assert not broadcasts(broadcast_bytes=10)
+
+
 def test_hot_keys_include_the_missing_key(spark, rows):
     fact = spark.createDataFrame(FACT, "id int, k string")
     assert rows(J.hot_keys(fact, ["k"], 60)) == [(None, 2), ("hot", 2)]

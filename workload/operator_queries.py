@@ -210,7 +210,7 @@ def j2_spread(spark, sf):
     lines = _with_ord(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"))
     return J.lookup_key(
         lines, dim, [("l_suppkey", "s_suppkey")], "sk",
-        spread_by="_id", rows_per_task=100, broadcast_rows=0,
+        spread_by="_id", rows_per_task=100, broadcast_bytes=0,
     ).select("l_orderkey", "l_linenumber", "sk")
 
 

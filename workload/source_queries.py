@@ -357,3 +357,28 @@ def s14_events(spark, sf):
 )
 def s14_first(spark, sf):
     return P.field_inventory(table(spark, sf, "events"), record="props", order=["event_id"])
+
+
+@query(
+    "s10_empty_dataset",
+    """
+SELECT 'pedidos' AS dataset, COUNT(*) AS linhas, 7 AS colunas FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 'empenhos_relacionados', 0, 7""",
+    longs=("linhas", "colunas"),
+)
+def s10(spark, sf):
+    """A data set without files is an empty table of known columns where that is allowed."""
+    root = _bronze(spark, sf)[0]
+    if load_bronze(spark, root, C.ITEMS) is not None:
+        raise AssertionError("a data set without files must be skipped")
+    tables = {
+        "pedidos": load_bronze(spark, root, "pedidos"),
+        C.COMMITMENTS: load_bronze(spark, root, C.COMMITMENTS, allow_empty=True),
+    }
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("linhas")).select(
+            F.lit(name).alias("dataset"), "linhas", F.lit(len(df.columns)).alias("colunas")
+        )
+        for name, df in tables.items()
+    ]
+    return counts[0].unionByName(counts[1])

@@ -14,7 +14,7 @@ from tenderlake.session import new_folder
 from workload.adapters import (
     FATO, MEAN, content_ord, published, silver, star, table, text, units,
 )
-from workload.registry import query
+from workload.registry import SQL, query
 
 _MONTH_LIST = "[" + ",".join(f"'{m}'" for m in C.MONTH_NAMES) + "]"
 _PAD = "  "
@@ -349,7 +349,7 @@ def b10_spread(spark, sf):
     kept = tables[C.TENDERS].filter(F.col(C.ROW_ORD) % 10 != 0)
     dims = gold.build_dimensions(kept, tables[C.ITEMS], tables[C.BIDS])
     fact, orphans = gold.build_fact_item(
-        tables[C.ITEMS], kept, dims, rows_per_task=500, broadcast_rows=0
+        tables[C.ITEMS], kept, dims, rows_per_task=500, broadcast_bytes=0
     )
     s = gold.Star(**dims, fato_item_licitacao=fact, fato_participacao=fact)
     return _named_items(s).select(
@@ -545,3 +545,43 @@ SELECT 'valor_total' AS medida, SUM(centavos) / 100.0 AS soma_partes, SUM(centav
 )
 def g3(spark, sf):
     return reconcile_months(star(spark, sf))
+
+
+@query(
+    "g3_row_balance",
+    "SELECT dataset, true AS confere FROM (" + SQL["b12_quality_report"] + ")",
+)
+def g3_balance(spark, sf):
+    report = S.quality_report({name: _marked(spark, sf, name) for name in _RAW})
+    unbalanced = K.row_balance(report).select("dataset", F.lit(False).alias("confere"))
+    return report.select("dataset").join(unbalanced, "dataset", "left").select(
+        "dataset", F.coalesce("confere", F.lit(True)).alias("confere")
+    )
+
+
+@query(
+    "s11_read_silver",
+    "SELECT dataset, linhas_saida AS linhas FROM (" + SQL["b12_quality_report"]
+    + ") WHERE dataset <> 'empenhos_relacionados'",
+)
+def s11(spark, sf):
+    """Three written tables, read back without their rejected rows."""
+    root = new_folder(spark, "silver")
+    for name in (C.TENDERS, C.ITEMS, C.BIDS):
+        S.write_silver(S.CLEANERS[name](_RAW[name](spark, sf)), root, name)
+    return _counts(S.read_silver(spark, root)).withColumnRenamed("tabela", "dataset")
+
+
+@query(
+    "k1_silver_write",
+    """
+SELECT CASE WHEN o_orderkey % 23 = 0 THEN 'valor_negativo' ELSE 'aceita' END AS situacao_linha,
+  COUNT(*) AS linhas FROM orders GROUP BY 1""",
+)
+def k1(spark, sf):
+    """Writing a table again replaces it."""
+    root = new_folder(spark, "silver")
+    marked = S.CLEANERS[C.TENDERS](_raw_tenders(spark, sf))
+    for _ in range(2):
+        S.write_silver(marked, root, C.TENDERS)
+    return S.read_marked(spark, root, C.TENDERS).groupBy(S.STATE).agg(F.count(F.lit(1)).alias("linhas"))
