@@ -20,7 +20,7 @@ from tenderlake.operators.keys import latest_by_key, union_periods
 from tenderlake.session import delete_path, path_exists
 
 FILE, BLOCK, LINE_ID = "_arquivo", "_bloco", "_id_linha"
-HASH_LIMIT = 1 << 30
+HASH_LIMIT = 256 << 20
 MANIFEST = "manifesto"
 
 MANIFEST_SCHEMA = (
