@@ -13,7 +13,7 @@ import time
 
 from tenderlake import contracts as C
 from tenderlake.plans import gold, publish
-from tenderlake.session import build_session, new_folder
+from tenderlake.session import build_session, new_folder, side_by_side
 from workload import QUERIES, adapters
 
 HEADLINES = (
@@ -51,12 +51,9 @@ def main() -> None:
     dims = timed("build_dimensions", lambda: gold.build_dimensions(tenders, items, bids))
 
     def facts():
-        won, _ = gold.build_fact_item(items, tenders, dims)
-        offered = gold.build_fact_bid(bids, dims)
-        return {
-            "fato_item_licitacao": gold.number_fact(won, C.FATO_ITEM),
-            "fato_participacao": gold.number_fact(offered, C.FATO_PARTICIPACAO),
-        }
+        won = lambda: gold.number_fact(gold.build_fact_item(items, tenders, dims)[0], C.FATO_ITEM)
+        offered = lambda: gold.number_fact(gold.build_fact_bid(bids, dims), C.FATO_PARTICIPACAO)
+        return side_by_side(spark, {C.FATO_ITEM.name: won, C.FATO_PARTICIPACAO.name: offered})
 
     built = dims | timed("build_facts", facts)
     root = new_folder(spark, "warehouse")

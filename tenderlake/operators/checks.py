@@ -125,30 +125,32 @@ def _foreign_keys(df: DataFrame, tables: dict[str, DataFrame], table: Table) ->
         return None
     cells = F.array(
         *[
-            F.struct(F.lit(c.name).alias("coluna"), named(c.name).cast("long").alias("chave"))
-            for c in columns
+            F.struct(F.lit(i).alias("fk"), named(c.name).cast("long").alias("chave"))
+            for i, c in enumerate(columns)
         ]
     )
     used = (
         df.select(F.inline(cells))
         .filter("chave IS NOT NULL")
-        .groupBy("coluna", "chave")
+        .groupBy("fk", "chave")
         .agg(F.count(F.lit(1)).alias("linhas"))
     )
     known = reduce(
         DataFrame.unionByName,
         [
             tables[c.references[0]].select(
-                F.lit(c.name).alias("coluna"), named(c.references[1]).cast("long").alias("chave")
+                F.lit(i).alias("fk"), named(c.references[1]).cast("long").alias("chave")
             )
-            for c in columns
+            for i, c in enumerate(columns)
         ],
     )
-    lost = used.join(known, ["coluna", "chave"], "left_anti").groupBy("coluna").agg(
+    lost = used.join(known, ["fk", "chave"], "left_anti").groupBy("fk").agg(
         F.sum("linhas").alias("n")
     )
-    rules = df.sparkSession.createDataFrame([(c.name,) for c in columns], "coluna string")
-    return rules.join(F.broadcast(lost), "coluna", "left").select(
+    rules = df.sparkSession.createDataFrame(
+        [(i, c.name) for i, c in enumerate(columns)], "fk int, coluna string"
+    )
+    return rules.join(F.broadcast(lost), "fk", "left").select(
         F.lit(table.name).alias("tabela"),
         F.lit("foreign_key").alias("regra"),
         "coluna",

@@ -26,7 +26,7 @@ from tenderlake.operators.keys import (
     first_by_key,
     union_ranked,
 )
-from tenderlake.session import staged
+from tenderlake.session import side_by_side, staged
 
 _UNIT = {
     "Código UG": "codigo_ug",
@@ -188,21 +188,22 @@ def build_fact_item(
         C.ROW_ORD,
     )
     spread = _spreader(slim, rows_per_task, broadcast_bytes)
-    fact = lookup(
-        slim, context, [(k, k) for k in context_key], ["sk_tempo", "sk_orgao"], "inner",
-        null_safe=True, **spread(context_key),
-    )
+    # The long text goes first: once it is a key, no later shuffle carries it.
     fact = lookup_key(
-        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
-        null_safe=True, **spread(C.TENDER_KEY),
+        slim, dims["dim_produto"], [("Descrição", "descricao_item")], "sk_produto",
+        null_safe=True, **spread(["Descrição"]),
     )
     fact = lookup_key(
         fact, dims["dim_fornecedor"], [("Código Vencedor", "codigo_fornecedor")],
         "sk_fornecedor", **spread(["Código Vencedor"]),
     )
+    fact = lookup(
+        fact, context, [(k, k) for k in context_key], ["sk_tempo", "sk_orgao"], "inner",
+        null_safe=True, **spread(context_key),
+    )
     fact = lookup_key(
-        fact, dims["dim_produto"], [("Descrição", "descricao_item")], "sk_produto",
-        null_safe=True, **spread(["Descrição"]),
+        fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
+        null_safe=True, **spread(C.TENDER_KEY),
     )
     price = X.unit_price(F.col("valor_item"), F.col("quantidade_item"))
     named_fact = fact.withColumn("valor_unitario_item", price).select(
@@ -227,12 +228,12 @@ def build_fact_bid(
     )
     spread = _spreader(slim, rows_per_task, broadcast_bytes)
     fact = lookup_key(
-        slim, dims["dim_fornecedor"], [("Código Participante", "codigo_fornecedor")],
-        "sk_fornecedor", **spread(["Código Participante"]),
+        slim, dims["dim_produto"], [("Descrição Item Compra", "descricao_item")], "sk_produto",
+        null_safe=True, **spread(["Descrição Item Compra"]),
     )
     fact = lookup_key(
-        fact, dims["dim_produto"], [("Descrição Item Compra", "descricao_item")], "sk_produto",
-        null_safe=True, **spread(["Descrição Item Compra"]),
+        fact, dims["dim_fornecedor"], [("Código Participante", "codigo_fornecedor")],
+        "sk_fornecedor", **spread(["Código Participante"]),
     )
     fact = lookup_key(
         fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
@@ -245,14 +246,16 @@ def build_dimensions(
     tenders: DataFrame, items: DataFrame, participants: DataFrame
 ) -> dict[str, DataFrame]:
     """The five dimensions, written, so that fact lookups know their sizes."""
-    dims = {
-        "dim_tempo": build_dim_date(tenders),
-        "dim_orgao": build_dim_unit(tenders)[0],
-        "dim_fornecedor": build_dim_supplier(items, participants),
-        "dim_produto": build_dim_product(items, participants),
-        "dim_licitacao": build_dim_tender(tenders),
+    builders = {
+        "dim_tempo": lambda: build_dim_date(tenders),
+        "dim_orgao": lambda: build_dim_unit(tenders)[0],
+        "dim_fornecedor": lambda: build_dim_supplier(items, participants),
+        "dim_produto": lambda: build_dim_product(items, participants),
+        "dim_licitacao": lambda: build_dim_tender(tenders),
     }
-    return {name: staged(dim) for name, dim in dims.items()}
+    return side_by_side(
+        tenders.sparkSession, {name: lambda b=b: staged(b()) for name, b in builders.items()}
+    )
 
 
 def number_fact(fact: DataFrame, table: C.Table, ordered: bool = False) -> DataFrame:
@@ -271,10 +274,15 @@ def build_star(
 ) -> Star:
     """All seven tables; ``ordered`` numbers the facts in source order."""
     dims = build_dimensions(tenders, items, participants)
-    won, _ = build_fact_item(items, tenders, dims)
-    bids = build_fact_bid(participants, dims)
-    return Star(
-        **dims,
-        fato_item_licitacao=number_fact(won, C.FATO_ITEM, ordered),
-        fato_participacao=number_fact(bids, C.FATO_PARTICIPACAO, ordered),
+    facts = side_by_side(
+        tenders.sparkSession,
+        {
+            "fato_item_licitacao": lambda: number_fact(
+                build_fact_item(items, tenders, dims)[0], C.FATO_ITEM, ordered
+            ),
+            "fato_participacao": lambda: number_fact(
+                build_fact_bid(participants, dims), C.FATO_PARTICIPACAO, ordered
+            ),
+        },
     )
+    return Star(**dims, **facts)

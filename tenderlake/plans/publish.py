@@ -9,7 +9,7 @@ and a period that did not change is carried over by name, not by copy.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -21,7 +21,7 @@ from tenderlake import contracts as C
 from tenderlake.functions.columns import named
 from tenderlake.operators.checks import check_contract, open_gate
 from tenderlake.plans.gold import Star
-from tenderlake.session import path_exists
+from tenderlake.session import path_exists, side_by_side
 
 _LIST = "publicacoes"
 _LIST_SCHEMA = (
@@ -105,11 +105,14 @@ def version_path(root: str, version: str, table: str) -> str:
     return f"{root}/versoes/{version}/{table}"
 
 
-def stage_version(tables: dict[str, DataFrame], root: str) -> str:
+def stage_version(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
     """Write tables under a new version that no reader sees yet."""
     version = new_version()
-    for name, df in tables.items():
-        df.write.parquet(version_path(root, version, name))
+
+    def write(name: str, df: DataFrame) -> Callable[[], None]:
+        return lambda: df.write.parquet(version_path(root, version, name))
+
+    side_by_side(spark, {name: write(name, df) for name, df in tables.items()})
     return version
 
 
@@ -177,7 +180,7 @@ def publish_if_clean(
     The checks read the staged files, that is, exactly what would be published.
     ``more_checks`` are further results in the shape of the contract check.
     """
-    version = stage_version(conform_all(tables, contract), root)
+    version = stage_version(spark, conform_all(tables, contract), root)
     staged = [Part(t.name, version_path(root, version, t.name)) for t in contract]
     written = read_tables(spark, staged, contract)
     results = check_contract(written, contract)

@@ -89,10 +89,12 @@ def mark_items(df: DataFrame) -> DataFrame:
             "Valor Item": X.parse_brl(named("Valor Item")),
             "Quantidade Item": X.parse_number(named("Quantidade Item")),
             "Código Vencedor": winner,
-            "tipo_documento_vencedor": X.classify_winner_doc(winner),
         }
     )
-    marked = _collapse(clean, "Valor Item")
+    # What follows from other columns is added after equal rows have met.
+    marked = _collapse(clean, "Valor Item").withColumn(
+        "tipo_documento_vencedor", X.classify_winner_doc(named("Código Vencedor"))
+    )
     return X.fill_missing_code(marked, "Código Item Compra", C.ROW_ORD, "codigo_item_gerado")
 
 

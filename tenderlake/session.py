@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+R = TypeVar("R")
+
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 SESSION_DEFAULTS = {
@@ -86,6 +92,15 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return files.delete(target, True)
 
 
+def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], R]]) -> dict[str, R]:
+    """Run independent actions at the same time, so that small ones do not wait in line."""
+    with ThreadPoolExecutor(max_workers=len(jobs) or 1) as pool:
+        started = {
+            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+        }
+        return {name: running.result() for name, running in started.items()}
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

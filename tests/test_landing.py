@@ -1,8 +1,11 @@
 """Landing files to bronze tables."""
 
+import csv
 import hashlib
 from pathlib import Path
+from random import Random
 
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -183,6 +186,40 @@ def test_open_quotes(spark, line, is_open):
     assert df.select(L.has_open_quote(F.col("l"))).first()[0] == is_open
 
 
+def test_lines_called_whole_are_whole_records(spark):
+    """Random lines, against the csv module: a whole line never swallows the next one."""
+    random = Random(7)
+    lines = ["".join(random.choices('";a ', k=random.randint(1, 12))) for _ in range(4000)]
+    df = spark.createDataFrame([(line,) for line in lines], "l string")
+    found = df.select("l", L.has_open_quote(F.col("l")).alias("o")).collect()
+    whole = [r.l for r in found if not r.o]
+    assert 200 < len(whole) < 3800
+    for line in whole:
+        assert len(list(csv.reader([line + "\n", "zz\n"], delimiter=";"))) == 2, line
+
+
+def test_random_files_read_like_a_reference_parser(spark, tmp_path, write_csv):
+    """Random cells with quotes, separators, line ends, accents and missing markers."""
+    random = Random(11)
+    pieces = ["a", "ç", '"', ";", "\n", " ", "\u00a0", "NA", "1,5", "nan", ""]
+    cells = [["".join(random.choices(pieces, k=random.randint(0, 4))) for _ in TENDER] for _ in range(300)]
+    cells = [[str(i), *row[1:]] for i, row in enumerate(cells)]
+    for month, plain in (("01", False), ("02", True)):
+        path = Path(write_csv.folder) / f"2024{month}_Licitação.csv"
+        with path.open("w", encoding="latin-1", newline="") as out:
+            writer = csv.writer(out, delimiter=";", lineterminator="\n", quoting=csv.QUOTE_ALL if plain else csv.QUOTE_MINIMAL)
+            writer.writerow(TENDER)
+            writer.writerows([c.replace("\n", "|") for c in row] if plain else row for row in cells)
+    bronze = str(tmp_path / "bronze")
+    outcomes = {r.mes: r for r in L.ingest_folder(spark, write_csv.folder, bronze).collect()}
+    assert {m: (r.linhas, r.divisivel) for m, r in outcomes.items()} == {"01": (300, False), "02": (300, True)}
+    got = load_bronze(spark, bronze, C.TENDERS).orderBy(C.ROW_ORD).collect()
+    for month in ("01", "02"):
+        expected = pd.read_csv(f"{write_csv.folder}/2024{month}_Licitação.csv", sep=";", encoding="latin-1", dtype=str)
+        expected = [[None if pd.isna(v) else v for v in row] for row in expected.values.tolist()]
+        assert [[r[c] for c in TENDER] for r in got if r[C.MONTH_PART] == month] == expected
+
+
 def test_record_longer_than_header_stops(spark, tmp_path, write_csv):
     folder = write_csv("202401_Licitação.csv", TENDER, (*ROW, "a mais"))
     with pytest.raises(PySparkException, match="record longer than header"):

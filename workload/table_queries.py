@@ -426,9 +426,9 @@ def i8(spark, sf):
     first = table(spark, sf, "lineitem").filter("l_linenumber = 1").select(text("l_orderkey").alias("numero_licitacao"))
     part = first.join(numbers, "numero_licitacao").select("sk_licitacao")
     columns = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "sk_licitacao" else F.col(f.name) for f in fact.schema.fields]
-    old = publish.stage_version({**tables, "fato_item_licitacao": part.select(*columns)}, root)
+    old = publish.stage_version(spark, {**tables, "fato_item_licitacao": part.select(*columns)}, root)
     publish.publish_version(spark, root, old)
-    new = publish.stage_version(tables, root)
+    new = publish.stage_version(spark, tables, root)
     before = publish.read_version(spark, root).fato_item_licitacao.agg(F.count(F.lit(1)).alias("antes"))
     publish.publish_version(spark, root, new)
     after = publish.read_version(spark, root).fato_item_licitacao.agg(F.count(F.lit(1)))
