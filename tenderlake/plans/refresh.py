@@ -12,7 +12,7 @@ from tenderlake.operators.checks import open_gate, row_balance
 from tenderlake.plans import publish, silver
 from tenderlake.plans.gold import build_star
 from tenderlake.plans.period_load import load_period
-from tenderlake.session import size_shuffles
+from tenderlake.session import scratch, size_shuffles
 from tenderlake.sources.bronze import load_bronze
 from tenderlake.sources.landing import ingest_folder, listing
 
@@ -51,21 +51,23 @@ def refresh(spark: SparkSession, landing: str, root: str) -> dict[str, int]:
     size = listing(spark, landing).agg(F.sum("bytes")).first()[0]
     size_shuffles(spark, size or 0)
     ingest_folder(spark, landing, f"{root}/bronze")
-    report = bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver")
-    clean = silver.read_silver(spark, f"{root}/silver")
-    star = build_star(clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS])
-    return publish.publish_if_clean(
-        spark, star.tables(), f"{root}/warehouse", more_checks=[balance_check(report)]
-    )
+    with scratch(spark):
+        report = bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver")
+        clean = silver.read_silver(spark, f"{root}/silver")
+        star = build_star(clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS])
+        return publish.publish_if_clean(
+            spark, star.tables(), f"{root}/warehouse", more_checks=[balance_check(report)]
+        )
 
 
 def refresh_period(spark: SparkSession, root: str, year: str, month: str) -> dict[str, int]:
     """Clean one ingested month and load it into the star, leaving other months alone."""
     silver_root = f"{root}/silver_periodos/{year}-{month}"
-    report = bronze_to_silver(spark, f"{root}/bronze", silver_root, [(year, month)])
-    open_gate(balance_check(report))
-    clean = silver.read_silver(spark, silver_root)
-    return load_period(
-        spark, f"{root}/warehouse", f"{year}-{month}",
-        clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS],
-    )
+    with scratch(spark):
+        report = bronze_to_silver(spark, f"{root}/bronze", silver_root, [(year, month)])
+        open_gate(balance_check(report))
+        clean = silver.read_silver(spark, silver_root)
+        return load_period(
+            spark, f"{root}/warehouse", f"{year}-{month}",
+            clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS],
+        )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -27,6 +29,7 @@ SESSION_DEFAULTS = {
 
 SHUFFLE_BYTES = 1 << 30
 
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 _local_folders: dict[str, str] = {}
 
 
@@ -81,6 +84,8 @@ def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at a durable table."""
     spark = df.sparkSession
     path = new_folder(spark, "staged")
+    if (kept := _scratch.get()) is not None:
+        kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -92,11 +97,29 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return files.delete(target, True)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends, whichever way it ends.
+
+    For jobs that write their result elsewhere: frames built on staged tables do not
+    outlive the block.
+    """
+    paths: list[str] = []
+    token = _scratch.set(paths)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
 def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], R]]) -> dict[str, R]:
     """Run independent actions at the same time, so that small ones do not wait in line."""
     with ThreadPoolExecutor(max_workers=len(jobs) or 1) as pool:
         started = {
-            name: pool.submit(inheritable_thread_target(spark)(job)) for name, job in jobs.items()
+            name: pool.submit(copy_context().run, inheritable_thread_target(spark)(job))
+            for name, job in jobs.items()
         }
         return {name: running.result() for name, running in started.items()}
 

@@ -12,7 +12,7 @@ from tenderlake.plans import incremental as I
 from tenderlake.plans import publish as P
 from tenderlake.plans.period_load import drop_period
 from tenderlake.plans.refresh import refresh, refresh_period
-from tenderlake.session import shared_dir, size_shuffles
+from tenderlake.session import path_exists, scratch, shared_dir, side_by_side, size_shuffles, staged
 from tenderlake.sources.landing import ingest_folder
 
 TABLE = C.Table(
@@ -262,6 +262,23 @@ def test_shuffles_grow_with_the_input(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_staged_tables_go_with_their_job(spark):
+    paths = []
+
+    def stage():
+        table = staged(spark.range(3))
+        paths.extend(table.inputFiles())
+        return table.count()
+
+    with pytest.raises(ValueError), scratch(spark):
+        assert side_by_side(spark, {"a": stage, "b": stage}) == {"a": 3, "b": 3}
+        assert all(path_exists(spark, p) for p in paths)
+        raise ValueError
+    assert paths and not any(path_exists(spark, p) for p in paths)
+    stage()
+    assert path_exists(spark, paths[-1])
+
+
 class Settings:
     """Stands in for a session: only its settings are asked for."""
 
