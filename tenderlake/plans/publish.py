@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named
-from tenderlake.operators.checks import check_contract, open_gate
+from tenderlake.operators.checks import GateClosed, check_contract, open_gate
 from tenderlake.plans.gold import Star
-from tenderlake.session import path_exists, side_by_side
+from tenderlake.session import delete_path, path_exists, side_by_side
 
 _LIST = "publicacoes"
 _LIST_SCHEMA = (
@@ -186,11 +186,33 @@ def publish_if_clean(
     results = check_contract(written, contract)
     for check in more_checks:
         results = results.unionByName(check)
-    open_gate(results)
+    try:
+        open_gate(results)
+    except GateClosed:
+        delete_path(spark, f"{root}/versoes/{version}")
+        raise
     publish_parts(spark, root, version, staged)
     return row_counts(written)
 
 
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete folders that none of the last ``keep`` publications uses; returns them.
+
+    Readers of an older version lose it, so ``keep`` has to cover the longest-running query.
+    """
+    path = f"{root}/{_LIST}"
+    if keep < 1 or not path_exists(spark, path):
+        return []
+    entries = spark.read.schema(_LIST_SCHEMA).parquet(path)
+    last = entries.agg(F.max("ordem")).scalar()
+    kept = entries.filter(F.col("ordem") > last - keep).select("caminho")
+    unused = entries.select("caminho").distinct().join(kept, "caminho", "left_anti")
+    folders = sorted(r.caminho for r in unused.collect() if path_exists(spark, r.caminho))
+    for folder in folders:
+        delete_path(spark, folder)
+    return folders
+
+
 def load_warehouse(spark: SparkSession, star: Star, root: str) -> dict[str, int]:
     """Full reload: the new tables replace the old ones in one step. Returns rows per table."""
     return publish_if_clean(spark, star.tables(), root)

@@ -42,10 +42,23 @@ def test_gate_keeps_the_published_version(spark, tmp_path):
     with pytest.raises(GateClosed, match="t.nome length: 2"):
         P.publish_if_clean(spark, {"t": bad}, root, (TABLE,))
     assert P.current_version(spark, root) == first
+    assert [p.name for p in (tmp_path / "versoes").iterdir()] == [first]
     assert P.publish_if_clean(spark, {"t": good.limit(1)}, root, (TABLE,)) == {"t": 1}
     assert P.current_version(spark, root) != first
 
 
+def test_expired_versions_go_and_used_folders_stay(spark, tmp_path):
+    root = str(tmp_path)
+    frame = spark.createDataFrame([(1, "a", 1.0)], "id int, nome string, v double")
+    for _ in range(4):
+        P.publish_if_clean(spark, {"t": frame}, root, (TABLE,))
+    # A publication that carries the current folder over by name.
+    P.publish_parts(spark, root, P.new_version(), P.current_parts(spark, root))
+    assert len(P.expire_versions(spark, root, keep=2)) == 3
+    assert P.read_tables(spark, P.current_parts(spark, root), (TABLE,))["t"].count() == 1
+    assert P.expire_versions(spark, root, keep=2) == []
+
+
 def test_nothing_published(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         P.read_version(spark, str(tmp_path))
