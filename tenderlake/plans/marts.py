@@ -20,6 +20,8 @@ from tenderlake.plans.gold import Star
 
 ANOMALY_VIEW = "vw_anomalias_preco"
 
+_FEW = 10_000
+
 _ANOMALY = (
     "nome_fornecedor", "descricao_item", "valor_unitario_item", "preco_medio_produto",
     "desvios_acima_da_media",
@@ -132,15 +134,22 @@ def _most_extreme(rows: DataFrame, k: int) -> DataFrame:
     ).limit(k)
 
 
+def _named(rows: DataFrame, k: int, dims: Sequence[tuple[DataFrame, str]]) -> DataFrame:
+    """Look up names of at most ``k`` rows: the rows go to the dimensions, not the reverse."""
+    for dim, sk in dims:
+        rows = (F.broadcast(rows) if k <= _FEW else rows).join(dim, sk)
+    return rows
+
+
 def overpriced_suppliers(
     star: Star, sigmas: float = 2, min_count: int = 5, k: int = 30
 ) -> DataFrame:
     """The k most extreme prices with supplier and product."""
     rows = price_outliers(star, sigmas, min_count).filter("sk_fornecedor IS NOT NULL")
-    named = (
-        _most_extreme(rows, k)
-        .join(star.dim_fornecedor, "sk_fornecedor")
-        .join(star.dim_produto, "sk_produto")
+    named = _named(
+        _most_extreme(rows, k),
+        k,
+        [(star.dim_fornecedor, "sk_fornecedor"), (star.dim_produto, "sk_produto")],
     )
     return _most_extreme(named, k).select(*_ANOMALY)
 
@@ -150,14 +159,17 @@ def price_anomalies(star: Star, sigmas: float = 2, min_count: int = 5, k: int =
     rows = price_outliers(star, sigmas, min_count).filter(
         "sk_fornecedor IS NOT NULL AND sk_orgao IS NOT NULL"
     )
-    named = (
-        _most_extreme(rows, k)
-        .join(star.dim_fornecedor, "sk_fornecedor")
-        .join(star.dim_produto, "sk_produto")
-        .join(star.dim_orgao, "sk_orgao")
-        .join(star.dim_tempo, "sk_tempo", "left")
+    named = _named(
+        _most_extreme(rows, k),
+        k,
+        [
+            (star.dim_fornecedor, "sk_fornecedor"),
+            (star.dim_produto, "sk_produto"),
+            (star.dim_orgao, "sk_orgao"),
+        ],
     )
-    return _most_extreme(named, k).select("data", "nome_orgao", "uf", *_ANOMALY)
+    dated = named.join(star.dim_tempo, "sk_tempo", "left")
+    return _most_extreme(dated, k).select("data", "nome_orgao", "uf", *_ANOMALY)
 
 
 def _with_names(star: Star, rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
