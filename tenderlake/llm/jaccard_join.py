@@ -178,32 +178,41 @@ def candidate_lists(docs: DataFrame, frequent: np.ndarray, width: int, percent:
     return lists.distinct()
 
 
+def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pd.DataFrame:
+    """Different ids as pairs ``a < b``, each once."""
+    a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b].drop_duplicates()
+
+
 def _star_pairs(frames: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     """Every member with the first member of its sizes."""
     for pdf in frames:
+        left, right = [], []
         for members, sizes in zip(pdf["members"], pdf["sizes"]):
-            members, sizes = np.asarray(members), np.asarray(sizes)
-            pivots = np.zeros(len(members), np.int64)
             at = 0
             while at < len(members):
                 stop = int(np.searchsorted(sizes, sizes[at] * 100 // percent, side="right"))
-                pivots[at:stop] = at
+                left.append(np.repeat(members[at], stop - at))
+                right.append(members[at:stop])
                 at = stop
-            a, b = members[pivots], members
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})[a != b]
+        yield _pairs(left, right)
 
 
 def _open_pairs(frames: Iterator[pd.DataFrame], percent: int) -> Iterator[pd.DataFrame]:
     """Pairs of members of different classes whose sizes may link."""
     for pdf in frames:
         for members, sizes, classes in zip(pdf["members"], pdf["sizes"], pdf["classes"]):
-            members, sizes, classes = np.asarray(members), np.asarray(sizes), np.asarray(classes)
-            stops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+            left, right, held = [], [], 0
+            stops = np.searchsorted(sizes, np.asarray(sizes) * 100 // percent, side="right")
             for i, stop in enumerate(stops.tolist()):
                 other = np.flatnonzero(classes[i + 1 : stop] != classes[i]) + i + 1
-                if len(other):
-                    a, b = np.full(len(other), members[i]), members[other]
-                    yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                left.append(np.repeat(members[i], len(other)))
+                right.append(members[other])
+                held += len(other)
+                if held >= _FLUSH:
+                    yield _pairs(left, right)
+                    left, right, held = [], [], 0
+            yield _pairs(left, right)
 
 
 def _links(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
