@@ -33,7 +33,7 @@ PERCENT = 75
 MOST_FREQUENT = 1 << 22
 #: An n-gram of more documents than this may stand last.
 FREQUENT = 32
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 
 
 def ngram_sets(texts: pd.Series, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -85,7 +85,7 @@ def frequent_ngrams(docs: DataFrame, width: int, buckets: int, first, most: int
             for grams in ngram_sets(pdf["text"], width):
                 held.append(grams >> np.uint64(32))
                 size += len(grams)
-                if size >= 2 * _FLUSH:
+                if size >= _FLUSH:
                     yield flush()
                     held, size = [], 0
         if size:
