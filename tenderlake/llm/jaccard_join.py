@@ -300,12 +300,12 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Of several rows with the id of a kept document the smallest (by all columns) stays. Rows without id stay.
     """
     classes = jaccard_classes(docs, doc_id, text)
-    lost = classes.where("id <> component").select("id")
-    twice = staged(docs.groupBy(F.col(doc_id).alias("id")).count().where("count > 1 and id is not null").select("id"))
-    key = docs[doc_id] == F.col("id")
+    lost = classes.where("id <> component").select(F.col("id").alias("__id"))
+    twice = staged(docs.groupBy(F.col(doc_id).alias("__id")).agg(F.count("*").alias("__n")).where("__n > 1 and __id is not null").select("__id"))
+    key = docs[doc_id] == F.col("__id")
     once = docs.join(lost.unionByName(twice).distinct(), key, "left_anti")
     if twice.isEmpty():
         return once
-    first = docs.join(twice.join(lost, "id", "left_anti"), key, "left_semi").groupBy(doc_id)
-    row = first.agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    first = docs.join(twice.join(lost, "__id", "left_anti"), key, "left_semi").groupBy(doc_id)
+    row = first.agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
     return once.unionByName(row)
