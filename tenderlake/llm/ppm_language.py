@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.llm.arrays import chunks
 from tenderlake.llm.sampling import sample_per_label
+from tenderlake.session import staged
 
 ORDER = 4
 #: Bound of the training sample, in documents of each language.
@@ -66,7 +67,7 @@ class Model:
         return np.add.reduceat(flat, starts, axis=0, dtype=np.int64)
 
 
-def _gram_counts(sample: DataFrame, order: int) -> pd.DataFrame:
+def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
     """``lang, gram, n``: byte sequences of 1 to ``order + 1`` bytes, length in the top byte."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,17 +84,24 @@ def _gram_counts(sample: DataFrame, order: int) -> pd.DataFrame:
                         yield pd.DataFrame({"lang": lang, "gram": found | ((k + 1) << 56), "n": n})
 
     grams = sample.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")
-    return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _build(counts: pd.DataFrame, order: int) -> Model | None:
+def _of_frequent_contexts(grams: DataFrame) -> DataFrame:
+    """Without the sequences whose context, all but the last byte, is rare in all languages together."""
+    length, body = F.shiftright("gram", 56), F.col("gram").bitwiseAND(F.lit((1 << 56) - 1))
+    keyed = grams.withColumn("context", F.shiftright(body, 8).bitwiseOR(F.shiftleft(length - 1, 56)))
+    frequent = keyed.groupBy("context").agg(F.sum("n").alias("seen")).where(F.col("seen") >= LEAST_SEEN).select("context")
+    return keyed.join(frequent, "context", "left_semi").drop("context")
+
+
+def _build(counts: pd.DataFrame, languages: list[str], order: int) -> Model | None:
     if counts.empty:
         return None
-    languages = sorted(counts["lang"].unique())
     gram = counts["gram"].to_numpy(np.int64)
     length, body = gram >> 56, gram & ((1 << 56) - 1)
     n = counts["n"].to_numpy(np.int64)
-    lang = np.searchsorted(languages, counts["lang"].to_numpy())
+    lang = counts["lang"].to_numpy(np.int64)
     symbol = np.zeros(256, np.int32)
     seen = np.unique(body & 255)
     symbol[seen] = np.arange(1, len(seen) + 1)
@@ -117,14 +125,14 @@ def _build(counts: pd.DataFrame, order: int) -> Model | None:
     names = sorted(ids, key=lambda c: (len(c), c))
     ids = {c: i for i, c in enumerate(names)}
     shape = (len(names), width, len(languages))
-    freq = np.zeros(shape, np.float64)
+    freq = np.zeros(shape, np.float32)
     lookup = {int.from_bytes(c, "big") | (len(c) << 56): i for c, i in ids.items()}
     row = np.array([lookup.get(int(k), -1) for k in (context | ((length - 1) << 56)).tolist()])
     held = row >= 0
     freq[row[held], symbol[body[held] & 255], lang[held]] = n[held]
     total, kinds = freq.sum(axis=1), (freq > 0).sum(axis=1)
     known = total > 0
-    escape = np.where(known, -np.log2(np.where(known, kinds, 1) / np.where(known, total + kinds, 1)), 0.0)
+    escape = np.where(known, -np.log2(np.where(known, kinds, 1) / np.where(known, total + kinds, 1)), 0.0).astype(np.float32)
     cost = np.zeros(shape, np.float32)
     following = np.zeros((len(names), width), np.int32)
     levels = np.array([len(c) for c in names])
@@ -132,14 +140,15 @@ def _build(counts: pd.DataFrame, order: int) -> Model | None:
     children = [np.flatnonzero(levels == level + 1).tolist() for level in range(order + 1)]
     for level in range(order + 1):
         at = np.flatnonzero(levels == level)
-        shorter = np.full((len(at), width, len(languages)), 8.0) if level == 0 else cost[suffix[at]]
-        own = -np.log2(np.where(freq[at] > 0, freq[at], 1) / np.maximum(total[at] + kinds[at], 1)[:, None, :])
+        shorter = np.full((len(at), width, len(languages)), 8.0, np.float32) if level == 0 else cost[suffix[at]]
+        own = -np.log2(np.where(freq[at] > 0, freq[at], 1) / np.maximum(total[at] + kinds[at], 1).astype(np.float32)[:, None, :])
         cost[at] = np.where(freq[at] > 0, own, shorter + escape[at][:, None, :])
         if level:
             following[at] = following[suffix[at]]
         for child in children[level]:
             following[ids[names[child][:-1]], symbol[names[child][-1]]] = child
-    cost = np.rint(cost * _UNIT).astype(np.int32).reshape(-1, len(languages))
+    np.rint(cost * _UNIT, out=cost)
+    cost = cost.astype(np.int32).reshape(-1, len(languages))
     return Model(languages, symbol, width, following.ravel(), cost, order)
 
 
@@ -151,7 +160,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     """
     labelled = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"))
     labelled = labelled.where("text is not null and lang is not null")
-    return _build(_gram_counts(sample_per_label(labelled, "lang", "key", rows), order), order)
+    grams = staged(_gram_counts(sample_per_label(labelled, "lang", "key", rows), order))
+    languages = sorted(r.lang for r in grams.select("lang").distinct().collect())
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
+    counts = _of_frequent_contexts(grams).select(number.alias("lang"), "gram", "n") if languages else grams
+    return _build(counts.toPandas(), languages, order)
 
 
 def predict_language(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
