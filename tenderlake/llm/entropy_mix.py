@@ -120,32 +120,37 @@ class Mix:
     most: int
 
     def copies(self, docs: DataFrame) -> DataFrame:
-        """Add ``size, source_size, target, copies`` to documents."""
-        rows = docs.withColumn("size", words_of(self.text))
-        return _with_copies(rows, self.state, self.key, self.source, self.most).drop("priority")
+        """Add ``size, source_size, target, copies``; columns with these names are replaced."""
+        rows = docs.drop("source_size", "target", "copies").withColumn("size", words_of(self.text))
+        return _with_copies(rows, self.state, self.key, self.source, self.most).drop("__priority")
 
     def take(self, docs: DataFrame) -> DataFrame:
         """Every document as often as it has copies."""
-        kept = self.copies(docs.withColumn("__row", F.struct(*docs.columns))).where("copies > 0")
+        row = F.struct(*docs.columns).alias("__row")
+        rows = docs.select(row, F.col(self.key).alias("__key"), F.col(self.source).alias("__source"), words_of(self.text).alias("size"))
+        kept = _with_copies(rows, self.state, "__key", "__source", self.most).where("copies > 0")
         repeated = kept.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
         return repeated.select("__row.*")
 
 
 def _with_copies(rows: DataFrame, state: DataFrame, key: str, source: str, most: int) -> DataFrame:
-    s = state.withColumnRenamed("source", "__source")
-    joined = rows.join(s, rows[source].eqNullSafe(s["__source"]), "left")
-    rate = F.when(F.col("full"), F.lit(float(most))).otherwise(_rate(F.col("multiplier"), F.col("size"), F.col("mean"), most))
+    s = state.select(*[F.col(c).alias(f"__s_{c}") for c in state.columns])
+    joined = rows.join(s, rows[source].eqNullSafe(s["__s_source"]), "left")
+    rate = F.when(F.col("__s_full"), F.lit(float(most))).otherwise(
+        _rate(F.col("__s_multiplier"), F.col("size"), F.col("__s_mean"), most)
+    )
     whole = F.floor(rate)
     share = F.nullif(rate - whole, F.lit(0.0))
     ratio = _place(key) / share
     priority = ratio / (1 + ratio)
     extra = F.lit(False)
     if "threshold" in state.columns:
-        last = (priority == F.col("last_priority")) & (F.col("size") == F.col("last_size"))
-        extra = F.coalesce(priority < F.col("threshold"), F.lit(False)) | F.coalesce(last, F.lit(False))
+        last = (priority == F.col("__s_last_priority")) & (F.col("size") == F.col("__s_last_size"))
+        extra = F.coalesce(priority < F.col("__s_threshold"), F.lit(False)) | F.coalesce(last, F.lit(False))
     return joined.withColumns({
-        "priority": priority, "copies": (whole + extra.cast("long")).cast("int"),
-    }).drop("__source", "docs", "mean", "multiplier", "full", "threshold", "last_priority", "last_size")
+        "source_size": F.col("__s_source_size"), "target": F.col("__s_target"),
+        "copies": (whole + extra.cast("long")).cast("int"), "__priority": priority,
+    }).drop(*s.columns)
 
 
 def plan_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
@@ -161,7 +166,7 @@ def plan_mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text:
     counts = staged(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     sizes = counts.groupBy("source").agg(F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("size")).alias("source_size"))
     state = staged(balance(counts, source_targets(sizes, weights, most), most))
-    judged = staged(_with_copies(rows, state, "key", "source", most).select("source", "size", "target", "copies", "priority"))
+    judged = staged(_with_copies(rows, state, "key", "source", most).select("source", "size", "target", "copies", F.col("__priority").alias("priority")))
     # the threshold of a source: narrowed down level by level to the bin where the words meet the target
     bounds = judged.groupBy("source").agg(
         (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("need"),

@@ -353,5 +353,6 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html") ->
         found = (main_text(s, w, [] if t is None else list(t), 0 if pd.isna(r) else int(r)) for s, w, t, r in zip(sources, trees, templates, roots))
         return pd.Series(list(found), dtype=object)
 
-    joined = rows.join(wrappers.withColumnRenamed("host", "__host"), "__host", "left")
-    return joined.withColumn("text", extract(html, "wrapper", "template", "root")).drop("__host", "wrapper", "template", "root")
+    wrappers = wrappers.select(*[F.col(c).alias(f"__{c}") for c in ("host", "wrapper", "template", "root")])
+    joined = rows.join(wrappers, "__host", "left")
+    return joined.withColumn("text", extract(html, "__wrapper", "__template", "__root")).drop("__host", "__wrapper", "__template", "__root")

@@ -119,14 +119,14 @@ class Plan:
         """Add ``size`` and ``shard`` (int) to rows; each row is judged by itself."""
         sized = rows.withColumns({"size": document_bytes(self.text), "__hash": _hash(self.key), "__old": F.expr(self.old)})
         single = sized.join(
-            F.broadcast(self.large), (F.col("__hash") == F.col("l_hash")) & (F.col("size") == F.col("l_size")) & (F.col("__old") == F.col("l_old")), "left",
+            F.broadcast(self.large), (F.col("__hash") == F.col("__l_hash")) & (F.col("size") == F.col("__l_size")) & (F.col("__old") == F.col("__l_old")), "left",
         )
         cut = single.join(
             F.broadcast(self.cuts),
-            F.col("l_shard").isNull() & (F.col("__old") == F.col("c_old")) & (F.col("__hash") >= F.col("c_from")) & (F.col("__hash") < F.col("c_below")), "left",
+            F.col("__l_shard").isNull() & (F.col("__old") == F.col("__c_old")) & (F.col("__hash") >= F.col("__c_from")) & (F.col("__hash") < F.col("__c_below")), "left",
         )
-        shard = F.coalesce("l_shard", "c_shard").cast("int")
-        return cut.withColumn("shard", shard).drop("l_hash", "l_size", "l_old", "l_shard", "c_old", "c_from", "c_below", "c_shard")
+        shard = F.coalesce("__l_shard", "__c_shard").cast("int")
+        return cut.withColumn("shard", shard).drop("__l_hash", "__l_size", "__l_old", "__l_shard", "__c_old", "__c_from", "__c_below", "__c_shard")
 
 
 def _hash(key: str) -> Column:
@@ -192,8 +192,8 @@ def plan_resharding(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id",
     lost_or_gained = {o for _, _, o, j in placed if o != j} | {j for _, _, o, j in placed if o != j}
     lost_or_gained |= {x for i, out in enumerate(flow) for j, b in enumerate(out) if b and i != j for x in (i, j)}
     return Plan(
-        spark.createDataFrame(cuts, "c_old int, c_from long, c_below long, c_shard int"),
-        spark.createDataFrame(placed, "l_hash long, l_size long, l_old int, l_shard int"),
+        spark.createDataFrame(cuts, "__c_old int, __c_from long, __c_below long, __c_shard int"),
+        spark.createDataFrame(placed, "__l_hash long, __l_size long, __l_old int, __l_shard int"),
         sorted(lost_or_gained), moved, shards, key, text, old, blocks,
     )
 

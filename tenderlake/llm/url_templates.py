@@ -133,9 +133,9 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: dict[str, str] | None
     verdict = reduce(lambda c, r: c.when(F.col("rule") == r, F.lit(rules[r])), rules, F.when(F.lit(False), F.lit(None).cast("string")))
     labelled = rows.withColumn("__label", verdict)
     trees = rejected_templates(labelled.select("host", "path", F.col("__label").alias("label")))
-    trees = trees.select(F.col("host").alias("t_host"), "first", F.concat(F.lit("/"), F.concat_ws("/", "template")).alias("template"), "purity")
+    trees = trees.select(F.col("host").alias("__t_host"), F.col("first").alias("__t_first"), F.concat(F.lit("/"), F.concat_ws("/", "template")).alias("template"), "purity")
     found = labelled.withColumn("__first", _generalised(F.col("path"))).join(
-        trees, (F.col("host") == F.col("t_host")) & (F.col("__first") == F.col("first")), "left"
+        trees, (F.col("host") == F.col("__t_host")) & (F.col("__first") == F.col("__t_first")), "left"
     )
     judged = F.coalesce("__label", F.when(F.col("purity") >= REJECT_SHARE, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
-    return found.withColumn("verdict", judged).drop("__label", "__first", "t_host", "first")
+    return found.withColumn("verdict", judged).drop("__label", "__first", "__t_host", "__t_first")
