@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.session import new_folder, staged
+from tenderlake.session import new_folder
 
 VERSION = "WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
@@ -190,7 +190,9 @@ def round_trip(pages: DataFrame, path: str | None = None, **names: str | int) ->
     spark = pages.sparkSession
     path = path or new_folder(spark, "warc")
     write_archives(pages, path, **names)
-    captures = assemble(staged(read_records(spark, path)))
+    kept = new_folder(spark, "records")
+    read_records(spark, path).write.option("compression", "zstd").parquet(kept)
+    captures = assemble(spark.read.schema(_RECORD).parquet(kept))
     originals = captures.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
         F.min(F.struct(F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"))).alias("original")
     )
