@@ -268,7 +268,8 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     links = staged(_links(stars, rows, width, percent))
     classes = components(links.unionByName(copies), "a", "b")
-    member = lists.select(F.monotonically_increasing_id().alias("list"), F.posexplode(F.arrays_zip("members", "sizes")).alias("at", "m"))
+    numbered = lists.withColumn("list", F.monotonically_increasing_id())  # before the lists are taken apart
+    member = numbered.select("list", F.posexplode(F.arrays_zip("members", "sizes")).alias("at", "m"))
     member = member.select("list", "at", F.col("m.members").alias("id"), F.col("m.sizes").alias("size"))
     member = member.join(classes, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = member.groupBy("list").agg(
