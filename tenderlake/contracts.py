@@ -68,12 +68,15 @@ MONTH_NAMES = (
 OK, EMPTY, INVALID, BAD_ENCODING = "sucesso", "vazio", "erro_validacao", "erro_encoding"
 STARTED, FAILED = "iniciado", "falha"
 
+# Amounts as they are read: wide enough to test, compare and divide before anything is rounded.
+AMOUNT = T.DecimalType(38, 18)
 MONEY = T.DecimalType(18, 4)
 TENDER_MONEY = T.DecimalType(18, 2)
 
 ROW_ORD = "_row_ord"
 YEAR_PART, MONTH_PART = "_ano_particao", "_mes_particao"
 
+# Key, text and commitment columns of the source.
 TENDER_KEY = ("Número Licitação", "Código UG", "Código Modalidade Compra")
 TENDER_DATE_KEY = TENDER_KEY[:2]
 
@@ -120,6 +123,7 @@ def _text(name: str, length: int | None = None, nullable: bool = True) -> Column
     return Column(name, T.StringType(), nullable, length)
 
 
+# Names, types and rules of the published tables.
 DIM_TEMPO = Table(
     "dim_tempo",
     (

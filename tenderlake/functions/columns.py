@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenderlake.contracts import MONEY, MONTH_NAMES, NULL_TOKENS
+from tenderlake.contracts import AMOUNT, MONEY, MONTH_NAMES, NULL_TOKENS
 
 # \s alone misses the four ASCII separators that Unicode-aware trimming removes.
 _BLANKS = r"(?U)[\s\x1c-\x1f]+"
@@ -49,8 +49,11 @@ def outside_domain(c: Column, domain: Iterable[str]) -> Column:
     return ~F.coalesce(c.isin(*domain), F.lit(False))
 
 
-def parse_brl(c: Column, to: T.DecimalType = MONEY) -> Column:
-    """``1.234,56`` to a decimal. Text that is no number stops the job, as it has no safe reading."""
+def parse_brl(c: Column, to: T.DecimalType = AMOUNT) -> Column:
+    """``1.234,56`` to a decimal. Text that is no number stops the job, as it has no safe reading.
+
+    All places that are written are kept; rounding is left to the load.
+    """
     plain = F.replace(F.replace(c, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
     parsed = plain.try_cast(to)
     broken = c.isNotNull() & parsed.isNull()
@@ -63,9 +66,12 @@ def parse_date_br(c: Column) -> Column:
     return F.try_to_date(c, "d/M/yyyy")
 
 
-def parse_number(c: Column, to: T.DecimalType = MONEY) -> Column:
+def parse_number(c: Column, to: T.DecimalType = AMOUNT) -> Column:
+    """A plain number to a decimal; other text is missing. A number too large to hold stops the job."""
     text = F.trim(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast(to))
+    parsed = text.try_cast(to)
+    too_large = F.raise_error(F.concat(F.lit("number out of range: "), c)).cast(to)
+    return F.when(text.rlike(_NUMBER), F.when(parsed.isNull(), too_large).otherwise(parsed))
 
 
 def parse_period(c: Column, layout: str) -> Column:
@@ -149,7 +155,15 @@ def calendar_attributes(df: DataFrame, name: str) -> DataFrame:
 
 
 def unit_price(value: Column, quantity: Column) -> Column:
-    return F.when(quantity > 0, value / quantity).cast(MONEY)
+    """Value per unit, rounded once, to the places of the load.
+
+    Amounts of at most the load's places divide exactly; more places than that are left to
+    floating point, as a decimal quotient of such operands keeps six places only.
+    """
+    v, q = value.try_cast(MONEY), quantity.try_cast(MONEY)
+    exact = F.when(quantity > 0, v / F.nullif(q, F.lit(0).cast(MONEY))).cast(MONEY)
+    near = F.when(quantity > 0, value.cast("double") / quantity.cast("double")).cast("string").cast(MONEY)
+    return F.when((v == value) & (q == quantity), exact).otherwise(near)
 
 
 def zscore(x: Column, mean: Column, deviation: Column) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.contracts import Table
 from tenderlake.functions.columns import named
+from tenderlake.session import side_by_side
 
 _RESULT = ("tabela", "regra", "coluna", "violacoes")
 
@@ -56,22 +57,24 @@ def _surplus_of_dense(df: DataFrame, key: str) -> DataFrame:
     return buckets.agg(F.coalesce(F.sum(F.col("linhas") - F.col("valores")), F.lit(0)).alias("n"))
 
 
-def _dense_keys(tables: dict[str, DataFrame], contract: Sequence[Table]) -> set[str]:
-    """Tables whose integral key leaves few gaps: at most 64 values of range per row."""
-    extents = []
-    for table in contract:
-        kind = tables[table.name].schema[table.primary_key[0]].dataType
-        if len(table.primary_key) == 1 and isinstance(kind, T.IntegralType):
+def _summaries(tables: dict[str, DataFrame], contract: Sequence[Table]) -> dict[str, Row]:
+    """One row per table from one pass each: offending cells of every rule, and the extent of an integral key."""
+
+    def summary(table: Table) -> Row:
+        df = tables[table.name]
+        counted = [F.count_if(c).alias(f"c{i}") for i, c in enumerate(_cell_rules(table).values())]
+        if len(table.primary_key) == 1 and isinstance(df.schema[table.primary_key[0]].dataType, T.IntegralType):
             key = named(table.primary_key[0]).cast("long")
-            extents.append(
-                tables[table.name].agg(
-                    F.min(key).alias("a"), F.max(key).alias("z"), F.count(key).alias("n")
-                ).withColumn("tabela", F.lit(table.name))
-            )
-    if not extents:
-        return set()
-    found = reduce(DataFrame.unionByName, extents).collect()
-    return {r.tabela for r in found if r.n and r.z - r.a < 64 * r.n}
+            counted += [F.min(key).alias("a"), F.max(key).alias("z"), F.count(key).alias("n")]
+        return df.agg(F.count(F.lit(1)).alias("linhas"), *counted).first()
+
+    spark = tables[contract[0].name].sparkSession
+    return side_by_side(spark, {t.name: lambda t=t: summary(t) for t in contract})
+
+
+def _is_dense(row: Row) -> bool:
+    """Whether an integral key leaves few gaps: at most 64 values of range per row."""
+    return "n" in row and bool(row.n) and row.z - row.a < 64 * row.n
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -90,32 +93,15 @@ def null_keys(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
     return fact.agg(*[F.count_if(named(k).isNull()).alias(k) for k in keys])
 
 
-def _cell_rules(df: DataFrame, table: Table) -> DataFrame | None:
-    """NOT NULL and length rules of a table, counted together in one pass."""
-    counters: dict[tuple[str, str], Column] = {}
+def _cell_rules(table: Table) -> dict[tuple[str, str], Column]:
+    """NOT NULL and length rules of a table, as conditions on the offending cell."""
+    rules: dict[tuple[str, str], Column] = {}
     for column in table.columns:
         if not column.nullable:
-            counters["not_null", column.name] = named(column.name).isNull()
+            rules["not_null", column.name] = named(column.name).isNull()
         if column.max_length:
-            counters["length", column.name] = F.length(named(column.name)) > column.max_length
-    if not counters:
-        return None
-    names = list(counters)
-    counted = df.agg(*[F.count_if(counters[n]).alias(f"c{i}") for i, n in enumerate(names)])
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(rule).alias("regra"),
-                F.lit(column).alias("coluna"),
-                F.col(f"c{i}").alias("n"),
-            )
-            for i, (rule, column) in enumerate(names)
-        ]
-    )
-    flat = counted.select(F.inline(lines))
-    return flat.select(
-        F.lit(table.name).alias("tabela"), "regra", "coluna", F.col("n").alias("violacoes")
-    )
+            rules["length", column.name] = F.length(named(column.name)) > column.max_length
+    return rules
 
 
 def _foreign_keys(df: DataFrame, tables: dict[str, DataFrame], table: Table) -> DataFrame | None:
@@ -162,15 +148,22 @@ def check_contract(tables: dict[str, DataFrame], contract: Sequence[Table]) -> D
     """One row per rule of the contract with the number of violations, zero included.
 
     Primary and unique keys count surplus rows; foreign keys count rows pointing nowhere
-    (a missing key is allowed); cell rules count offending cells.
+    (a missing key is allowed); cell rules count offending cells. Cells and key extents are
+    counted at once, in one pass over each table.
     """
-    results = []
-    dense = _dense_keys(tables, contract)
+    if not contract:
+        raise ValueError("the contract names no table")
+    spark = tables[contract[0].name].sparkSession
+    summaries = _summaries(tables, contract)
+    cells = [
+        (t.name, rule, column, summaries[t.name][f"c{i}"]) for t in contract for i, (rule, column) in enumerate(_cell_rules(t))
+    ]
+    results = [spark.createDataFrame(cells, "tabela string, regra string, coluna string, violacoes long")]
     for table in contract:
         df, key = tables[table.name], table.primary_key
-        surplus = _surplus_of_dense(df, key[0]) if table.name in dense else _surplus(df, key)
+        dense = _is_dense(summaries[table.name])
+        surplus = _surplus_of_dense(df, key[0]) if dense else _surplus(df, key)
         results += [
-            _cell_rules(df, table),
             _foreign_keys(df, tables, table),
             _line(surplus, table.name, "primary_key", ",".join(key)),
             *[_line(_surplus(df, u), table.name, "unique", ",".join(u)) for u in table.unique],

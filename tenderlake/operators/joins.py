@@ -2,8 +2,7 @@
 
 A dimension is broadcast only after its columns have been measured. Beyond the limit the
 join is shuffled, and keys with too many rows for one task are dealt to several. The list
-of such keys is the only side broadcast unmeasured: it cannot hold more than
-(rows of the large side) / (rows per task) entries.
+of such keys, at most (rows of the large side) / (rows per task) entries, is measured too.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.functions.columns import named
+from tenderlake.session import staged
 
 ROWS_PER_TASK = 5_000_000
 BROADCAST_BYTES = 100 << 20
@@ -63,7 +63,9 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def _with_shares(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    renamed = F.broadcast(hot.select(*[named(k).alias(f"_hot_{k}") for k in keys], _SHARES))
+    renamed = hot.select(*[named(k).alias(f"_hot_{k}") for k in keys], _SHARES)
+    if measured_bytes(renamed) <= BROADCAST_BYTES:
+        renamed = F.broadcast(renamed)
     on = [(k, f"_hot_{k}") for k in keys]
     joined = df.join(renamed, matching(df, renamed, on, null_safe=True), "left")
     return joined.drop(*[f"_hot_{k}" for k in keys])
@@ -112,6 +114,7 @@ def lookup(
     if spread_by:
         if hot is None:
             hot = hot_keys(fact, fact_keys, rows_per_task)
+        hot = staged(hot)
         fact = _with_shares(fact, fact_keys, hot)
         if how == "inner":
             fact = fact.filter(F.coalesce(F.col(_SHARES), F.lit(1)) > 0)

@@ -50,15 +50,23 @@ def first_by_key(
     Each map task keeps one row per key, so a hot key is one row per task in the shuffle.
     ``repetitive`` is for tables that say the same about a key over and over (the name of a
     supplier on each of its items): equal statements first merge in a hash aggregation that
-    holds only their smallest ordinal, and the picking, which Spark does by sorting, sees
-    one row per distinct statement. ``order`` must then be a column name.
+    holds only their smallest ordinal, and the picking sees one row per distinct statement.
+    ``order`` must then be a column name.
+
+    By a named order, which has to tell a key's rows apart, the smallest ordinal of each key is found by a hash
+    aggregation of fixed-width numbers, and rows are matched to it; picking whole rows would make Spark sort them.
     """
     if repetitive:
         said = [named(c) for c in df.columns if c != order]
         df = df.groupBy(*said).agg(F.min(named(order)).alias(order)).select(
             *[named(c) for c in df.columns]
         )
-    return _picked_by_key(df, keys, F.min_by, order)
+    if not isinstance(order, str):
+        return _picked_by_key(df, keys, F.min_by, order)
+    best = df.groupBy(*[named(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(named(order)).alias("_melhor"))
+    same = [named(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    at_best = named(order).eqNullSafe(F.col("_melhor"))
+    return df.join(best, reduce(Column.__and__, [*same, at_best]), "left_semi")
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], version: str | Column) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,7 @@ from tenderlake.operators.keys import (
 )
 from tenderlake.session import side_by_side, staged
 
+# Source columns and the star columns they become.
 _UNIT = {
     "Código UG": "codigo_ug",
     "Nome UG": "nome_ug",
@@ -60,9 +61,11 @@ class Star:
     dim_licitacao: DataFrame
     fato_item_licitacao: DataFrame
     fato_participacao: DataFrame
+    #: Number of won items without a tender, which are not in the star.
+    itens_sem_licitacao: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {t.name: getattr(self, t.name) for t in C.WAREHOUSE}
 
 
 def _kept_first(
@@ -274,15 +277,14 @@ def build_star(
 ) -> Star:
     """All seven tables; ``ordered`` numbers the facts in source order."""
     dims = build_dimensions(tenders, items, participants)
-    facts = side_by_side(
+
+    def won() -> tuple[DataFrame, DataFrame]:
+        fact, orphans = build_fact_item(items, tenders, dims)
+        return number_fact(fact, C.FATO_ITEM, ordered), orphans
+
+    built = side_by_side(
         tenders.sparkSession,
-        {
-            "fato_item_licitacao": lambda: number_fact(
-                build_fact_item(items, tenders, dims)[0], C.FATO_ITEM, ordered
-            ),
-            "fato_participacao": lambda: number_fact(
-                build_fact_bid(participants, dims), C.FATO_PARTICIPACAO, ordered
-            ),
-        },
+        {"items": won, "bids": lambda: number_fact(build_fact_bid(participants, dims), C.FATO_PARTICIPACAO, ordered)},
     )
-    return Star(**dims, **facts)
+    fact, orphans = built["items"]
+    return Star(**dims, fato_item_licitacao=fact, fato_participacao=built["bids"], itens_sem_licitacao=orphans)

@@ -9,7 +9,8 @@ and a period that did not change is carried over by name, not by copy.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from typing import NamedTuple
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named
-from tenderlake.operators.checks import GateClosed, check_contract, open_gate
+from tenderlake.operators.checks import check_contract, open_gate
 from tenderlake.plans.gold import Star
 from tenderlake.session import delete_path, path_exists, side_by_side
 
@@ -65,9 +66,9 @@ def table_schema(table: C.Table) -> T.StructType:
 
 
 def write_gold(tables: dict[str, DataFrame], root: str) -> None:
-    """Write every table of the star, replacing what was there."""
+    """Write every table of the star, replacing what was there, in files of a sensible size."""
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
@@ -105,9 +106,21 @@ def version_path(root: str, version: str, table: str) -> str:
     return f"{root}/versoes/{version}/{table}"
 
 
-def stage_version(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> str:
+@contextmanager
+def removed_on_failure(spark: SparkSession, root: str, version: str) -> Iterator[None]:
+    """Take the folders of a version away when what fills or checks them fails."""
+    try:
+        yield
+    except BaseException:
+        delete_path(spark, f"{root}/versoes/{version}")
+        raise
+
+
+def stage_version(
+    spark: SparkSession, tables: dict[str, DataFrame], root: str, version: str | None = None
+) -> str:
     """Write tables under a new version that no reader sees yet."""
-    version = new_version()
+    version = version or new_version()
 
     def write(name: str, df: DataFrame) -> Callable[[], None]:
         return lambda: df.write.parquet(version_path(root, version, name))
@@ -116,9 +129,25 @@ def stage_version(spark: SparkSession, tables: dict[str, DataFrame], root: str)
     return version
 
 
-def publish_parts(spark: SparkSession, root: str, version: str, parts: Sequence[Part]) -> None:
-    """Switch readers to a list of folders. One appended file is the whole switch."""
+class VersionMoved(RuntimeError):
+    """Another writer published since the work began."""
+
+
+ANY = object()
+
+
+def publish_parts(
+    spark: SparkSession, root: str, version: str, parts: Sequence[Part], base: str | None | object = ANY
+) -> None:
+    """Switch readers to a list of folders. One appended file is the whole switch.
+
+    A list that carries folders over from the version ``base`` is refused when another version has been
+    published meanwhile, as it would take that version's changes back.
+    """
     before = _published(spark, root)
+    now = before[0].versao if before else None
+    if base is not ANY and base != now:
+        raise VersionMoved(f"built on version {base}, but {now} is published")
     if any(e.versao == version for e in before):
         raise ValueError(f"version is published already: {version}")
     order = before[0].ordem + 1 if before else 1
@@ -180,17 +209,15 @@ def publish_if_clean(
     The checks read the staged files, that is, exactly what would be published.
     ``more_checks`` are further results in the shape of the contract check.
     """
-    version = stage_version(spark, conform_all(tables, contract), root)
-    staged = [Part(t.name, version_path(root, version, t.name)) for t in contract]
-    written = read_tables(spark, staged, contract)
-    results = check_contract(written, contract)
-    for check in more_checks:
-        results = results.unionByName(check)
-    try:
+    version = new_version()
+    with removed_on_failure(spark, root, version):
+        stage_version(spark, conform_all(tables, contract), root, version)
+        staged = [Part(t.name, version_path(root, version, t.name)) for t in contract]
+        written = read_tables(spark, staged, contract)
+        results = check_contract(written, contract)
+        for check in more_checks:
+            results = results.unionByName(check)
         open_gate(results)
-    except GateClosed:
-        delete_path(spark, f"{root}/versoes/{version}")
-        raise
     publish_parts(spark, root, version, staged)
     return row_counts(written)
 

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
 from tenderlake.operators.checks import open_gate, row_balance
-from tenderlake.plans import publish, silver
+from tenderlake.plans import occurrences, publish, silver
 from tenderlake.plans.gold import build_star
-from tenderlake.plans.period_load import load_period
-from tenderlake.session import scratch, size_shuffles
+from tenderlake.plans.period_load import ORPHANS, load_period
+from tenderlake.session import path_bytes, scratch, sized_shuffles
 from tenderlake.sources.bronze import load_bronze
-from tenderlake.sources.landing import ingest_folder, listing
+from tenderlake.sources.landing import ingest_folder
+
+#: Text that a byte of a compressed bronze table stands for, about.
+_TEXT_PER_BYTE = 5
 
 
 def bronze_to_silver(
@@ -46,28 +49,49 @@ def balance_check(report: DataFrame) -> DataFrame:
     )
 
 
+def _oddities(
+    spark: SparkSession, root: str, clean: dict[str, DataFrame], periods: Sequence[tuple[str, str]] | None = None
+) -> list[DataFrame]:
+    """Samples of invalid states, and units with several names."""
+    raw = load_bronze(spark, f"{root}/bronze", C.TENDERS, periods=periods)
+    samples = [occurrences.invalid_states(raw)] if raw is not None else []
+    return [*samples, occurrences.units_with_several_names(clean[C.TENDERS])]
+
+
 def refresh(spark: SparkSession, landing: str, root: str) -> dict[str, int]:
-    """Run all steps in order. Any failure leaves the published version as it was."""
-    size = listing(spark, landing).agg(F.sum("bytes")).first()[0]
-    size_shuffles(spark, size or 0)
+    """Run all steps in order. Any failure leaves the published version as it was.
+
+    What was dropped or found odd is left in ``silver/ocorrencias``.
+    """
     ingest_folder(spark, landing, f"{root}/bronze")
-    with scratch(spark):
+    read = path_bytes(spark, f"{root}/bronze") * _TEXT_PER_BYTE
+    with sized_shuffles(spark, read), scratch(spark):
         report = bronze_to_silver(spark, f"{root}/bronze", f"{root}/silver")
         clean = silver.read_silver(spark, f"{root}/silver")
         star = build_star(clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS])
+        lost = occurrences.items_without_tender(star.itens_sem_licitacao)
+        occurrences.write_occurrences([*_oddities(spark, root, clean), lost], f"{root}/silver")
         return publish.publish_if_clean(
             spark, star.tables(), f"{root}/warehouse", more_checks=[balance_check(report)]
         )
 
 
 def refresh_period(spark: SparkSession, root: str, year: str, month: str) -> dict[str, int]:
-    """Clean one ingested month and load it into the star, leaving other months alone."""
+    """Clean one ingested month and load it into the star.
+
+    Other months are left alone, but for items and bids of a tender that this month brings or changes.
+    """
     silver_root = f"{root}/silver_periodos/{year}-{month}"
-    with scratch(spark):
+    read = sum(path_bytes(spark, f"{root}/bronze/{d}/ano={year}/mes={month}") for d in silver.CLEANERS) * _TEXT_PER_BYTE
+    with sized_shuffles(spark, read), scratch(spark):
         report = bronze_to_silver(spark, f"{root}/bronze", silver_root, [(year, month)])
         open_gate(balance_check(report))
         clean = silver.read_silver(spark, silver_root)
-        return load_period(
+        counts = load_period(
             spark, f"{root}/warehouse", f"{year}-{month}",
             clean[C.TENDERS], clean[C.ITEMS], clean[C.BIDS],
         )
+        orphans = spark.createDataFrame([(counts.pop(ORPHANS),)], "orfaos long")
+        lost = occurrences.items_without_tender(orphans)
+        occurrences.write_occurrences([*_oddities(spark, root, clean, [(year, month)]), lost], silver_root)
+        return counts

@@ -69,7 +69,7 @@ def mark_tenders(df: DataFrame) -> DataFrame:
         _texts(*C.TENDER_TEXT)
         | {
             "UF": X.null_if_not_in(state_code, C.STATES),
-            "Valor Licitação": X.parse_brl(named("Valor Licitação"), C.TENDER_MONEY),
+            "Valor Licitação": X.parse_brl(named("Valor Licitação")),
             "Data Resultado Compra": X.parse_date_br(decided),
             "Data Abertura": X.parse_date_br(opened),
         }
@@ -119,7 +119,7 @@ def mark_commitments(df: DataFrame) -> DataFrame:
     issued = named("Data Emissão Empenho")
     clean = df.withColumns(
         {
-            "Valor Empenho (R$)": X.parse_brl(named("Valor Empenho (R$)"), C.TENDER_MONEY),
+            "Valor Empenho (R$)": X.parse_brl(named("Valor Empenho (R$)")),
             "Data Emissão Empenho": X.parse_date_br(issued),
         }
         | _touched(datas_invalidas=_bad_date(issued))

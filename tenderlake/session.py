@@ -58,6 +58,16 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """:func:`size_shuffles` for one job; the session's own setting comes back afterwards."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        yield size_shuffles(spark, input_bytes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -114,6 +124,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; 0 if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(target).getLength() if files.exists(target) else 0
+
+
 def side_by_side(spark: SparkSession, jobs: dict[str, Callable[[], R]]) -> dict[str, R]:
     """Run independent actions at the same time, so that small ones do not wait in line."""
     with ThreadPoolExecutor(max_workers=len(jobs) or 1) as pool:

@@ -10,12 +10,9 @@ from pyspark.sql import types as T
 
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named
-from tenderlake.operators.joins import matching
+from tenderlake.operators.joins import BROADCAST_BYTES, matching, measured_bytes
 from tenderlake.session import path_exists, staged
-from tenderlake.sources.landing import BLOCK, FILE, LINE_ID, read_manifest
-
-# Offsets are broadcast up to this many blocks; beyond it they are joined by shuffle.
-BROADCAST_BLOCKS = 2_000_000
+from tenderlake.sources.landing import BLOCK, FILE_PART, LINE_ID, read_manifest
 
 
 def with_row_ord(
@@ -50,7 +47,7 @@ def with_row_ord(
         *[named(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         (F.col("_antes") + F.col("_no_arquivo") - F.col("_primeiro")).alias("_base"),
     )
-    if blocks.count() <= BROADCAST_BLOCKS:
+    if measured_bytes(offsets) <= BROADCAST_BYTES:
         offsets = F.broadcast(offsets)
     pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
     return (
@@ -65,11 +62,11 @@ def _schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType(
         [
             *text,
-            T.StructField(FILE, T.StringType()),
             T.StructField(BLOCK, T.LongType()),
             T.StructField(LINE_ID, T.LongType()),
             T.StructField("ano", T.StringType()),
             T.StructField("mes", T.StringType()),
+            T.StructField(FILE_PART, T.StringType()),
         ]
     )
 
@@ -107,7 +104,7 @@ def load_bronze(
             return None
         rows = spark.createDataFrame([], _schema(columns or empty_columns))
         return rows.withColumns(parts | {C.ROW_ORD: F.lit(None).cast("long")}).drop(
-            FILE, BLOCK, LINE_ID, "ano", "mes"
+            BLOCK, LINE_ID, "ano", "mes", FILE_PART
         )
     rows = spark.read.schema(_schema(columns)).parquet(path)
     if periods is not None:
@@ -115,5 +112,5 @@ def load_bronze(
         for year, month in periods:
             wanted = wanted | ((F.col("ano") == year) & (F.col("mes") == month))
         rows = rows.filter(wanted)
-    rows = with_row_ord(rows, ["ano", "mes", FILE])
-    return rows.withColumns(parts).drop(FILE, BLOCK, LINE_ID, "ano", "mes")
+    rows = with_row_ord(rows, ["ano", "mes", FILE_PART])
+    return rows.withColumns(parts).drop(BLOCK, LINE_ID, "ano", "mes", FILE_PART)

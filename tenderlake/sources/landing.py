@@ -8,9 +8,8 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,12 +19,12 @@ from tenderlake.operators.keys import latest_by_key, union_periods
 from tenderlake.session import delete_path, path_exists
 
 FILE, BLOCK, LINE_ID = "_arquivo", "_bloco", "_id_linha"
-HASH_LIMIT = 256 << 20
+FILE_PART = "arquivo"
 MANIFEST = "manifesto"
 
 MANIFEST_SCHEMA = (
     "arquivo_origem string, dataset_logico string, ano string, mes string, linhas long, "
-    "colunas array<string>, sha256 string, encoding_original string, "
+    "colunas array<string>, impressao string, encoding_original string, "
     "separador_original string, data_ingestao_utc timestamp, status string"
 )
 
@@ -89,28 +88,6 @@ def discover_landing(
     return recognise(listing(spark, folder), specs)
 
 
-def read_headers(
-    spark: SparkSession, paths: Sequence[str], encoding: str = C.SOURCE_ENCODING
-) -> dict[str, list[str]]:
-    """Header cells of each file: its first filled line, read without touching the rest."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-
-    def header(path: str) -> list[str]:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        stream = target.getFileSystem(conf).open(target)
-        try:
-            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-            line = reader.readLine()
-            while line is not None and not line.strip():
-                line = reader.readLine()
-        finally:
-            stream.close()
-        return next(csv.reader([line], delimiter=C.SOURCE_SEPARATOR)) if line else []
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return dict(zip(paths, pool.map(header, paths)))
-
-
 def missing_columns(header: Column, required: Column) -> Column:
     """Required columns the header lacks, in declared order."""
     return F.array_except(required, header)
@@ -122,50 +99,80 @@ def has_open_quote(line: Column) -> Column:
     return F.contains(line, F.lit('"')) & F.contains(rest, F.lit('"'))
 
 
-def count_lines(
-    spark: SparkSession, paths: Sequence[str], encoding: str = C.SOURCE_ENCODING
-) -> DataFrame:
-    """Filled lines per file, and whether every line is a whole record.
+# Four hash words of a line, each 31 bits, so that sums over any file fit a decimal.
+_WORDS = 4
+
 
-    One pass in which each task sends one row per file it touched.
+def _line_words() -> list[Column]:
+    halves = []
+    for seed in range(_WORDS // 2):
+        h = F.xxhash64(F.lit(seed), F.col("value"))
+        halves += [h.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftrightunsigned(h, 33)]
+    return halves
+
+
+def scan_lines(spark: SparkSession, paths: Sequence[str], encoding: str = C.SOURCE_ENCODING) -> DataFrame:
+    """What one pass over the lines tells of each file that has any.
+
+    ``primeira`` is the first filled line, ``preenchidas`` the number of filled lines, ``divisivel`` says that every
+    line is a whole record, and ``impressao`` is a digest of the lines and their order. The digest
+    sums each line's hash words, plain and times the line's number. Splits add up whatever their
+    borders: a split's numbers start anew, and its sums are moved to its place by the lines before it.
     """
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(38,0)")
+    words = _line_words()
     lines = spark.read.text(list(paths)).select(
-        source_path().alias("path"),
-        F.decode(F.col("value").cast("binary"), encoding).alias("linha"),
+        source_path().alias("path"), F.col("_metadata.file_block_start").alias("bloco"), "value",
+        F.decode(F.col("value").cast("binary"), encoding).alias("linha"), position.alias("posicao"),
+        *[w.cast("decimal(38,0)").alias(f"w{k}") for k, w in enumerate(words)],
     )
-    return (
-        lines.filter(F.length(F.trim("linha")) > 0)
-        .groupBy("path")
-        .agg(
-            F.count(F.lit(1)).alias("preenchidas"),
-            (F.count_if(has_open_quote(F.col("linha"))) == 0).alias("divisivel"),
-        )
+    filled = F.length(F.trim("linha")) > 0
+    blocks = lines.groupBy("path", "bloco").agg(
+        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"), F.min("posicao").alias("inicio"), F.count_if(filled).alias("preenchidas"),
+        F.count_if(filled & has_open_quote(F.col("linha"))).alias("abertas"),
+        F.min(F.when(filled, F.struct("posicao", "linha"))).alias("primeira"),
+        *[F.sum(f"w{k}").alias(f"s{k}") for k in range(_WORDS)],
+        *[F.sum(F.col("posicao") * F.col(f"w{k}")).alias(f"m{k}") for k in range(_WORDS)],
+    )
+    before = Window.partitionBy("path").orderBy("bloco").rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("_desloca", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("inicio"))
+    moments = [F.sum(F.col(f"m{k}") + F.col("_desloca") * F.col(f"s{k}")) for k in range(_WORDS)]
+    sums = [F.sum(f"s{k}") for k in range(_WORDS)]
+    digest = F.sha2(F.concat_ws(":", F.sum("n"), *[c.cast("decimal(38,0)") for c in (*sums, *moments)]), 256)
+    return placed.groupBy("path").agg(
+        F.min(F.when(F.col("primeira").isNotNull(), F.struct("bloco", F.col("primeira.linha").alias("linha"))))["linha"].alias("primeira"),
+        F.sum("preenchidas").alias("preenchidas"), (F.sum("abertas") == 0).alias("divisivel"), digest.alias("impressao"),
     )
 
 
+def _header_cells(line: str | None) -> list[str]:
+    return next(csv.reader([line], delimiter=C.SOURCE_SEPARATOR)) if line else []
+
+
 def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Header, record count and splittability of each file (one row per file).
+    """Header, record count, splittability and digest of each file (one row per file).
 
     Blank lines are no records. A file whose records may span lines is counted by the
-    parser, as a whole file per task; all others are counted in splits.
+    parser, as a whole file per task; all others are counted in splits, in the pass that reads the rest.
     """
     paths = list(paths)
-    headers = read_headers(spark, paths)
-    counted = {r.path: r for r in count_lines(spark, paths).collect()}
+    seen = {r.path: r for r in scan_lines(spark, paths).collect()}
+    headers = {p: _header_cells(seen[p].primeira) if p in seen else [] for p in paths}
     whole: dict[tuple[str, ...], list[str]] = {}
-    for path, seen in counted.items():
-        if not seen.divisivel:
+    for path, found in seen.items():
+        if not found.divisivel:
             whole.setdefault(tuple(headers[path]), []).append(path)
-    records = {path: max(seen.preenchidas - 1, 0) for path, seen in counted.items()}
+    records = {path: max(found.preenchidas - 1, 0) for path, found in seen.items()}
     for header, files in whole.items():
         parsed = read_landing_csv(spark, files, header, splittable=False, provenance=True)
         records |= dict.fromkeys(files, 0)
         records |= {r[FILE]: r["count"] for r in parsed.groupBy(FILE).count().collect()}
     rows = [
-        (p, headers[p], records.get(p, 0), p not in counted or counted[p].divisivel) for p in paths
+        (p, headers[p], records.get(p, 0), p not in seen or seen[p].divisivel, seen[p].impressao if p in seen else None)
+        for p in paths
     ]
     return spark.createDataFrame(
-        rows, "path string, colunas array<string>, linhas long, divisivel boolean"
+        rows, "path string, colunas array<string>, linhas long, divisivel boolean, impressao string"
     )
 
 
@@ -220,41 +227,27 @@ def read_landing_csv(
     return rows.select(*columns)
 
 
-def fingerprint_paths(spark: SparkSession, files: DataFrame, limit: int = HASH_LIMIT) -> DataFrame:
-    """Content fingerprint of listed files.
+def with_size(files: DataFrame) -> DataFrame:
+    """Complete the digest of the lines by the file's size, so that other line ends show too."""
+    return files.withColumn("impressao", F.sha2(F.concat_ws(":", "bytes", F.coalesce("impressao", F.lit(""))), 256))
+
 
-    SHA-256 of the bytes for files up to ``limit``. SHA-256 cannot be computed in parts, so
-    larger files get a digest of their lines instead, summed by tasks over splits.
+def fingerprint_paths(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Content fingerprint of listed files, one rule for every size: lines in order, and bytes.
+
+    Files are read in splits, and the split borders do not matter.
     """
-    listed = files.select(_plain_path(F.col("path")).alias("path"), "bytes").collect()
-    small = [f.path for f in listed if 0 < f.bytes <= limit]
-    large = [f.path for f in listed if f.bytes > limit]
-    nothing = F.sha2(F.lit(b""), 256)
-    out = spark.createDataFrame([(f.path,) for f in listed if f.bytes == 0], "path string")
-    out = out.withColumn("sha256", nothing)
-    if small:
-        whole = spark.read.format("binaryFile").load(small)
-        out = out.unionByName(
-            whole.select(_plain_path(F.col("path")).alias("path"), F.sha2("content", 256).alias("sha256"))
-        )
-    if large:
-        line = F.sha2(F.col("value").cast("binary"), 256)
-        word = F.conv(F.substring(line, 1, 15), 16, 10).cast("decimal(38,0)")
-        digests = (
-            spark.read.text(large)
-            .groupBy(source_path().alias("path"))
-            .agg(F.sum(word).cast("string").alias("s"), F.count(F.lit(1)).cast("string").alias("n"))
-        )
-        tagged = F.concat_ws(":", F.lit("linhas"), "n", "s")
-        out = out.unionByName(digests.select("path", tagged.alias("sha256")))
-    return out
+    listed = files.select(_plain_path(F.col("path")).alias("path"), "bytes")
+    filled = [f.path for f in listed.filter("bytes > 0").collect()]
+    if not filled:
+        return with_size(listed.withColumn("impressao", F.lit(None).cast("string"))).select("path", "impressao")
+    found = scan_lines(spark, filled).select("path", "impressao")
+    return with_size(listed.join(found, "path", "left")).select("path", "impressao")
 
 
-def fingerprint_files(
-    spark: SparkSession, folder: str, names: str = "*.csv", limit: int = HASH_LIMIT
-) -> DataFrame:
+def fingerprint_files(spark: SparkSession, folder: str, names: str = "*.csv") -> DataFrame:
     """Content fingerprint per file of a folder."""
-    return fingerprint_paths(spark, listing(spark, folder, names), limit)
+    return fingerprint_paths(spark, listing(spark, folder, names))
 
 
 def ingest_outcome(files: DataFrame) -> DataFrame:
@@ -279,7 +272,7 @@ def build_manifest(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("status").isin(C.OK, C.EMPTY)).select(
         F.col("nome").alias("arquivo_origem"),
         F.col("dataset").alias("dataset_logico"),
-        "ano", "mes", "linhas", "colunas", "sha256",
+        "ano", "mes", "linhas", "colunas", "impressao",
         F.lit(C.SOURCE_ENCODING).alias("encoding_original"),
         F.lit(C.SOURCE_SEPARATOR).alias("separador_original"),
         F.current_timestamp().alias("data_ingestao_utc"),
@@ -300,17 +293,23 @@ def read_manifest(spark: SparkSession, bronze_root: str, history: bool = False)
 
 def changed_files(fingerprints: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files that carry a known name but other content than at their last ingestion."""
-    now = fingerprints.select(file_name(F.col("path")).alias("arquivo_origem"), "sha256")
-    before = manifest.select("arquivo_origem", F.col("sha256").alias("sha256_anterior"))
-    return now.join(before, "arquivo_origem").filter("sha256 <> sha256_anterior")
+    now = fingerprints.select(file_name(F.col("path")).alias("arquivo_origem"), "impressao")
+    before = manifest.select("arquivo_origem", F.col("impressao").alias("impressao_anterior"))
+    return now.join(before, "arquivo_origem").filter("impressao <> impressao_anterior")
+
+
+def _folder_of(spark: SparkSession, name: str) -> str:
+    """Folder of a file's rows, spelled as Spark spells partition values."""
+    spell = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{FILE_PART}={spell(name)}"
 
 
 def promote(outcomes: DataFrame, bronze_root: str) -> None:
-    """Write the rows of accepted files to ``<dataset>/ano=/mes=``, replacing those periods.
+    """Write the rows of accepted files to ``<dataset>/ano=/mes=/arquivo=``; a file replaces itself only.
 
     Files are parsed once, grouped by header so that columns meet by name. Tasks write the
-    splits they read, without a shuffle. An accepted file without rows empties its period.
-    Rejected files are not read.
+    splits they read, without a shuffle. An accepted file without rows empties its own folder;
+    other files of its period stay. Rejected files are not read.
     """
     spark = outcomes.sparkSession
     files = outcomes.filter(F.col("status").isin(C.OK, C.EMPTY)).collect()
@@ -319,7 +318,7 @@ def promote(outcomes: DataFrame, bronze_root: str) -> None:
         mine = [f for f in files if f.dataset == dataset]
         for f in mine:
             if f.status == C.EMPTY:
-                delete_path(spark, f"{target}/ano={f.ano}/mes={f.mes}")
+                delete_path(spark, f"{target}/ano={f.ano}/mes={f.mes}/{_folder_of(spark, f.nome)}")
         groups: dict[tuple, list[str]] = {}
         for f in mine:
             if f.status == C.OK:
@@ -335,33 +334,31 @@ def promote(outcomes: DataFrame, bronze_root: str) -> None:
         (
             rows.withColumns(
                 {
-                    FILE: name,
                     "ano": F.regexp_extract(name, C.FILE_NAME_PATTERN, 1),
                     "mes": F.regexp_extract(name, C.FILE_NAME_PATTERN, 2),
+                    FILE_PART: name,
                 }
             )
+            .drop(FILE)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("ano", "mes")
+            .partitionBy("ano", "mes", FILE_PART)
             .parquet(target)
         )
 
 
-def ingest_files(
-    spark: SparkSession, files: DataFrame, fingerprints: DataFrame, bronze_root: str
-) -> DataFrame:
+def ingest_files(spark: SparkSession, files: DataFrame, bronze_root: str) -> DataFrame:
     """Validate recognised files, promote the good ones and record them; returns outcomes."""
     taken = files.filter("aceito").collect()
     if not taken:
         empty = spark.createDataFrame([], files.schema).withColumns(
             {"colunas": F.array().cast("array<string>"), "linhas": F.lit(0).cast("long"),
-             "divisivel": F.lit(True), "sha256": F.lit("")}
+             "divisivel": F.lit(True), "impressao": F.lit("")}
         )
         return ingest_outcome(empty)
     profile = profile_files(spark, sorted(r.path for r in taken))
     recognised = spark.createDataFrame(taken, files.schema)
-    seen = recognised.join(profile, "path", "left").join(fingerprints, "path", "left")
-    outcomes = ingest_outcome(seen)
+    outcomes = ingest_outcome(with_size(recognised.join(profile, "path", "left")))
     # One row per file: fixed here so that the promoted files are those the manifest names.
     outcomes = spark.createDataFrame(outcomes.collect(), outcomes.schema)
     promote(outcomes, bronze_root)
@@ -372,6 +369,4 @@ def ingest_files(
 def ingest_folder(
     spark: SparkSession, folder: str, bronze_root: str, specs: Sequence[C.DatasetSpec] = C.DATASETS
 ) -> DataFrame:
-    return ingest_files(
-        spark, discover_landing(spark, folder, specs), fingerprint_files(spark, folder), bronze_root
-    )
+    return ingest_files(spark, discover_landing(spark, folder, specs), bronze_root)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.sources.landing import file_name, source_path
+from tenderlake.sources.landing import file_name, listing, source_path
 
 # Dump file names, envelope fields and the page size of the array layout.
 LAYOUTS = {
@@ -18,7 +18,11 @@ ARRAY_PAGE_SIZE = 15
 
 def parse_pages(documents: DataFrame, layout: str) -> DataFrame:
     """Documents (``arquivo``, ``value``) to one row per page: origin code, page number,
-    declared totals and raw records. Files with other names are left out."""
+    declared totals, raw records, and whether the page could be read. Files with other names are left out.
+
+    A page is unreadable when it is not the JSON of its layout, as a dump cut short is; an envelope
+    without records is readable and empty.
+    """
     pattern = LAYOUTS[layout]
     numbered = [
         F.regexp_extract("arquivo", pattern, i).cast("long").alias(n)
@@ -27,21 +31,31 @@ def parse_pages(documents: DataFrame, layout: str) -> DataFrame:
     if layout == "envelope":
         body = F.from_json("value", ENVELOPE)
         records, total, last = body["data"], body["totalRegistros"], body["totalPaginas"]
+        keys = F.json_object_keys("value")
+        named_records = F.array_contains(keys, "data") & (F.get_json_object("value", "$.data").isNotNull())
+        unreadable = keys.isNull() | F.coalesce(named_records & records.isNull(), F.lit(False))
     else:
         records = F.from_json("value", "array<string>")
         total = last = F.lit(None).cast("long")
+        unreadable = records.isNull() | ~F.ltrim("value").startswith("[")
     return documents.filter(F.col("arquivo").rlike(pattern)).select(
         *numbered,
-        F.coalesce(records, F.array().cast("array<string>")).alias("registros"),
+        F.coalesce(F.when(~unreadable, records), F.array().cast("array<string>")).alias("registros"),
         total.alias("total_registros"),
         last.alias("total_paginas"),
+        F.coalesce(unreadable, F.lit(True)).alias("ilegivel"),
     )
 
 
 def read_pages(spark: SparkSession, folder: str, layout: str) -> DataFrame:
-    """Pages of a dump folder. A page has a bounded size and is read whole; pages spread over tasks."""
+    """Pages of a dump folder. A page has a bounded size and is read whole; pages spread over tasks.
+
+    Files without a byte, which readers pass over, are unreadable pages too.
+    """
     files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
-    return parse_pages(files.select(file_name(source_path()).alias("arquivo"), "value"), layout)
+    filled = files.select(file_name(source_path()).alias("arquivo"), "value")
+    empty = listing(spark, folder, "*.json").filter("bytes = 0")
+    return parse_pages(filled.unionByName(empty.select(file_name(F.col("path")).alias("arquivo"), F.lit("").alias("value"))), layout)
 
 
 def page_records(pages: DataFrame, schema: str | None = None) -> DataFrame:
@@ -54,10 +68,15 @@ def page_records(pages: DataFrame, schema: str | None = None) -> DataFrame:
 
 
 def read_page_dumps(
-    spark: SparkSession, folder: str, layout: str, schema: str | None = None
+    spark: SparkSession, folder: str, layout: str, schema: str | None = None, skip_unreadable: bool = False
 ) -> DataFrame:
-    """Records of every page in a dump folder."""
-    return page_records(read_pages(spark, folder, layout), schema)
+    """Records of every page in a dump folder. An unreadable page stops the job unless it is to be skipped."""
+    pages = read_pages(spark, folder, layout)
+    if skip_unreadable:
+        return page_records(pages.filter(~F.col("ilegivel")), schema)
+    where = F.concat(F.lit("unreadable page: "), F.concat_ws("/", F.col("origem"), F.col("pagina")))
+    checked = F.when(F.col("ilegivel"), F.raise_error(where).cast("array<string>")).otherwise(F.col("registros"))
+    return page_records(pages.withColumn("registros", checked), schema)
 
 
 def page_counts(pages: DataFrame) -> DataFrame:
@@ -68,7 +87,7 @@ def page_counts(pages: DataFrame) -> DataFrame:
     ).otherwise(found < ARRAY_PAGE_SIZE)
     return pages.select(
         "origem", "pagina", "total_registros", "total_paginas",
-        found.alias("quantidade_nesta_pagina"), last.alias("ultima"),
+        found.alias("quantidade_nesta_pagina"), (last & ~F.col("ilegivel")).alias("ultima"), "ilegivel",
     )
 
 
@@ -81,10 +100,11 @@ def profile_pages(pages: DataFrame) -> DataFrame:
         F.max("total_paginas").alias("total_paginas"),
         F.max("pagina").alias("maior_pagina"),
         F.max("ultima").alias("chegou_ao_fim"),
+        F.count_if("ilegivel").alias("paginas_ilegiveis"),
     )
     whole = F.col("chegou_ao_fim") & (F.col("paginas_lidas") == F.col("maior_pagina"))
     declared = F.coalesce(F.col("registros_lidos") == F.col("total_registros"), F.lit(True))
-    return counted.withColumn("completo", whole & declared)
+    return counted.withColumn("completo", whole & declared & (F.col("paginas_ilegiveis") == 0))
 
 
 def field_inventory(df: DataFrame, record: str = "registro", scope: str = "first", order=None) -> DataFrame:

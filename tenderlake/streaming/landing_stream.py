@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenderlake.contracts import DATASETS, DatasetSpec
-from tenderlake.sources.landing import fingerprint_paths, ingest_files, recognise
+from tenderlake.sources.landing import ingest_files, recognise
 
 # The fixed columns of Spark's binaryFile source.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -28,7 +28,8 @@ def land_continuously(
     """Ingest files as they land; by default those present now, then stop.
 
     Only file names stream; contents are read by the batch scan. A batch that runs twice
-    replaces the same periods, so the bronze tables stay the same. A file rewritten under
+    replaces the same files, so the bronze tables stay the same, and files of one period may come
+    in different batches. A file rewritten under
     its old name is not seen again: corrections come by a backfill, and the fingerprint
     comparison lists them.
     """
@@ -45,7 +46,7 @@ def land_continuously(
         session = batch.sparkSession
         files = session.createDataFrame(batch.collect(), batch.schema)
         known = recognise(files, specs)
-        outcomes = ingest_files(session, known, fingerprint_paths(session, files), bronze_root)
+        outcomes = ingest_files(session, known, bronze_root)
         if on_outcomes:
             on_outcomes(outcomes, batch_id)
 

@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tenderlake.contracts import STATES
+from tenderlake.contracts import AMOUNT
 from tenderlake.functions import columns as X
 
 
@@ -25,6 +26,14 @@ def test_money_with_decimal_dot_is_read_as_thousands(spark):
     assert apply(spark, X.parse_brl, ["1234.56"]) == [Decimal("123456.0000")]
 
 
+def test_amounts_are_not_rounded_before_they_are_judged(spark):
+    assert apply(spark, X.parse_brl, ["-0,001", "1,00005"]) == [Decimal("-0.001"), Decimal("1.00005")]
+    assert apply(spark, lambda c: X.is_negative(X.parse_brl(c)), ["-0,001", "0,001"]) == [True, False]
+    assert apply(spark, X.parse_number, ["0.00004", "123456789012345"]) == [Decimal("0.00004"), Decimal(123456789012345)]
+    with pytest.raises(PySparkException, match="number out of range: 1e30"):
+        apply(spark, X.parse_number, ["1e30"])
+
+
 def test_money_that_is_no_number_stops_the_job(spark):
     with pytest.raises(PySparkException, match="not a monetary value: dez"):
         apply(spark, X.parse_brl, ["dez"])
@@ -78,12 +87,12 @@ def test_flag(spark):
 
 def test_unit_price_only_for_positive_quantities(spark):
     df = spark.createDataFrame(
-        [(1, "10", "4"), (2, "10", "0"), (3, "10", None), (4, None, "2"), (5, "1", "3"), (6, "10", "-2")],
+        [(1, "10", "4"), (2, "10", "0"), (3, "10", None), (4, None, "2"), (5, "1", "3"), (6, "10", "-2"), (7, "1", "0.00004"), (8, "1", "0.33333")],
         "i int, v string, q string",
     )
-    price = X.unit_price(F.col("v").cast("decimal(18,4)"), F.col("q").cast("decimal(18,4)"))
+    price = X.unit_price(F.col("v").cast(AMOUNT), F.col("q").cast(AMOUNT))
     got = [r.p for r in df.select("i", price.alias("p")).orderBy("i").collect()]
-    assert got == [Decimal("2.5000"), None, None, None, Decimal("0.3333"), None]
+    assert got == [Decimal("2.5000"), None, None, None, Decimal("0.3333"), None, Decimal("25000.0000"), Decimal("3.0000")]
 
 
 def test_score_without_deviation_is_unknown(spark):

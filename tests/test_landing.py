@@ -1,7 +1,6 @@
 """Landing files to bronze tables."""
 
 import csv
-import hashlib
 from pathlib import Path
 from random import Random
 
@@ -58,19 +57,23 @@ def test_missing_columns_in_declared_order(spark, header, lacking):
     assert df.select(L.missing_columns(F.col("h"), F.col("r"))).first()[0] == lacking
 
 
-def test_fingerprint_follows_content(spark, tmp_path):
-    for name, text in {"a.csv": "a;b\n1;2\n", "b.csv": "a;b\n1;2\n", "c.csv": "a;b\n1;3\n", "d.csv": ""}.items():
-        (tmp_path / name).write_text(text)
-    got = {Path(r.path).name: r.sha256 for r in L.fingerprint_files(spark, str(tmp_path)).collect()}
-    assert got == {p.name: hashlib.sha256(p.read_bytes()).hexdigest() for p in tmp_path.glob("*.csv")}
-
-
-def test_fingerprint_of_files_beyond_the_limit(spark, tmp_path):
-    for name, text in {"a.csv": "a\n1\n2\n", "b.csv": "a\n1\n2\n", "c.csv": "a\n1\n3\n"}.items():
-        (tmp_path / name).write_text(text)
-    got = {Path(r.path).name: r.sha256 for r in L.fingerprint_files(spark, str(tmp_path), limit=1).collect()}
-    assert got["a.csv"] == got["b.csv"] != got["c.csv"]
-    assert got["a.csv"].startswith("linhas:3:")
+@pytest.mark.parametrize("split", [7, 64, 1 << 20])
+def test_fingerprint_follows_content_and_order_however_files_are_split(spark, tmp_path, split):
+    lines = [f"{i};é" for i in range(40)]
+    swapped = [*lines[:3], lines[30], *lines[4:30], lines[3], *lines[31:]]
+    texts = {"a": "\n".join(lines), "b": "\n".join(lines), "c": "\n".join(swapped), "d": "\r\n".join(lines),
+             "e": "\n".join(lines[:-1]), "f": "", "g": "\n".join([*lines, "", ""])}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode("latin-1"))
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {Path(r.path).stem: r.impressao for r in L.fingerprint_files(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+    whole = {Path(r.path).stem: r.impressao for r in L.fingerprint_files(spark, str(tmp_path)).collect()}
+    assert got == whole and got["a"] == got["b"]
+    assert len(set(got.values())) == 6 and all(len(v) == 64 for v in got.values())
 
 
 def test_promotion_and_manifest(spark, tmp_path, write_csv):
@@ -78,14 +81,14 @@ def test_promotion_and_manifest(spark, tmp_path, write_csv):
     bronze = str(tmp_path / "bronze")
     outcomes = L.ingest_folder(spark, folder, bronze)
     assert states(outcomes) == {"202401_Licitação.csv": C.OK}
-    assert (tmp_path / "bronze/licitacoes/ano=2024/mes=01").is_dir()
+    assert (tmp_path / "bronze/licitacoes/ano=2024/mes=01/arquivo=202401_Licitação.csv").is_dir()
     entry = L.read_manifest(spark, bronze).first()
     assert (entry.arquivo_origem, entry.dataset_logico, entry.ano, entry.mes) == (
         "202401_Licitação.csv", "licitacoes", "2024", "01",
     )
     assert (entry.linhas, entry.colunas, entry.status) == (2, list(TENDER), C.OK)
     assert (entry.encoding_original, entry.separador_original) == ("ISO-8859-1", ";")
-    assert entry.sha256 == hashlib.sha256(Path(folder, "202401_Licitação.csv").read_bytes()).hexdigest()
+    assert entry.impressao == L.fingerprint_files(spark, folder).first().impressao
     got = load_bronze(spark, bronze, C.TENDERS).orderBy(C.ROW_ORD).collect()
     assert [(r["UF"], r[C.ROW_ORD], r[C.YEAR_PART], r[C.MONTH_PART]) for r in got] == [
         ("DF", 0, "2024", "01"), ("SP", 1, "2024", "01"),
@@ -116,6 +119,34 @@ def test_repeated_ingestion_replaces(spark, tmp_path, write_csv, rows):
     assert L.read_manifest(spark, bronze, history=True).count() == 2
 
 
+SEVERAL = (C.DatasetSpec("Licitação-1", C.TENDERS, TENDER), C.DatasetSpec("Licitação-2", C.TENDERS, TENDER))
+
+
+def test_files_of_one_period_stand_side_by_side(spark, tmp_path, write_csv):
+    """A file replaces itself only, whether the other one came before, together with it, or not at all."""
+    bronze = str(tmp_path / "bronze")
+    folder = write_csv("202401_Licitação-1.csv", TENDER, ROW, ROW)
+    L.ingest_folder(spark, folder, bronze, SEVERAL)
+    (Path(folder) / "202401_Licitação-1.csv").unlink()
+    write_csv("202401_Licitação-2.csv", TENDER, ROW)
+    L.ingest_folder(spark, folder, bronze, SEVERAL)
+    assert load_bronze(spark, bronze, C.TENDERS).count() == 3
+    write_csv("202401_Licitação-2.csv", TENDER)
+    L.ingest_folder(spark, folder, bronze, SEVERAL)
+    assert load_bronze(spark, bronze, C.TENDERS).count() == 2
+    manifest = L.read_manifest(spark, bronze).collect()
+    assert {(r.arquivo_origem, r.linhas) for r in manifest} == {("202401_Licitação-1.csv", 2), ("202401_Licitação-2.csv", 0)}
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_stream_batches_do_not_erase_each_other(spark, tmp_path, write_csv, files):
+    folder = write_csv("202401_Licitação-1.csv", TENDER, ROW, ROW)
+    write_csv("202401_Licitação-2.csv", TENDER, ROW)
+    bronze = str(tmp_path / "bronze")
+    land_continuously(spark, folder, bronze, str(tmp_path / "check"), files_per_batch=files, specs=SEVERAL).awaitTermination()
+    assert load_bronze(spark, bronze, C.TENDERS).count() == 3 == sum(r.linhas for r in L.read_manifest(spark, bronze).collect())
+
+
 def test_header_only_file_empties_its_period(spark, tmp_path, write_csv):
     folder = write_csv("202401_Licitação.csv", TENDER, ROW)
     bronze = str(tmp_path / "bronze")

@@ -10,9 +10,10 @@ from tenderlake import contracts as C
 from tenderlake.operators.checks import GateClosed
 from tenderlake.plans import incremental as I
 from tenderlake.plans import publish as P
+from tenderlake.plans.occurrences import read_occurrences
 from tenderlake.plans.period_load import drop_period
 from tenderlake.plans.refresh import refresh, refresh_period
-from tenderlake.session import path_exists, scratch, shared_dir, side_by_side, size_shuffles, staged
+from tenderlake.session import path_exists, scratch, shared_dir, side_by_side, size_shuffles, sized_shuffles, staged
 from tenderlake.sources.landing import ingest_folder
 
 TABLE = C.Table(
@@ -126,6 +127,47 @@ def test_merge_into_periods_moves_a_row_and_empties_its_old_period(spark, tmp_pa
     assert not (tmp_path / "t/mes=01").exists()
 
 
+def test_merge_keeps_rows_without_period_or_key(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), "k int, v string, mes string"
+    I.write_periods(spark.createDataFrame([(1, "a", None), (2, "b", None), (None, "x", "01"), (None, "y", "01"), (3, "c", "01")], schema), path, ["mes"])
+    batch = spark.createDataFrame([(1, "A", None), (3, "C", None), (None, "z", "01")], schema)
+    assert I.merge_into_periods(spark, path, batch, ["k"], ["mes"]) == [(None,), ("01",)]
+    assert rows(spark.read.schema(schema).parquet(path), "k", "v", "mes") == rows(
+        spark.createDataFrame([(1, "A", None), (2, "b", None), (3, "C", None), (None, "x", "01"), (None, "y", "01"), (None, "z", "01")], schema)
+    )
+
+
+def test_merge_refuses_a_batch_that_contradicts_itself(spark, rows):
+    old = spark.createDataFrame([(1, "a", 1)], "k int, v string, n int")
+    new = spark.createDataFrame([(1, "b", 2), (1, "c", 2)], "k int, v string, n int")
+    with pytest.raises(ValueError, match="1 keys stand more than once"):
+        I.merge_by_key(old, new, ["k"])
+    once = rows(I.merge_by_key(old, new, ["k"], "n"))
+    assert len(once) == 1 and once == rows(I.merge_by_key(old, new.orderBy("v", ascending=False), ["k"], "n"))
+
+
+def test_broken_merge_can_be_repeated(spark, tmp_path, rows, monkeypatch):
+    path, schema = str(tmp_path / "t"), "k int, v string, mes string"
+    I.write_periods(spark.createDataFrame([(1, "a", "01"), (2, "b", "02")], schema), path, ["mes"])
+    batch = spark.createDataFrame([(1, "A", "02")], schema)
+
+    def breaks(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(I, "write_periods", breaks)
+        I.merge_into_periods(spark, path, batch, ["k"], ["mes"])
+    I.merge_into_periods(spark, path, batch, ["k"], ["mes"])
+    assert rows(spark.read.schema(schema).parquet(path), "k", "v", "mes") == [(1, "A", "02"), (2, "b", "02")]
+
+
+def test_files_per_period_do_not_grow_with_tasks(spark, tmp_path):
+    many = spark.range(4000).repartition(16).selectExpr("id", "cast(id % 20 as string) as mes")
+    I.write_periods(many, str(tmp_path / "t"), ["mes"])
+    files = list((tmp_path / "t").glob("mes=*/*.parquet"))
+    assert 20 <= len(files) <= 40
+
+
 def test_replace_period(spark, tmp_path, rows):
     path, schema = str(tmp_path / "t"), "k int, ano string, mes string"
     I.write_periods(spark.createDataFrame([(1, "2024", "01"), (2, "2024", "02")], schema), path, ["ano", "mes"])
@@ -246,6 +288,76 @@ def test_month_by_month_equals_full_rebuild(spark, tmp_path, landing, rows):
     assert (left.fato_item_licitacao.count(), left.dim_tempo.count()) == (1, 2)
 
 
+@pytest.mark.parametrize("order", [("01", "02"), ("02", "01"), ("01", "02", "01")])
+def test_items_and_tenders_of_different_months_meet(spark, tmp_path, write_csv, rows, order):
+    """Items of either month belong to tenders of the other; one tender stands in both; one item has none."""
+    write_csv("202401_Licitação.csv", TENDER_HEADER, tender("1", "15/01/2024"), tender("3", "16/01/2024"))
+    write_csv("202402_Licitação.csv", TENDER_HEADER, tender("2", "20/02/2024"), tender("3", "21/02/2024"))
+    write_csv("202401_ItemLicitação.csv", ITEM_HEADER, item("1", "7"), item("2", "8"), item("3", "9"), item("77", "1"))
+    write_csv("202402_ItemLicitação.csv", ITEM_HEADER, item("1", "5"), item("2", "6"), item("3", "4"))
+    write_csv("202401_ParticipantesLicitação.csv", BID_HEADER, offer("2", "8"))
+    write_csv("202402_ParticipantesLicitação.csv", BID_HEADER, offer("1", "5"))
+    root, whole = str(tmp_path / "lake"), str(tmp_path / "whole")
+    refresh(spark, write_csv.folder, whole)
+    ingest_folder(spark, write_csv.folder, f"{root}/bronze")
+    for month in order:
+        refresh_period(spark, root, "2024", month)
+
+    def facts(path):
+        star = P.read_version(spark, path)
+        won = star.fato_item_licitacao.join(star.dim_tempo, "sk_tempo").join(star.dim_licitacao, "sk_licitacao")
+        bids = star.fato_participacao.join(star.dim_licitacao, "sk_licitacao", "left")
+        return rows(won, "data", "numero_licitacao", "valor_item"), rows(bids, "numero_licitacao", "flag_vencedor")
+
+    lake = f"{root}/warehouse"
+    assert facts(lake) == facts(f"{whole}/warehouse") and len(facts(lake)[0]) == 6
+    assert P.read_version(spark, lake).fato_item_licitacao.select("sk_fato_item").distinct().count() == 6
+    lost = read_occurrences(spark, f"{root}/silver_periodos/2024-01").filter("regra = 'item_sem_licitacao'").first()
+    # What has no tender is counted when the month is loaded: the first load of January cannot know February's tenders.
+    assert lost.linhas == (2 if order == ("01", "02") else 1)
+    assert read_occurrences(spark, f"{whole}/silver").filter("regra = 'item_sem_licitacao'").first().linhas == 1
+
+
+def test_oddities_are_reported(spark, tmp_path, landing):
+    landing("202403_Licitação.csv", TENDER_HEADER, (*tender("4", "01/03/2024", "Outro nome")[:12], "xx", *tender("4", "01/03/2024")[13:]))
+    root = str(tmp_path / "lake")
+    refresh(spark, landing.folder, root)
+    found = {(r.regra, r.valor, r.linhas) for r in read_occurrences(spark, f"{root}/silver").collect()}
+    assert found == {("uf_invalida", "XX", None), ("unidade_com_varios_nomes", "10", 2), ("item_sem_licitacao", None, 1)}
+
+
+def test_a_load_built_on_an_older_version_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    frame = spark.createDataFrame([(1, "a", 1.0)], "id int, nome string, v double")
+    P.publish_if_clean(spark, {"t": frame}, root, (TABLE,))
+    base, parts = P.current_version(spark, root), P.current_parts(spark, root)
+    P.publish_if_clean(spark, {"t": frame}, root, (TABLE,))
+    with pytest.raises(P.VersionMoved):
+        P.publish_parts(spark, root, P.new_version(), parts, base)
+
+
+def test_failed_period_load_leaves_no_folder(spark, tmp_path, landing, monkeypatch):
+    root = str(tmp_path / "lake")
+    ingest_folder(spark, landing.folder, f"{root}/bronze")
+    refresh_period(spark, root, "2024", "01")
+    before = sorted(p.name for p in (tmp_path / "lake/warehouse/versoes").iterdir())
+
+    def breaks(*_):
+        raise RuntimeError("disk full")
+
+    monkeypatch.setattr("tenderlake.plans.period_load.check_contract", breaks)
+    with pytest.raises(RuntimeError):
+        refresh_period(spark, root, "2024", "02")
+    assert sorted(p.name for p in (tmp_path / "lake/warehouse/versoes").iterdir()) == before
+
+
+def test_shuffle_setting_comes_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 100 << 40) as partitions:
+        assert partitions == 102400
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_refresh_stops_at_the_gate(spark, tmp_path, landing, rows):
     root = str(tmp_path / "lake")
     refresh(spark, landing.folder, root)

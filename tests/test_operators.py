@@ -214,7 +214,8 @@ def test_surplus_rows_of_dense_and_sparse_keys(spark, step):
     surplus = {(r.tabela, r.regra): r.violacoes for r in found}
     assert surplus["parent", "primary_key"] == 2 * len(ids[::50])
     assert surplus["child", "primary_key"] == 0
-    assert (K._dense_keys({"parent": df, "child": child}, (PARENT, CHILD)) == {"parent"}) == (step == 1)
+    seen = K._summaries({"parent": df, "child": child}, (PARENT, CHILD))
+    assert K._is_dense(seen["parent"]) == (step == 1) and not K._is_dense(seen["child"])
 
 
 def test_gate(spark):

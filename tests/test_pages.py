@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from tenderlake.sources import pages as P
 
@@ -53,3 +54,24 @@ def test_field_inventory(spark, dumps):
     }
     with pytest.raises(ValueError):
         P.field_inventory(every, scope="some")
+
+
+def test_unreadable_pages_are_told_and_never_complete(spark, tmp_path, rows):
+    for name, text in {
+        "modalidade_1_pagina_1.json": '{"data": [{"id": 1}, {"i', "modalidade_2_pagina_1.json": "gateway error",
+        "modalidade_3_pagina_1.json": '{"data": {"id": 1}, "totalPaginas": 1}', "modalidade_4_pagina_1.json": '{"totalRegistros": 0, "totalPaginas": 1}',
+        "modalidade_5_pagina_1.json": '{"data": [{"id": 5}], "totalRegistros": 1, "totalPaginas": 1}',
+        "orgao_1_pagina_1.json": '[{"id": 1}, {"i', "orgao_2_pagina_1.json": "", "orgao_3_pagina_1.json": '{"erro": 1}', "orgao_4_pagina_1.json": ' [{"id": 4}]',
+    }.items():
+        (tmp_path / name).write_text(text)
+    folder = str(tmp_path)
+    profiles = {layout: {r.origem: (r.paginas_ilegiveis, r.completo) for r in P.profile_pages(P.read_pages(spark, folder, layout)).collect()}
+                for layout in ("envelope", "array")}
+    assert profiles["envelope"] == {1: (1, False), 2: (1, False), 3: (1, False), 4: (0, True), 5: (0, True)}
+    assert profiles["array"] == {1: (1, False), 2: (1, False), 3: (1, False), 4: (0, True)}
+    for layout in ("envelope", "array"):
+        with pytest.raises(PySparkException, match="unreadable page: 1/1"):
+            P.read_page_dumps(spark, folder, layout).filter("origem = 1").collect()
+        assert rows(P.read_page_dumps(spark, folder, layout, "id long", skip_unreadable=True), "origem", "id") == [
+            {"envelope": (5, 5), "array": (4, 4)}[layout]
+        ]

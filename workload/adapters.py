@@ -29,6 +29,15 @@ def content_ord(df: DataFrame) -> Column:
     return F.xxhash64(*[named(c) for c in df.columns]).bitwiseAND(F.lit((1 << 55) - 1))
 
 
+def line_ord() -> Column:
+    """The same for line items, from their keys, so that SQL can say it too."""
+    line = F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")
+    return (line * 65536 + F.col("l_partkey")) * 4096 + F.col("l_suppkey")
+
+
+LINE_ORD = "((CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 65536 + l_partkey) * 4096 + l_suppkey"
+
+
 def text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -81,7 +90,7 @@ def tenders(spark: SparkSession, sf: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     lineitem = table(spark, sf, "lineitem")
-    lineitem = lineitem.withColumn(C.ROW_ORD, content_ord(lineitem))
+    lineitem = lineitem.withColumn(C.ROW_ORD, line_ord())
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     part = table(spark, sf, "part").select("p_partkey", "p_name")
     supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name")

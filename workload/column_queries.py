@@ -54,14 +54,18 @@ def p3(spark, sf):
 @query(
     "p4_parse_brl",
     """
-SELECT l_orderkey, l_linenumber,
-       CASE WHEN l_linenumber <> 3 THEN round(l_extendedprice, 2) END AS valor FROM lineitem""",
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 3 THEN NULL WHEN 1 THEN -0.00001
+  WHEN 5 THEN CAST(CAST(round(l_extendedprice, 2) AS DECIMAL(18,2)) + 0.00007 AS DOUBLE)
+  ELSE round(l_extendedprice, 2) END AS valor FROM lineitem""",
     longs=("l_linenumber",),
 )
 def p4(spark, sf):
+    """Grouped and plain amounts; five places, and one that is barely below zero."""
     grouped = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
     plain = F.replace(grouped, F.lit("."), F.lit(""))
-    raw = F.when(F.col("l_linenumber") == 3, None).when(F.col("l_linenumber") % 2 == 0, plain)
+    line = F.col("l_linenumber")
+    raw = F.when(line == 3, None).when(line == 1, "-0,00001").when(line % 2 == 0, plain)
+    raw = raw.when(line == 5, F.concat(grouped, F.lit("007")))
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", X.parse_brl(raw.otherwise(grouped)).alias("valor")
     )
@@ -101,7 +105,7 @@ def p6(spark, sf):
     """
 SELECT l_orderkey, l_linenumber,
   CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN l_quantity / 1000
-    ELSE l_quantity END AS quantidade FROM lineitem""",
+    WHEN 6 THEN 100000000000000 + l_quantity WHEN 7 THEN 0.00004 ELSE l_quantity END AS quantidade FROM lineitem""",
     longs=("l_linenumber",),
 )
 def p7(spark, sf):
@@ -113,6 +117,8 @@ def p7(spark, sf):
         .when(line == 3, F.format_string("%.3f", F.col("l_quantity") / 1000))
         .when(line == 4, F.concat(F.lit("  "), whole, F.lit(" ")))
         .when(line == 5, F.concat(whole, F.lit("e0")))
+        .when(line == 6, text(F.col("l_quantity").cast("long") + 100_000_000_000_000))
+        .when(line == 7, ".00004")
         .otherwise(F.concat(F.lit("+"), whole, F.lit(".0")))
     )
     return table(spark, sf, "lineitem").select(
@@ -240,11 +246,17 @@ def p15(spark, sf):
 
 @query(
     "p16_unit_price",
-    FATO + "SELECT l_orderkey, l_linenumber, unidade / 1e4 AS preco FROM fato",
+    FATO + """
+SELECT l_orderkey, l_linenumber, CASE l_linenumber WHEN 1 THEN centavos * 250.0 WHEN 2 THEN 3.0
+  ELSE unidade / 1e4 END AS preco FROM fato""",
     longs=("l_linenumber",),
 )
 def p16(spark, sf):
-    price = X.unit_price(F.col("l_extendedprice").cast(C.MONEY), quantity())
+    """Whole quantities, 0.00004, and 1 for 0.33333, which rounds to 3.0000."""
+    line = F.col("l_linenumber")
+    value = F.when(line == 2, 1).otherwise(F.col("l_extendedprice")).cast(C.AMOUNT)
+    amount = F.when(line == 1, "0.00004").when(line == 2, "0.33333").otherwise(quantity().cast("string"))
+    price = X.unit_price(value, X.parse_number(amount))
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", price.alias("preco"))
 
 

@@ -12,7 +12,7 @@ from tenderlake.plans import silver as S
 from tenderlake.plans.marts import reconcile_months
 from tenderlake.session import new_folder
 from workload.adapters import (
-    FATO, MEAN, content_ord, published, silver, star, table, text, units,
+    FATO, LINE_ORD, MEAN, line_ord, published, silver, star, table, text, units,
 )
 from workload.registry import SQL, query
 
@@ -74,7 +74,7 @@ def _raw_lines(spark, sf):
         F.lit("5").alias("Código Modalidade Compra"),
         F.when(F.col("l_linenumber") != 5, text("l_linenumber")).alias("Código Item Compra"),
         rest.alias("Resto"),
-        content_ord(lineitem).alias(C.ROW_ORD),
+        line_ord().alias(C.ROW_ORD),
     ]
     return lineitem, key
 
@@ -86,8 +86,11 @@ def _raw_items(spark, sf):
     raw = lineitem.select(
         *key,
         F.concat(F.lit(" Peça  "), text("l_partkey")).alias("Descrição"),
-        F.when(line == 7, "sem").otherwise(text(F.col("l_quantity").cast("long"))).alias("Quantidade Item"),
-        _brl(F.col("l_extendedprice"), line == 6).alias("Valor Item"),
+        F.when(line == 7, "sem").when(line == 3, text(F.col("l_quantity").cast("long") + 100_000_000_000_000))
+        .when(line == 2, "0.00004").otherwise(text(F.col("l_quantity").cast("long"))).alias("Quantidade Item"),
+        # Places behind the fourth: they tell rows apart, and an amount below zero stays below.
+        F.when(line == 6, "-0,001").when(line == 1, F.concat(_brl(F.col("l_extendedprice"), F.lit(False)), F.lit("004")))
+        .otherwise(_brl(F.col("l_extendedprice"), F.lit(False))).alias("Valor Item"),
         F.when(line == 4, None).when(line == 3, "-11").otherwise(F.concat(code, F.lit(" "))).alias("Código Vencedor"),
         F.concat(F.lit("Forn. "), text("l_suppkey")).alias("Nome Vencedor"),
     )
@@ -159,11 +162,12 @@ def b1(spark, sf):
 
 @query(
     "b2_clean_items",
-    """
+    f"""
 SELECT l_orderkey AS numero, l_linenumber = 5 AS gerado,
-  CASE WHEN l_linenumber = 5 THEN 'SEM_CODIGO_' ELSE CAST(l_linenumber AS VARCHAR) END AS codigo,
-  'Peça ' || l_partkey AS descricao, round(l_extendedprice, 2) AS valor,
-  CASE WHEN l_linenumber <> 7 THEN l_quantity END AS quantidade,
+  CASE WHEN l_linenumber = 5 THEN 'SEM_CODIGO_' || ({LINE_ORD}) ELSE CAST(l_linenumber AS VARCHAR) END AS codigo,
+  'Peça ' || l_partkey AS descricao, CAST(CAST(round(l_extendedprice, 2) AS DECIMAL(18,2))
+    + CASE l_linenumber WHEN 1 THEN 0.00004 ELSE 0 END AS DOUBLE) AS valor,
+  CASE l_linenumber WHEN 7 THEN NULL WHEN 3 THEN 100000000000000 + l_quantity WHEN 2 THEN 0.00004 ELSE l_quantity END AS quantidade,
   CASE l_linenumber WHEN 4 THEN 'DESCONHECIDO' WHEN 3 THEN 'OUTRO' ELSE 'CNPJ' END AS tipo
 FROM lineitem WHERE l_linenumber <> 6""",
 )
@@ -171,7 +175,7 @@ def b2(spark, sf):
     return S.accepted(_marked(spark, sf, C.ITEMS)).select(
         F.col("Número Licitação").cast("long").alias("numero"),
         F.col("codigo_item_gerado").alias("gerado"),
-        F.regexp_replace("Código Item Compra", r"^(SEM_CODIGO_)\d+$", "$1").alias("codigo"),
+        F.col("Código Item Compra").alias("codigo"),
         F.col("Descrição").alias("descricao"),
         F.col("Valor Item").alias("valor"),
         F.col("Quantidade Item").alias("quantidade"),
@@ -275,22 +279,24 @@ def b6(spark, sf):
 
 @query(
     "b7_dim_fornecedor",
-    FATO + """
-SELECT codigo_fornecedor, nome_fornecedor, tipo_documento FROM fornecedor
-WHERE s_suppkey IN (SELECT l_suppkey FROM fato)""",
+    FATO + f"""
+SELECT row_number() OVER (ORDER BY primeiro) AS sk_fornecedor, codigo_fornecedor, nome_fornecedor, tipo_documento
+FROM fornecedor JOIN (SELECT l_suppkey, MIN({LINE_ORD}) AS primeiro FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey""",
 )
 def b7(spark, sf):
     tables = silver(spark, sf)
-    return gold.build_dim_supplier(tables[C.ITEMS], tables[C.BIDS]).drop("sk_fornecedor")
+    return gold.build_dim_supplier(tables[C.ITEMS], tables[C.BIDS])
 
 
 @query(
     "b8_dim_produto",
-    FATO + "SELECT descricao_item FROM produto WHERE p_partkey IN (SELECT l_partkey FROM fato)",
+    FATO + f"""
+SELECT row_number() OVER (ORDER BY primeiro) AS sk_produto, descricao_item
+FROM produto JOIN (SELECT l_partkey, MIN({LINE_ORD}) AS primeiro FROM lineitem GROUP BY 1) ON l_partkey = p_partkey""",
 )
 def b8(spark, sf):
     tables = silver(spark, sf)
-    return gold.build_dim_product(tables[C.ITEMS], tables[C.BIDS]).drop("sk_produto")
+    return gold.build_dim_product(tables[C.ITEMS], tables[C.BIDS])
 
 
 @query(
