@@ -15,10 +15,11 @@ prefixes holds all candidates. Two relations then skip work:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm.arrays import (
@@ -33,7 +34,21 @@ PERCENT = 75
 MOST_FREQUENT = 1 << 22
 #: An n-gram of more documents than this may stand last.
 FREQUENT = 32
-_FLUSH = 1 << 20
+_FLUSH = 1 << 19
+#: Texts that a Python worker holds at a time.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Send at most ``rows`` rows at a time to Python in the jobs run inside; the setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def ngram_sets(texts: pd.Series, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -253,6 +268,11 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     all linked; rows without id are left out. Empty tables give an empty result. Columns other
     than the two named are not read.
     """
+    with small_batches(docs.sparkSession):
+        return _classes(docs, doc_id, text, width, percent)
+
+
+def _classes(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     rows = rows.where(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
@@ -260,7 +280,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_text = texts.groupBy("digest").agg(F.min("id").alias("first"))
     copies = texts.join(of_text, "digest").where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     first = bloom_of(of_text.select("first"), "first")
-    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = 4 * max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     frequent = frequent_ngrams(rows, width, buckets, first)
     lists = staged(candidate_lists(rows, frequent, width, percent, buckets, first))
     stars = staged(
