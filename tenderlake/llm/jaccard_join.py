@@ -8,8 +8,8 @@ prefixes holds all candidates. Two relations then skip work:
   equal member lists, which near copies produce by the hundred, count once;
 * between answers: a block's members are first compared with one member only. Members that
   link with it are one class and need no comparison among each other; only pairs
-  from different classes are compared afterwards. So a group of n near copies costs about n
-  comparisons, not n * n, and no link between classes is lost.
+  from different classes are compared afterwards. So n near copies that link with one of them cost about n
+  comparisons, not n * n; a group that one member does not hold together costs more. No link between classes is lost.
 """
 
 from __future__ import annotations
