@@ -1,10 +1,12 @@
 """Main-text extraction by wrapper induction.
 
 A page is read as a tree of its block elements in which equally labelled siblings are one node (a
-repeated pattern). Per host the commonest tree is the wrapper; every other tree is aligned with it by
-simple tree matching. A wrapper node whose text is the same on nearly all different pages is template,
-the others are slots; the smallest subtree with nearly all slot text holds the content. The wrapper is
-then applied to each page, together with what elements say of themselves (navigation, forms, adverts, ...).
+repeated pattern). The trees of a host fall into clusters: the commonest is a wrapper, what simple tree
+matching aligns with it well belongs to it, and the commonest of the rest is the next wrapper. A text that
+a wrapper's node has on nearly all different pages is template, all others fill slots, each sibling for
+itself; the smallest subtree with nearly all slot text is the content root. On each page the content is
+what the aligned root holds without the template; an article or main element only helps to find the root.
+What elements say of themselves (navigation, forms, adverts, ...) is left out.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,8 +26,12 @@ from tenderlake.session import staged
 #: A node is template when it has text on this many different pages and this share of them agree.
 LEAST_PAGES = 3
 SAME_SHARE = 0.9
-#: The content root holds this share of the slot text.
+#: The content root holds this share of the slot text, or this one if it is an article or main element.
 ROOT_SHARE = 0.8
+NAMED_SHARE = 0.3
+#: Trees with a larger share of aligned nodes share a wrapper; after so many wrappers of a host, equal trees do.
+ALIKE = 0.5
+MOST_WRAPPERS = 16
 #: Outside a named article, a block with a larger share of linked characters is no content.
 LINK_SHARE = 0.5
 
@@ -40,7 +46,9 @@ CLOSES_P = BLOCKS - {"body", "html", "head", "tbody", "tfoot", "thead", "tr"}
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 SCOPES = frozenset("table ul ol dl article section main body div td th".split())
-NO_CONTENT = frozenset("head nav footer aside form button dialog menu label fieldset datalist canvas audio video".split())
+#: Elements that hold a text, not an article.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote ul ol li dl dt dd figure figcaption table thead tbody tfoot tr address details summary".split())
+NO_CONTENT = frozenset("head nav footer aside button dialog menu label fieldset datalist canvas audio video".split())
 NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar form".split())
 NO_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr"
@@ -49,6 +57,7 @@ NO_CONTENT_NAMES = frozenset(
     " related recommended recommendations pagination pager toolbar login signin signup".split()
 )
 
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|([^>]*)(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z]+|[0-9]+")
@@ -61,34 +70,39 @@ class Page:
     def __init__(self, source: str) -> None:
         self.labels: list[str] = []
         self.parents: list[int] = []
-        self.dropped: list[bool] = []
-        #: (tree node, text, linked characters, inside an article, inside a main element), without dropped blocks
-        self.blocks: list[tuple[int, str, int, bool, bool]] = []
+        #: (tree node, text, linked characters, inside an article or main element), without dropped blocks
+        self.blocks: list[tuple[int, str, int, bool]] = []
         self._children: dict[tuple[int, str], int] = {}
-        # open elements: name, tree node, dropped, inside a link, article, main
-        self._open: list[tuple[str, int, bool, bool, bool, bool]] = [("", self._node(-1, "", False), False, False, False, False)]
+        # elements whose names say that they are no content: the one around, and whether that holds
+        self._named: list[tuple[int, bool]] = []
+        self._found: list[tuple[int, str, int, bool, int]] = []
+        # open elements: name, tree node, dropped, inside a link, inside an article or main element, innermost named one
+        self._open: list[tuple[str, int, bool, bool, bool, int]] = [("", self._node(-1, ""), False, False, False, -1)]
         self._text: list[str] = []
         self._linked = 0
         self._read(source)
+        out: list[bool] = []
+        for around, holds in self._named:
+            out.append(holds or (around >= 0 and out[around]))
+        self.blocks = [b[:4] for b in self._found if b[4] < 0 or not out[b[4]]]
 
-    def _node(self, parent: int, label: str, dropped: bool) -> int:
+    def _node(self, parent: int, label: str) -> int:
         node = self._children.setdefault((parent, label), len(self.labels))
         if node == len(self.labels):
             self.labels.append(label)
             self.parents.append(parent)
-            self.dropped.append(dropped)
         return node
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join("".join(self._text).split())
             if text:
-                _, node, _, _, article, main = self._open[-1]
-                self.blocks.append((node, text, self._linked, article, main))
+                _, node, _, _, article, named = self._open[-1]
+                self._found.append((node, text, self._linked, article, named))
             self._text, self._linked = [], 0
 
     def _say(self, text: str) -> None:
-        _, _, dropped, linked, _, _ = self._open[-1]
+        _, _, dropped, linked, *_ = self._open[-1]
         if text and not dropped:
             if "&" in text:
                 text = entities.unescape(text)
@@ -138,24 +152,22 @@ class Page:
             if name == "hr":
                 self._flush()
             return
-        _, node, dropped, linked, article, main = self._open[-1]
+        _, node, dropped, linked, article, named = self._open[-1]
         names, label = self._attributes(name, rest) if rest.strip(" /\n\t\r") else (frozenset(), name)
         if name in BLOCKS:
             self._flush()
-        if name == "header" and not (article or main):
-            dropped = True
-        if name in NO_CONTENT or "__hidden" in names:
-            dropped = True
-        if name not in ("html", "body", "main") and (name != "article" or names & {"comment", "comments", "reply"}) and names & NO_CONTENT_NAMES:
-            dropped = True
-        if not (article or main) and name not in ("html", "body", "main", "article") and names == {"header"}:
+        if name in NO_CONTENT or "__hidden" in names or (name == "header" and not article):
             dropped = True
+        is_article = name in ("article", "main") or "__article" in names or "__main" in names
+        if name == "article" and names & {"comment", "comments", "reply"}:
+            is_article = False
+        spoken = "__named" in names and name not in ("html", "body") and not is_article
+        if spoken or name == "form" or (not article and names == {"header"} and name not in ("html", "body") and not is_article):
+            self._named.append((named, True))
+            named = len(self._named) - 1
         if name in BLOCKS:
-            node = self._node(node, label, dropped)
-        if not dropped:
-            article |= name == "article" or "__article" in names
-            main |= name == "main" or "__main" in names
-        self._open.append((name, node, dropped, linked or name == "a", article, main))
+            node = self._node(node, label)
+        self._open.append((name, node, dropped, linked or name == "a", article or (is_article and not dropped), named))
 
     @staticmethod
     def _attributes(name: str, rest: str) -> tuple[frozenset, str]:
@@ -165,7 +177,11 @@ class Page:
             key, value = key.lower(), (a or b or c)
             if key in ("class", "id"):
                 value = entities.unescape(value).lower()
-                names.update(_NAME.findall(value))
+                for part in value.split():
+                    words = set(_NAME.findall(part))
+                    names |= {part} if part in ("header", "comment", "comments", "reply") else {"__other"}
+                    if words & NO_CONTENT_NAMES:
+                        names.add("__named")
                 if key == "class":
                     classes = ".".join(sorted(re.sub(r"[0-9]+", "#", v) for v in value.split()))
             elif key == "role":
@@ -253,47 +269,99 @@ def align(skeleton: str, wrapper: str) -> tuple[int, ...]:
     return tuple(found)
 
 
+def likeness(skeleton: str, wrapper: str) -> float:
+    """Share of aligned nodes among the nodes of both trees."""
+    to = align(skeleton, wrapper)
+    return 2 * sum(t >= 0 for t in to) / (len(to) + len(_tree(wrapper)[0]))
+
+
 def content_root(wrapper: str, mass: dict[int, float]) -> int:
-    """The lowest wrapper node with nearly all the slot text."""
-    _, children = _tree(wrapper)
+    """The lowest wrapper node that can hold an article and has nearly all the slot text, but none below a named article."""
+    labels, children = _tree(wrapper)
     total = [0.0] * len(children)
     for node in range(len(children) - 1, -1, -1):
         total[node] = mass.get(node, 0.0) + sum(total[c] for c in children[node])
+    kinds = [label.partition(".")[0] for label in labels]
+    for kind in ("article", "main"):
+        best = max((n for n in range(len(kinds)) if kinds[n] == kind), key=lambda n: total[n], default=0)
+        if best and total[best] and total[best] >= NAMED_SHARE * total[0]:
+            return best
     node = 0
-    while children[node]:
-        best = max(children[node], key=lambda c: total[c])
+    while below := [c for c in children[node] if kinds[c] not in TEXTS]:
+        best = max(below, key=lambda c: total[c])
         if total[best] < ROOT_SHARE * total[0] or not total[best]:
             break
         node = best
     return node
 
 
-def main_text(source: str | None, wrapper: str | None, template: list[int], root: int) -> str:
-    """The blocks of a page that are content, joined by an empty line."""
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def main_text(source: str | None, wrapper: str | None, template: list[tuple[int, int]], root: int) -> str:
+    """The blocks of a page that are content, joined by an empty line; without a wrapper the page is its own."""
     page = Page(source or "")
-    blocks = page.blocks
-    if any(b[3] for b in blocks):
-        kept = [b for b in blocks if b[3]]
-    elif any(b[4] for b in blocks):
-        kept = [b for b in blocks if b[4]]
-    else:
-        kept = [b for b in blocks if b[2] <= LINK_SHARE * len(b[1].replace(" ", ""))]
-        if wrapper and root:
-            to = align(page.skeleton(), wrapper)
-            inside = [False] * len(to)
-            for node, parent in enumerate(page.parents):
-                inside[node] = to[node] == root or (parent >= 0 and inside[parent])
-            kept = [b for b in kept if inside[b[0]]] or kept
+    skeleton = page.skeleton()
+    to = align(skeleton, wrapper) if wrapper else tuple(range(len(page.labels)))
+
+    def below(top: int, places: tuple[int, ...]) -> list[tuple[int, str, int, bool]]:
+        inside = [False] * len(places)
+        for node, parent in enumerate(page.parents):
+            inside[node] = places[node] == top or (parent >= 0 and inside[parent])
+        return [b for b in page.blocks if inside[b[0]]]
+
+    kept = below(root, to) if wrapper else []
+    if not kept:
+        mass: dict[int, float] = {}
+        for node, text, *_ in page.blocks:
+            mass[node] = mass.get(node, 0.0) + len(text)
+        kept = below(content_root(skeleton, mass), tuple(range(len(to))))
     if wrapper and template:
-        to, constant = align(page.skeleton(), wrapper), set(template)
-        kept = [b for b in kept if to[b[0]] not in constant] or kept
-    return "\n\n".join(b[1] for b in kept)
+        constant = set(template)
+        kept = [b for b in kept if (to[b[0]], _digest(b[1])) not in constant] or kept
+    size: dict[int, int] = {}
+    links: dict[int, int] = {}
+    for node, text, linked, _ in kept:
+        size[node] = size.get(node, 0) + len(text.replace(" ", ""))
+        links[node] = links.get(node, 0) + linked
+
+    def content(block: tuple[int, str, int, bool]) -> bool:
+        node, text, linked, article = block
+        kind = page.labels[node].partition(".")[0]
+        if article:
+            return True
+        if kind in TEXTS:
+            return links[node] <= LINK_SHARE * size[node]
+        return linked <= LINK_SHARE * len(text.replace(" ", ""))
+
+    return "\n\n".join(b[1] for b in kept if content(b))
+
+
+def _clusters(kinds: DataFrame) -> DataFrame:
+    """``host, skeleton, wrapper`` from ``host, skeleton, n``: every tree has one wrapper."""
+
+    @F.pandas_udf("boolean")
+    def alike(skeletons: pd.Series, wrappers: pd.Series) -> pd.Series:
+        return pd.Series([likeness(s, w) > ALIKE for s, w in zip(skeletons, wrappers)], dtype=bool)
+
+    done, rest = [], kinds
+    for _ in range(MOST_WRAPPERS):
+        first = rest.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
+        tried = staged(rest.join(first, "host").withColumn("alike", (F.col("skeleton") == F.col("wrapper")) | alike("skeleton", "wrapper")))
+        done.append(tried.where("alike").select("host", "skeleton", "wrapper"))
+        rest = tried.where("not alike").select("host", "skeleton", "n")
+        if rest.isEmpty():
+            break
+    else:
+        done.append(rest.select("host", "skeleton", F.col("skeleton").alias("wrapper")))
+    return reduce(DataFrame.unionByName, done)
 
 
 def induce_wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper, template, root`` from ``host, html``, over all pages.
+    """``host, tree, wrapper, template, root`` from ``host, html``, over all pages; ``tree`` is the hash of a skeleton.
 
-    Pages with equal content text count once, so copies of an article do not make it template.
+    Pages with equal content text count once, so copies of a page make no template.
     """
     kind = "skeleton string, slots array<struct<node:int,hash:long,chars:long>>"
 
@@ -302,15 +370,11 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
         rows = []
         for source in sources:
             page = Page(source or "")
-            texts: dict[int, list[str]] = {}
+            slots: dict[tuple[int, int], int] = {}
             for node, text, *_ in page.blocks:
-                texts.setdefault(node, []).append(text)
-            slots = []
-            for node, parts in texts.items():
-                joined = "\n".join(parts)
-                digest = hashlib.blake2b(joined.encode("utf-8", "replace"), digest_size=8).digest()
-                slots.append({"node": node, "hash": int.from_bytes(digest, "big", signed=True), "chars": len(joined)})
-            rows.append((page.skeleton(), slots))
+                key = node, _digest(text)
+                slots[key] = slots.get(key, 0) + len(text)
+            rows.append((page.skeleton(), [{"node": node, "hash": h, "chars": n} for (node, h), n in slots.items()]))
         return pd.DataFrame(rows, columns=["skeleton", "slots"])
 
     @F.pandas_udf("array<int>")
@@ -321,38 +385,54 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     def root_of(wrappers: pd.Series, masses: pd.Series) -> pd.Series:
         return pd.Series([content_root(w, {m["node"]: m["chars"] for m in ms}) for w, ms in zip(wrappers, masses)], dtype="int32")
 
+    tree = lambda c: F.xxhash64(c)
     profiles = staged(pages.select("host", profile("html").alias("p")).select("host", "p.skeleton", "p.slots").distinct())
     kinds = profiles.groupBy("host", "skeleton").agg(F.count("*").alias("n"))
-    wrappers = kinds.groupBy("host").agg(F.max_by("skeleton", F.struct("n", "skeleton")).alias("wrapper"))
-    mapped = staged(kinds.join(wrappers, "host").select("host", "skeleton", "wrapper", aligned("skeleton", "wrapper").alias("to")))
-    slots = profiles.join(mapped, ["host", "skeleton"]).select("host", "to", F.explode("slots").alias("slot"))
-    slots = slots.select("host", F.element_at("to", F.col("slot.node") + 1).alias("node"), "slot.hash", "slot.chars").where("node >= 0")
-    texts = slots.groupBy("host", "node", "hash").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
-    nodes = texts.groupBy("host", "node").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("chars").alias("chars"))
-    same = (F.col("n") >= LEAST_PAGES) & (F.col("most") >= SAME_SHARE * F.col("n"))
-    by_host = nodes.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.when(same, F.col("node")))).alias("template"),
-        F.collect_list(F.when(~same, F.struct("node", F.col("chars").cast("double").alias("chars")))).alias("mass"),
-    )
-    return staged(wrappers.join(by_host, "host").select("host", "wrapper", "template", root_of("wrapper", "mass").alias("root")))
+    mapped = staged(_clusters(kinds).select("host", "skeleton", "wrapper", tree("wrapper").alias("w"), aligned("skeleton", "wrapper").alias("to")))
+    of_page = profiles.join(mapped.drop("wrapper"), ["host", "skeleton"]).select("host", "w", "to", "slots", F.xxhash64("skeleton", "slots").alias("page"))
+    slots = of_page.select("host", "w", "page", "to", F.explode("slots").alias("slot"))
+    slots = slots.select("host", "w", "page", F.element_at("to", F.col("slot.node") + 1).alias("node"), "slot.hash", "slot.chars").where("node >= 0")
+    held = of_page.select("host", "w", F.explode(F.array_distinct(F.transform("slots", lambda s: F.element_at("to", s["node"] + 1)))).alias("node"))
+    held = held.where("node >= 0").groupBy("host", "w", "node").agg(F.count("*").alias("pages"))
+    texts = slots.groupBy("host", "w", "node", "hash").agg(F.count_distinct("page").alias("n"))
+    same = staged(texts.where(F.col("n") >= LEAST_PAGES).join(held, ["host", "w", "node"]).where(F.col("n") >= SAME_SHARE * F.col("pages")).select("host", "w", "node", "hash"))
+    marked = slots.join(same.withColumn("same", F.lit(True)), ["host", "w", "node", "hash"], "left").withColumn("same", F.coalesce("same", F.lit(False)))
+    chars = lambda c: F.sum(F.when(c, F.col("chars")).otherwise(0))
+    articles = marked.groupBy("host", "w", "page").agg(chars(F.col("same")).alias("constant"), chars(~F.col("same")).alias("own"))
+    differ = articles.groupBy("host", "w").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).select("host", "w")
+    template = same.join(differ, ["host", "w"])
+    template = staged(template.groupBy("host", "w").agg(F.array_sort(F.collect_list(F.struct("node", "hash"))).alias("template")))
+    shown = template.select("host", "w", F.lit(True).alias("shown"))
+    mass = marked.groupBy("host", "w", "node", "same").agg(F.sum("chars").alias("chars")).join(shown, ["host", "w"], "left")
+    mass = mass.where("not same or shown is null").groupBy("host", "w", "node").agg(F.sum("chars").cast("double").alias("chars"))
+    mass = mass.groupBy("host", "w").agg(F.collect_list(F.struct("node", "chars")).alias("mass"))
+    wrappers = mapped.select("host", "wrapper", "w").distinct().join(mass, ["host", "w"]).join(template, ["host", "w"], "left")
+    wrappers = wrappers.select("host", "w", "wrapper", "template", root_of("wrapper", "mass").alias("root"))
+    return staged(mapped.select("host", "w", tree("skeleton").alias("tree")).join(wrappers, ["host", "w"]).drop("w"))
 
 
 def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Add ``text``: the article of each page, blocks joined by an empty line, white space inside a block one space.
 
-    Pages of one host share a wrapper; pages without a host (null URL) share one too. Article or main
-    elements hold the content where a page has them, else the wrapper's content root. Null and empty pages, and
-    pages without content, have an empty text. Repeated rows get equal texts; an empty table
-    stays empty; further columns pass through, except that ``text`` is replaced.
+    Pages of one host and like trees share a wrapper, whose content root holds the content; pages without a host
+    (null URL) are as of one host. Null and empty pages, and pages without content, have an empty text. Repeated
+    rows get equal texts; an empty table stays empty; further columns pass through, except that ``text`` is replaced.
     """
     rows = pages.drop("text").withColumn("__url", F.col(url)).withColumn("__host", host_and_path(F.col("__url"))[0]).drop("__url")
     wrappers = induce_wrappers(rows.select(F.col("__host").alias("host"), F.col(html).alias("html")))
 
+    @F.pandas_udf("string")
+    def skeleton(sources: pd.Series) -> pd.Series:
+        return pd.Series([Page(s or "").skeleton() for s in sources], dtype=object)
+
     @F.pandas_udf("string")
     def extract(sources: pd.Series, trees: pd.Series, templates: pd.Series, roots: pd.Series) -> pd.Series:
-        found = (main_text(s, w, [] if t is None else list(t), 0 if pd.isna(r) else int(r)) for s, w, t, r in zip(sources, trees, templates, roots))
+        found = (
+            main_text(s, w, [] if t is None else [(m["node"], m["hash"]) for m in t], 0 if pd.isna(r) else int(r))
+            for s, w, t, r in zip(sources, trees, templates, roots)
+        )
         return pd.Series(list(found), dtype=object)
 
-    wrappers = wrappers.select(*[F.col(c).alias(f"__{c}") for c in ("host", "wrapper", "template", "root")])
-    joined = rows.join(wrappers, "__host", "left")
-    return joined.withColumn("text", extract(html, "__wrapper", "__template", "__root")).drop("__host", "__wrapper", "__template", "__root")
+    wrappers = wrappers.select(*[F.col(c).alias(f"__{c}") for c in ("host", "tree", "wrapper", "template", "root")])
+    joined = rows.withColumn("__tree", F.xxhash64(skeleton(html))).join(wrappers, ["__host", "__tree"], "left")
+    return joined.withColumn("text", extract(html, "__wrapper", "__template", "__root")).drop("__host", "__tree", "__wrapper", "__template", "__root")
