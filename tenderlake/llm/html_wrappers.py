@@ -6,7 +6,7 @@ matching aligns with it well belongs to it, and the commonest of the rest is the
 a wrapper's node has on nearly all different pages is template, all others fill slots, each sibling for
 itself; the smallest subtree with nearly all slot text is the content root. On each page the content is
 what the aligned root holds without the template; an article or main element only helps to find the root.
-What elements say of themselves (navigation, forms, adverts, ...) is left out.
+What elements say of themselves (navigation, forms, adverts, ...) is left out, but nothing around an article is.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ NAMED_SHARE = 0.3
 #: Trees with a larger share of aligned nodes share a wrapper; after so many wrappers of a host, equal trees do.
 ALIKE = 0.5
 MOST_WRAPPERS = 16
-#: Outside a named article, a block with a larger share of linked characters is no content.
+#: Outside a named article, a block with a larger share of linked characters is no content, unless it is a paragraph or heading.
 LINK_SHARE = 0.5
 
 # Element names of HTML, and the names that pages give to what is no article.
@@ -48,6 +48,7 @@ SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 SCOPES = frozenset("table ul ol dl article section main body div td th".split())
 #: Elements that hold a text, not an article.
 TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup pre blockquote ul ol li dl dt dd figure figcaption table thead tbody tfoot tr address details summary".split())
+FLOWING = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote dt dd figcaption summary".split())
 NO_CONTENT = frozenset("head nav footer aside button dialog menu label fieldset datalist canvas audio video".split())
 NO_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar form".split())
 NO_CONTENT_NAMES = frozenset(
@@ -57,6 +58,7 @@ NO_CONTENT_NAMES = frozenset(
     " related recommended recommendations pagination pager toolbar login signin signup".split()
 )
 
+SIDES = frozenset("left right top bottom".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|([^>]*)(?:>|\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -84,7 +86,11 @@ class Page:
         out: list[bool] = []
         for around, holds in self._named:
             out.append(holds or (around >= 0 and out[around]))
-        self.blocks = [b[:4] for b in self._found if b[4] < 0 or not out[b[4]]]
+        self.blocks = [b[:4] for b in self._found if b[4] < 0 or not out[b[4]]] or [b[:4] for b in self._found if self._only(b[4])]
+
+    def _only(self, named: int) -> bool:
+        """On a page without other text, the text of named elements that are not in another one."""
+        return named < 0 or self._named[named][0] < 0
 
     def _node(self, parent: int, label: str) -> int:
         node = self._children.setdefault((parent, label), len(self.labels))
@@ -165,6 +171,11 @@ class Page:
         if spoken or name == "form" or (not article and names == {"header"} and name not in ("html", "body") and not is_article):
             self._named.append((named, True))
             named = len(self._named) - 1
+        if is_article and not dropped and not article:
+            around = named
+            while around >= 0 and self._named[around][1]:
+                self._named[around] = (self._named[around][0], False)
+                around = self._named[around][0]
         if name in BLOCKS:
             node = self._node(node, label)
         self._open.append((name, node, dropped, linked or name == "a", article or (is_article and not dropped), named))
@@ -180,7 +191,7 @@ class Page:
                 for part in value.split():
                     words = set(_NAME.findall(part))
                     names |= {part} if part in ("header", "comment", "comments", "reply") else {"__other"}
-                    if words & NO_CONTENT_NAMES:
+                    if words & NO_CONTENT_NAMES and all(w in NO_CONTENT_NAMES or w in SIDES or w.isdigit() for w in words):
                         names.add("__named")
                 if key == "class":
                     classes = ".".join(sorted(re.sub(r"[0-9]+", "#", v) for v in value.split()))
@@ -329,7 +340,7 @@ def main_text(source: str | None, wrapper: str | None, template: list[tuple[int,
     def content(block: tuple[int, str, int, bool]) -> bool:
         node, text, linked, article = block
         kind = page.labels[node].partition(".")[0]
-        if article:
+        if article or kind in FLOWING:
             return True
         if kind in TEXTS:
             return links[node] <= LINK_SHARE * size[node]
@@ -361,7 +372,8 @@ def _clusters(kinds: DataFrame) -> DataFrame:
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """``host, tree, wrapper, template, root`` from ``host, html``, over all pages; ``tree`` is the hash of a skeleton.
 
-    Pages with equal content text count once, so copies of a page make no template.
+    Pages with equal content text count once, so copies of a page make no template. Pages that hold mostly what
+    the others hold too are copies of one article under other titles; they show no template either.
     """
     kind = "skeleton string, slots array<struct<node:int,hash:long,chars:long>>"
 
@@ -399,7 +411,7 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
     marked = slots.join(same.withColumn("same", F.lit(True)), ["host", "w", "node", "hash"], "left").withColumn("same", F.coalesce("same", F.lit(False)))
     chars = lambda c: F.sum(F.when(c, F.col("chars")).otherwise(0))
     articles = marked.groupBy("host", "w", "page").agg(chars(F.col("same")).alias("constant"), chars(~F.col("same")).alias("own"))
-    differ = articles.groupBy("host", "w").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).select("host", "w")
+    differ = articles.where("own >= constant").groupBy("host", "w").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES).select("host", "w")
     template = same.join(differ, ["host", "w"])
     template = staged(template.groupBy("host", "w").agg(F.array_sort(F.collect_list(F.struct("node", "hash"))).alias("template")))
     shown = template.select("host", "w", F.lit(True).alias("shown"))

@@ -60,13 +60,24 @@ def test_wrapper_finds_template_and_slots(spark):
     assert H.extract_main_text(none).count() == 0
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<div class='layout has-sidebar'><article><p>a</p></article></div>", "a"), ("<article class='post comments-open'><p>a</p></article>", "a"),
+    ("<div class=sidebar><article><p>a</p></article></div>", "a"), ("<form id=page><main><p>a</p></main></form>", "a"),
+    ("<div class=widget><p>a</p></div>", "a"), ("<div><p>one two</p><p><a>linked</a></p></div>", "one two\n\nlinked"),
+])
+def test_names_never_drop_an_article(source, want):
+    assert plain(source) == want
+
+
 def test_the_aligned_tree_chooses(spark):
     words = lambda i: " ".join(f"word{i}x{k}" for k in range(30))
     rows = [(i, "http://a.org/", f"<article><h1>t{i}</h1><p>{words(i)}</p><p>Read our paper</p><p>{words(i + 50)}</p></article>") for i in range(6)]
+    rows += [(10 + i, "http://b.org/", f"<article><h1>title {i}</h1><p>{words(0)}</p></article>") for i in range(4)]
     rows += [(20 + i, "http://c.org/", f"<article><p>teaser</p></article><div class=text><h2>t{i}</h2><p>{words(i)}</p></div>") for i in range(6)]
     rows += [(30 + i, "http://c.org/", f"<table class=y><tr><td>menu</table><section><section class=z><p>{words(i + 9)}</p></section></section>") for i in range(5)]
     got = {r.page_id: r.text for r in H.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"t{i}\n\n{words(i)}\n\n{words(i + 50)}" for i in range(6))  # a constant among varying siblings
+    assert all(got[10 + i] == f"title {i}\n\n{words(0)}" for i in range(4))  # copies under other titles
     assert all(got[20 + i] == f"t{i}\n\n{words(i)}" for i in range(6))  # the slots, not the tag
     assert all(got[30 + i] == words(i + 9) for i in range(5))  # a second wrapper of the host
 
