@@ -1,16 +1,18 @@
 """URL filter by path-template trees.
 
 Per host, the segments of paths form a tree. Digits are generalised first; a segment that is one of many rare ones
-under its parent becomes a wildcard; what then reads alike is one branch, and labelled branches whose
-shares of blocked pages do not differ significantly are merged. A template is rejected when
+under its parent becomes a wildcard, until nothing changes; what then reads alike is one branch. From the leaves up to the root,
+labelled branches under one parent whose shares of blocked pages do not differ significantly are merged. A template is rejected when
 the share of blocked pages among its labelled ones, smoothed by a prior, is high enough.
 Labels come from the given rules, so the trees carry the rules' verdicts to paths that no rule names.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ UNNAMED_WEIGHT = 0.1
 #: Branches differ when their shares lie this many standard errors apart.
 DIFFERENT = 1.96
 LEAST_LABELLED = 5
-PASSES = 2
+#: How a merged segment begins; no segment of a path holds a slash.
+MERGED = "/"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -73,25 +76,51 @@ def _with_wildcards(tree: DataFrame) -> DataFrame:
     return out
 
 
-def _rate(blocked: Column, allowed: Column) -> Column:
-    return blocked / F.nullif(blocked + allowed, F.lit(0))
+def alike_branches(counts: list[tuple[int, int]]) -> list[int]:
+    """For blocked and allowed pages of siblings the group of each: the two neighbours by share that differ least are
+    merged as long as they do not differ significantly."""
+    groups = sorted(([b, a, [i]] for i, (b, a) in enumerate(counts)), key=lambda g: (g[0] / (g[0] + g[1]), g[2]))
 
+    def apart(x: list, y: list) -> float:
+        n, m = x[0] + x[1], y[0] + y[1]
+        share = (x[0] + y[0]) / (n + m)
+        error = math.sqrt(share * (1 - share) * (1 / n + 1 / m))
+        return abs(x[0] / n - y[0] / m) / error if error else 0.0
 
-def _merged_siblings(tree: DataFrame) -> DataFrame:
-    """Labelled templates that differ in their first segment only and whose shares do not differ significantly share their counts."""
-    tail = F.concat_ws("/", F.size("template").cast("string"), F.slice("template", 2, F.size("template")))
-    keyed = tree.withColumn("tail", tail)
-    known = F.col("blocked") + F.col("allowed") >= LEAST_LABELLED
-    family = keyed.where(known).groupBy("host", "tail").agg(
-        F.sum("blocked").alias("f_blocked"), F.sum("allowed").alias("f_allowed"), F.sum("unnamed").alias("f_unnamed"), F.count("*").alias("members")
-    ).where("members > 1")
-    joined = keyed.join(family, ["host", "tail"], "left")
-    n, m = F.col("blocked") + F.col("allowed"), F.col("f_blocked") + F.col("f_allowed")
-    share = _rate(F.col("f_blocked"), F.col("f_allowed"))
-    error = F.sqrt(share * (1 - share) * (1 / F.nullif(n, F.lit(0)) + 1 / F.nullif(m, F.lit(0))))
-    alike = known & (F.abs(_rate(F.col("blocked"), F.col("allowed")) - share) <= DIFFERENT * error)
-    pick = lambda c: F.when(F.coalesce(alike, F.lit(False)), F.col(f"f_{c}")).otherwise(F.col(c)).alias(c)
-    return joined.select("host", "template", "pages", pick("blocked"), pick("allowed"), pick("unnamed"))
+    while len(groups) > 1:
+        least, i = min((apart(groups[i], groups[i + 1]), i) for i in range(len(groups) - 1))
+        if least > DIFFERENT:
+            break
+        x, y = groups[i : i + 2]
+        groups[i : i + 2] = [[x[0] + y[0], x[1] + y[1], x[2] + y[2]]]
+    found = [0] * len(counts)
+    for _, _, members in groups:
+        for i in members:
+            found[i] = min(members)
+    return found
+
+
+def _merged_siblings(tree: DataFrame, depth: int) -> DataFrame:
+    """Labelled branches under one parent that differ in the segment at ``depth`` only, and whose shares do not differ
+    significantly, read alike in ``merged``, the template as far as it is merged so far; ``template`` stays.
+
+    Rare segments are wildcards by now, so a parent has at most about ``MOST_BRANCHES`` branches.
+    """
+
+    @F.pandas_udf("array<int>")
+    def groups(members: pd.Series) -> pd.Series:
+        return pd.Series([alike_branches([(m["blocked"], m["allowed"]) for m in ms]) for ms in members], dtype=object)
+
+    family = F.transform("merged", lambda s, i: F.when(i == depth, F.lit("")).otherwise(s))
+    branch = tree.where(F.size("merged") > depth).groupBy("host", "merged").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
+    branch = branch.where(F.col("blocked") + F.col("allowed") >= LEAST_LABELLED)
+    members = F.array_sort(F.collect_list(F.struct("merged", "blocked", "allowed")))
+    whole = branch.groupBy("host", family.alias("family")).agg(members.alias("members")).where(F.size("members") > 1)
+    grouped = whole.withColumn("groups", groups("members")).select("host", "members", "groups", F.posexplode("groups").alias("place", "group"))
+    same = F.size(F.filter("groups", lambda g: g == F.col("group"))) > 1
+    alike = grouped.where(same).select("host", F.element_at("members", F.col("place") + 1)["merged"].alias("merged"), F.concat(F.lit(MERGED), F.col("group")).alias("alike"))
+    wild = F.transform("merged", lambda s, i: F.when(i == depth, F.col("alike")).otherwise(s))
+    return tree.join(alike, ["host", "merged"], "left").withColumn("merged", F.when(F.col("alike").isNotNull(), wild).otherwise(F.col("merged"))).drop("alike")
 
 
 def rejected_templates(judged: DataFrame) -> DataFrame:
@@ -106,10 +135,20 @@ def rejected_templates(judged: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("label").isNull(), 1).otherwise(0)).alias("unnamed"),
         ).withColumn("first", F.col("template"))
     )
-    for _ in range(PASSES):
-        tree = staged(_with_wildcards(tree).drop("template").withColumnRenamed("next", "template"))
-    sums = [F.sum(c).alias(c) for c in ("pages", "blocked", "allowed", "unnamed")]
-    merged = _merged_siblings(tree.groupBy("host", "template").agg(*sums))
+    deepest = tree.agg(F.max(F.size("template"))).first()[0] or 0
+    for _ in range(deepest):  # a pass settles one depth at least
+        passed = staged(_with_wildcards(tree))
+        changed = not passed.where(F.col("next") != F.col("template")).isEmpty()
+        tree = passed.drop("template").withColumnRenamed("next", "template")
+        if not changed:
+            break
+    sums = [F.sum(c).alias(c) for c in ("blocked", "allowed", "unnamed")]
+    merged = staged(tree.groupBy("host", "template").agg(*sums).withColumn("merged", F.col("template")))
+    labelled = merged.where(F.col("blocked") + F.col("allowed") >= LEAST_LABELLED)
+    for depth in reversed(range(labelled.agg(F.max(F.size("template"))).first()[0] or 0)):
+        merged = staged(_merged_siblings(merged, depth))
+    merged = merged.join(merged.groupBy("host", "merged").agg(*[F.sum(c).alias(f"m_{c}") for c in ("blocked", "allowed", "unnamed")]), ["host", "merged"])
+    merged = merged.select("host", "template", *[F.col(f"m_{c}").alias(c) for c in ("blocked", "allowed", "unnamed")])
     seen = F.col("blocked") + F.col("allowed") + UNNAMED_WEIGHT * F.col("unnamed")
     purity = (F.col("blocked") + PRIOR_PAGES * PRIOR_SHARE) / (seen + PRIOR_PAGES)
     scored = merged.select("host", "template", purity.alias("purity"))

@@ -124,6 +124,25 @@ def test_purity_by_hand(spark):
     assert got[12].purity == pytest.approx((4 * 0.1) / (0.1 * 3 + 4))
 
 
+def test_branches_merge_under_every_parent(spark):
+    kinds = {"red": range(100), "blue": range(65), "green": range(30)}
+    urls = [f"http://h.io/shop/{c}/{i}" for c, n in kinds.items() for i in n]
+    rules = {f"h.io/shop/red/{i}": "block" for i in range(100)} | {f"h.io/shop/blue/{i}": "block" for i in (50, 51, 52, 53, 54)} | {"h.io/shop/green": "allow"}
+    got = judged(spark, urls, rules=rules)
+    named = sum(any(u[len("http://"):].startswith(r) for r in rules if "blue" in r) for u in urls)
+    assert [u for u in urls if "/red/" in u and "h.io/shop/red/" + u.rsplit("/", 1)[1] not in rules] == []
+    want = (100 + named + 4 * 0.1) / (100 + named + 0.1 * (65 - named) + 4)
+    assert got[0].purity == pytest.approx(want) and got[160].purity == pytest.approx(want)
+    assert got[160].rule is None and {got[i].verdict for i in range(165)} == {"block"}
+    assert {got[i].verdict for i in range(165, 195)} == {"allow"} and got[170].purity == pytest.approx(0.4 / 34)
+
+
+def test_variable_segments_nested_at_any_depth(spark):
+    names = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(30)]
+    urls = ["http://n.io/a/" + "/".join(f"{level}{n}" for level in "uvwxy") + "/end" for n in names]
+    assert {r.template for r in judged(spark, urls).values()} == {"/a/*/*/*/*/*/end"}
+
+
 def test_archives_round_trip(spark, rows):
     nasty = "a WARC/1.1\r\nb\r\n\r\nWARC/1.1\r\n é \r\n"
     data = [(1, "http://a/?q#f", "<p>é</p>"), (2, "http://b/", "<p>é</p>"), (3, None, None), (4, "x\ny", ""), (5, "http://c", nasty),
