@@ -3,8 +3,8 @@
 Every language has the statistics of a byte context tree with contexts of up to ``ORDER`` bytes. The
 code length of a byte is taken from the longest context that has seen it; every shorter step
 costs the escape probability of the context left (method C, without exclusions). Statistics are
-frozen after fitting, so the code length of every (context, byte) is tabulated once, and scoring
-a text is a walk through the contexts with one table row per byte.
+frozen after fitting; no context of the sample is left out. Each language has sorted tables of its own, so they
+grow with what was seen, and a chunk of texts looks up every different byte with its context once.
 """
 
 from __future__ import annotations
@@ -24,47 +24,69 @@ from tenderlake.session import staged
 ORDER = 4
 #: Bound of the training sample, in documents of each language.
 SAMPLE_ROWS = 400
-#: Bound of the tables that are broadcast; rare contexts beyond it are left to shorter ones.
-TABLE_BYTES = 96 << 20
-#: A context seen less often says nothing that a shorter one does not say better.
-LEAST_SEEN = 8
+#: Contexts seen less often are left out: none.
+LEAST_SEEN = 1
 UNKNOWN = "und"
 _BREAK = 0xFF
+_BODY = (1 << 56) - 1
 _UNIT = 1024  # code lengths are whole numbers of 1/1024 bit, so that sums do not depend on their order
-_LANE = 256
+
+
+@dataclass
+class Tree:
+    """A language's sequences with the code length of their last byte, and its contexts with that of an escape, both sorted."""
+
+    grams: np.ndarray
+    own: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+
+def _values(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, -1 where there is none."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], -1.0)
 
 
 @dataclass
 class Model:
-    """Tables over (context, symbol): the next context, and the code length in each language."""
+    """The context tree of each language."""
 
     languages: list[str]
-    symbol: np.ndarray
-    symbols: int
-    following: np.ndarray
-    cost: np.ndarray
+    trees: list[Tree]
     order: int
 
+    def _costs(self, tree: Tree, grams: np.ndarray) -> np.ndarray:
+        """Code lengths of the last bytes of sequences, sorted and as long as their contexts reach."""
+        length, body = grams >> 56, grams & _BODY
+        cost = np.full(len(grams), 8.0)
+        for size in range(self.order + 1):
+            at = np.flatnonzero(length > size)
+            last = body[at] & ((1 << 8 * (size + 1)) - 1)
+            own = _values(tree.grams, tree.own, last | ((size + 1) << 56))
+            escape = _values(tree.contexts, tree.escape, (last >> 8) | (size << 56))
+            cost[at] = np.where(own >= 0, own, cost[at] + np.maximum(escape, 0.0))
+        return np.rint(cost * _UNIT).astype(np.int32)
+
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """``len(texts) x languages`` code lengths in units of 1/1024 bit."""
         raw = np.frombuffer(bytes([_BREAK]) + b"".join(t + bytes([_BREAK]) for t in texts), np.uint8)
-        symbols = self.symbol[raw].astype(np.int32)
-        n = len(symbols)
-        lanes = -(-n // _LANE)
-        padded = np.zeros(self.order + lanes * _LANE, np.int32)
-        padded[self.order : self.order + n] = symbols
-        steps = np.lib.stride_tricks.as_strided(padded, (self.order + _LANE, lanes), (4, 4 * _LANE)).copy()
-        state = np.zeros(lanes, np.int32)
-        costs = np.zeros((_LANE, lanes, len(self.languages)), np.int32)
-        for t in range(self.order + _LANE):
-            at = state * self.symbols + steps[t]
-            if t >= self.order:
-                costs[t - self.order] = self.cost[at]
-            state = self.following[at]
-        flat = costs.transpose(1, 0, 2).reshape(lanes * _LANE, -1)[:n]
-        flat[raw == _BREAK] = 0
-        starts = np.flatnonzero(raw == _BREAK)[:-1]
-        return np.add.reduceat(flat, starts, axis=0, dtype=np.int64)
+        ends = raw == _BREAK
+        starts = np.flatnonzero(ends)[:-1]
+        place = np.arange(len(raw))
+        reach = np.minimum(place - np.maximum.accumulate(np.where(ends, place, 0)), self.order + 1)
+        gram = raw.astype(np.int64)
+        for back in range(1, self.order + 1):
+            gram[back:] |= np.where(reach[back:] > back, raw[:-back].astype(np.int64) << 8 * back, 0)
+        gram |= reach << 56
+        gram[ends] = 0
+        different, which = np.unique(gram, return_inverse=True)
+        sums = np.empty((len(starts), len(self.trees)), np.int64)
+        for i, tree in enumerate(self.trees):
+            cost = self._costs(tree, different)
+            cost[different == 0] = 0
+            sums[:, i] = np.add.reduceat(cost[which], starts, dtype=np.int64)
+        return sums
 
 
 def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
@@ -87,69 +109,15 @@ def _gram_counts(sample: DataFrame, order: int) -> DataFrame:
     return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _of_frequent_contexts(grams: DataFrame) -> DataFrame:
-    """Without the sequences whose context, all but the last byte, is rare in all languages together."""
-    length, body = F.shiftright("gram", 56), F.col("gram").bitwiseAND(F.lit((1 << 56) - 1))
-    keyed = grams.withColumn("context", F.shiftright(body, 8).bitwiseOR(F.shiftleft(length - 1, 56)))
-    frequent = keyed.groupBy("context").agg(F.sum("n").alias("seen")).where(F.col("seen") >= LEAST_SEEN).select("context")
-    return keyed.join(frequent, "context", "left_semi").drop("context")
-
-
-def _build(counts: pd.DataFrame, languages: list[str], order: int) -> Model | None:
-    if counts.empty:
-        return None
-    gram = counts["gram"].to_numpy(np.int64)
-    length, body = gram >> 56, gram & ((1 << 56) - 1)
-    n = counts["n"].to_numpy(np.int64)
-    lang = counts["lang"].to_numpy(np.int64)
-    symbol = np.zeros(256, np.int32)
-    seen = np.unique(body & 255)
-    symbol[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
-    most = max(1, TABLE_BYTES // (width * 4 * (len(languages) + 1)))
-    # contexts: sequences followed by something, the frequent ones first, with all their prefixes and suffixes
-    context = body >> 8
-    inner = length > 1
-    keys, place = np.unique((context | ((length - 1) << 56))[inner], return_inverse=True)
-    totals = np.bincount(place, weights=n[inner]).astype(np.int64)
-    chosen = sorted(((-t, int(k)) for k, t in zip(keys.tolist(), totals.tolist()) if t >= LEAST_SEEN))
-    ids: dict[bytes, int] = {b"": 0}
-    for _, key in chosen:
-        size = key >> 56
-        text = (key & ((1 << 56) - 1)).to_bytes(size, "big")
-        parts = {text[a:b] for a in range(size) for b in range(a + 1, size + 1)} - ids.keys()
-        if len(ids) + len(parts) > most:
-            break
-        for part in parts:
-            ids[part] = 0
-    names = sorted(ids, key=lambda c: (len(c), c))
-    ids = {c: i for i, c in enumerate(names)}
-    shape = (len(names), width, len(languages))
-    freq = np.zeros(shape, np.float32)
-    lookup = {int.from_bytes(c, "big") | (len(c) << 56): i for c, i in ids.items()}
-    row = np.array([lookup.get(int(k), -1) for k in (context | ((length - 1) << 56)).tolist()])
-    held = row >= 0
-    freq[row[held], symbol[body[held] & 255], lang[held]] = n[held]
-    total, kinds = freq.sum(axis=1), (freq > 0).sum(axis=1)
-    known = total > 0
-    escape = np.where(known, -np.log2(np.where(known, kinds, 1) / np.where(known, total + kinds, 1)), 0.0).astype(np.float32)
-    cost = np.zeros(shape, np.float32)
-    following = np.zeros((len(names), width), np.int32)
-    levels = np.array([len(c) for c in names])
-    suffix = np.array([ids[c[1:]] for c in names])
-    children = [np.flatnonzero(levels == level + 1).tolist() for level in range(order + 1)]
-    for level in range(order + 1):
-        at = np.flatnonzero(levels == level)
-        shorter = np.full((len(at), width, len(languages)), 8.0, np.float32) if level == 0 else cost[suffix[at]]
-        own = -np.log2(np.where(freq[at] > 0, freq[at], 1) / np.maximum(total[at] + kinds[at], 1).astype(np.float32)[:, None, :])
-        cost[at] = np.where(freq[at] > 0, own, shorter + escape[at][:, None, :])
-        if level:
-            following[at] = following[suffix[at]]
-        for child in children[level]:
-            following[ids[names[child][:-1]], symbol[names[child][-1]]] = child
-    np.rint(cost * _UNIT, out=cost)
-    cost = cost.astype(np.int32).reshape(-1, len(languages))
-    return Model(languages, symbol, width, following.ravel(), cost, order)
+def _tree(gram: np.ndarray, n: np.ndarray) -> Tree:
+    order = np.argsort(gram)
+    gram, n = gram[order], n[order]
+    contexts, place, kinds = np.unique(((gram & _BODY) >> 8) | (((gram >> 56) - 1) << 56), return_inverse=True, return_counts=True)
+    total = np.bincount(place, weights=n)
+    whole = total + kinds
+    own, escape = -np.log2(n / whole[place]), -np.log2(kinds / whole)
+    held = total >= LEAST_SEEN
+    return Tree(gram[held[place]], own[held[place]], contexts[held], escape[held])
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
@@ -162,9 +130,11 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     labelled = labelled.where("text is not null and lang is not null")
     grams = staged(_gram_counts(sample_per_label(labelled, "lang", "key", rows), order))
     languages = sorted(r.lang for r in grams.select("lang").distinct().collect())
-    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1
-    counts = _of_frequent_contexts(grams).select(number.alias("lang"), "gram", "n") if languages else grams
-    return _build(counts.toPandas(), languages, order)
+    trees = []
+    for name in languages:
+        counts = grams.where(F.col("lang") == name).select("gram", "n").toPandas()
+        trees.append(_tree(counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.int64)))
+    return Model(languages, trees, order) if languages else None
 
 
 def predict_language(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

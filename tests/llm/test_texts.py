@@ -201,6 +201,15 @@ def test_code_lengths_equal_the_definition(spark, monkeypatch):
     assert np.allclose(got, want, atol=0.002 * max(map(len, texts)))
 
 
+def test_rare_contexts_of_many_languages_count(spark):
+    training = {f"l{k:02d}": [f"{chr(97 + k)}quick {chr(97 + k)}brown fox", "the same words"] for k in range(20)}
+    data = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in training.items() for t in ts)]
+    model = ppm_language.fit(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    texts = ["kquick kbrown".encode(), b"the same fox", b"zq"]
+    want = [[code_length_by_hand([t.encode() for t in training[lang]], text, ppm_language.ORDER) for lang in training] for text in texts]
+    assert np.allclose(model.code_lengths(texts) / 1024, want, atol=0.02)
+
+
 def test_language_edge_cases(spark, rows):
     data = [(1, "the cat sat on the mat and the dog", "en", "q"), (2, "der hund und die katze sind im haus", "de", None),
             (3, None, "de", ""), (4, "12 34 !?", None, ""), (5, "", "en", ""), (6, "the dog and the cat", None, "s"), (6, "the dog and the cat", None, "s"),
