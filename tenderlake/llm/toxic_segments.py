@@ -4,7 +4,7 @@ Every word has a log-odds score: how much likelier it is in toxic than in clean
 priors that hand down the odds of a word's beginnings to the word. A drift makes scores negative on
 average in clean text. One pass over the scores finds all maximal-scoring segments; extreme-value
 statistics, fitted to the best segments of clean texts, say how surprising a segment is
-in a text of that length, and a logistic curve fitted on other labelled rows turns that into a probability.
+in a text of that length, sum statistics how surprising the best segments are together, and a logistic curve fitted on other labelled rows turns that into a probability.
 """
 
 from __future__ import annotations
@@ -113,19 +113,33 @@ class Model:
         """Minus the logarithm of how many such segments a clean text of that length has."""
         return self.rate * score - math.log(self.scale * max(words, 1))
 
+    def evidence(self, words: int, scores: list[float]) -> float:
+        """Minus the logarithm of the chance of the best segments together, for the number of them that surprises most.
+
+        The tail of Karlin and Altschul's sum of the ``r`` best, with the chance of each further one halved for
+        trying several ``r``; one segment alone counts as in ``surprise``.
+        """
+        total, most = 0.0, -math.inf
+        for r, score in enumerate(sorted(scores, reverse=True), 1):
+            total += self.surprise(words, score)
+            if r == 1:
+                most = total
+            elif total > r - 1:
+                most = max(most, total - (r - 1) * math.log(2 * total) + math.lgamma(r + 1) + math.lgamma(r))
+        return most
+
     def probability(self, evidence: float) -> float:
         x = self.curve[0] + self.curve[1] * evidence
         return 1 / (1 + math.exp(-min(max(x, -500), 500)))
 
     def judge(self, text: str | None) -> tuple[float, list[dict]]:
         words, found = self.segments(text or "")
-        best = max((s for _, _, s in found), default=0.0)
         significant = []
         for begin, stop, score in found:
             expected = math.exp(-self.surprise(words, score))
             if expected <= SIGNIFICANT:
                 significant.append({"begin": begin, "stop": stop, "score": score, "expected": expected})
-        return self.probability(self.surprise(words, best) if found else self.base), significant
+        return self.probability(self.evidence(words, [s for _, _, s in found]) if found else self.base), significant
 
 
 def _feature_counts(sample: DataFrame, wanted: dict | None) -> DataFrame:
@@ -227,11 +241,12 @@ def fit(docs: DataFrame, labels: DataFrame, fold: str, doc_id: str = "doc_id", t
                 words, found = shared.value.segments(text)
                 table = shared.value._scores
                 kinds = Counter(round(table[w], 2) for w in _WORD.findall(text.lower())) if not toxic else {}
-                rows.append((toxic, words, max((s for _, _, s in found), default=0.0), list(kinds), list(kinds.values())))
-            yield pd.DataFrame(rows, columns=["toxic", "words", "best", "kinds", "times"])
+                rows.append((toxic, words, [s for _, _, s in found], list(kinds), list(kinds.values())))
+            yield pd.DataFrame(rows, columns=["toxic", "words", "scores", "kinds", "times"])
 
-    schema = "toxic int, words long, best double, kinds array<double>, times array<long>"
+    schema = "toxic int, words long, scores array<double>, kinds array<double>, times array<long>"
     seen = sample(True, CALIBRATION_ROWS).select("toxic", "text").mapInPandas(search, schema).toPandas()
+    seen["best"] = [max(s, default=0.0) for s in seen["scores"]]
     total = counts.get((True, 0), 0) + counts.get((True, 1), 0)
     share = (counts.get((True, 1), 0) + 0.5) / (total + 1)
     model.curve = (math.log(share / (1 - share)), 0.0)
@@ -249,8 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, fold: str, doc_id: str = "doc_id", t
     if len(found):
         tail = found["words"].clip(lower=1) * np.exp(-model.rate * found["best"])
         model.scale = float(1 / max(tail.mean(), 1e-300))
-    seen = seen.copy()
-    evidence = np.array([model.surprise(w, s) if s > 0 else np.nan for w, s in zip(seen["words"], seen["best"])])
+    evidence = np.array([model.evidence(w, list(s)) if len(s) else np.nan for w, s in zip(seen["words"], seen["scores"])])
     model.base = float(np.nanmin(evidence)) if not np.isnan(evidence).all() else 0.0
     evidence = np.where(np.isnan(evidence), model.base, evidence)
     is_toxic = seen["toxic"].to_numpy(float)

@@ -126,3 +126,13 @@ def test_without_labels_all_texts_score_alike(spark):
     model = S.fit(docs, none, "true")
     assert len({r.toxicity.score for r in S.score_toxicity(docs, model).collect()}) == 1
     assert S.score_toxicity(docs.limit(0), model).count() == 0
+
+
+def test_every_passage_adds_to_the_score():
+    model = S.Model({"vil": 4.0, "off": -2.0}, rate=1.0, scale=0.1, curve=(-4.0, 0.5))
+    gap = "off " * 30
+    text = lambda n: (gap + "vil vil vil ") * n + gap * (20 - n)
+    scores = [model.judge(text(n))[0] for n in (1, 2, 5, 20)]
+    assert scores == sorted(set(scores)) and len(model.judge(text(20))[1]) == 20
+    words, found = model.segments(text(1))
+    assert model.evidence(words, [s for _, _, s in found]) == model.surprise(words, found[0][2])
