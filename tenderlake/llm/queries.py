@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm import (
-    decontaminate, entropy_mix, grid_join, html_wrappers, jaccard_join, ppm_language, reshard, toxic_segments, url_templates, warc,
+    decontaminate, entropy_mix, fill_middle, grid_join, hash_search, html_wrappers, jaccard_join, ppm_language, reshard, toxic_segments,
+    url_templates, warc, whitening,
 )
 from tenderlake.llm.graph import crc_remainder
 
@@ -102,11 +103,28 @@ def op10_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_columns(reshard.reshard(_table(spark, sf_dir, "documents")))
 
 
+def op11_whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restore(fill_middle.fill_middle(_table(spark, sf_dir, "documents")))
+    f = F.col("fim")
+    return made.select(
+        "doc_id", f.n.alias("n"), f.form.alias("form"), f.prefix_chars.alias("prefix_chars"), f.middle_chars.alias("middle_chars"),
+        F.sha2(f.output, 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_search.nearest_vectors(_table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_main_text, op2_ngram_jaccard, op3_url_templates, op4_toxic_segments, op5_entropy_mix, op6_vector_classes,
-        op7_language, op8_contamination, op9_warc_captures, op10_resharding,
+        op7_language, op8_contamination, op9_warc_captures, op10_resharding, op11_whitened, op12_fill_middle, op13_nearest,
     )
 }
 
@@ -165,6 +183,23 @@ WITH doc_words AS (
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(i.n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(i.names, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hits h USING (doc_id) LEFT JOIN items i USING (doc_id)""",
+    "op12_fill_middle": """
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+      sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+  drawn AS (
+    SELECT *, len(u)::BIGINT AS n, [('0x' || substr(h, 8 * k + 1, 8))::BIGINT for k in range(0, 4)] AS r FROM cut),
+  ends AS (
+    SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+      CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+        WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+  parts AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m,
+      array_to_string(u[b + 1:], '') AS s FROM ends)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+    AS output_sha256, sha256(t) AS restored_sha256
+FROM parts""",
     "op9_warc_captures": """
 WITH payloads AS (
     SELECT page_id, strlen(coalesce(html, '')) AS n, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
