@@ -35,7 +35,7 @@ SUBSTRING = 16
 #: Bound of the sample that the rotations and the table of distances are fitted on; everything else reads all rows.
 SAMPLE_ROWS = 8192
 #: Share of pairs of one inner product whose codes lie within the radius given for it.
-KEPT = 0.985
+KEPT = 0.92
 #: Vectors in one block of the index.
 BLOCK = 4096
 #: Bytes of query vectors broadcast at a time.
@@ -46,7 +46,9 @@ _GROUP = 64
 _STEPS = 200
 _SCORED = 1 << 15
 _WORD = 64
-_ONES = np.array([bin(v).count("1") for v in range(1 << SUBSTRING)], np.uint8)
+_ONES = np.bitwise_count(np.arange(1 << SUBSTRING, dtype=np.uint32))
+#: Values in balls of radius 0, 1, ...
+_BALLS = np.cumsum(np.bincount(_ONES))
 
 
 def learned_rotation(x: np.ndarray, seed: int) -> np.ndarray:
@@ -134,9 +136,9 @@ def distances(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
     return np.bitwise_count(codes ^ code).sum(axis=-1, dtype=np.int64)
 
 
-def ball(radius: int, bits: int = SUBSTRING) -> np.ndarray:
-    """All values of at most ``radius`` ones."""
-    return np.flatnonzero(_ONES[: 1 << bits] <= radius).astype(np.uint16)
+def ball(radius: int) -> np.ndarray:
+    """All values of a substring with at most ``radius`` ones."""
+    return np.flatnonzero(_ONES <= radius).astype(np.uint16)
 
 
 @dataclass
@@ -152,13 +154,16 @@ class Block:
         return self.codes.view(np.uint16)
 
     @cached_property
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per substring: its different values, ascending, and where the vectors of each begin in ``order``."""
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per substring: its different values, ascending, where the vectors of each begin in ``order``, and each vector's value."""
         found = []
         for j, order in enumerate(self.order):
             values = self.parts[order, j]
-            first = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-            found.append((values[first], np.append(first, len(values))))
+            new = np.append(True, values[1:] != values[:-1])
+            first = np.flatnonzero(new)
+            place = np.empty(len(order), np.intp)
+            place[order] = np.cumsum(new) - 1
+            found.append((values[first], np.append(first, len(values)), place))
         return found
 
     def probe(self, codes: np.ndarray, radii: np.ndarray) -> np.ndarray:
@@ -166,18 +171,20 @@ class Block:
         found = np.zeros((len(codes), len(self.codes)), bool)
         parts = np.ascontiguousarray(codes).view(np.uint16)
         m = parts.shape[1]
-        for j, (values, first) in enumerate(self.tables):
-            reach = radii // m - (j > radii % m)
-            for r in np.unique(reach[reach >= 0]).tolist():
-                rows = np.flatnonzero(reach == r)
-                masks = ball(r)
-                if len(masks) < len(values):
-                    near = parts[rows, j][:, None] ^ masks
-                    at = np.minimum(np.searchsorted(values, near), len(values) - 1)
-                    who, which = np.nonzero(values[at] == near)
-                    bucket = at[who, which]
-                else:  # fewer values than the ball has: all of them are looked at
-                    who, bucket = np.nonzero(_ONES[parts[rows, j][:, None] ^ values] <= r)
+        for j, (values, first, place) in enumerate(self.tables):
+            reach = np.minimum(radii // m - (j > radii % m), SUBSTRING)
+            # a ball of fewer values than the table has is listed and looked up; otherwise all values are compared
+            listed = (reach >= 0) & (_BALLS[np.maximum(reach, 0)] < len(values))
+            compared = np.flatnonzero((reach >= 0) & ~listed)
+            if len(compared):
+                apart = np.bitwise_count(parts[compared, j][:, None] ^ values)
+                found[compared] |= (apart <= reach[compared][:, None]).take(place, axis=1)
+            for r in np.unique(reach[listed]).tolist():
+                rows = np.flatnonzero(listed & (reach == r))
+                near = parts[rows, j][:, None] ^ ball(r)
+                at = np.minimum(np.searchsorted(values, near), len(values) - 1)
+                who, which = np.nonzero(values[at] == near)
+                bucket = at[who, which]
                 sizes = first[bucket + 1] - first[bucket]
                 inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 found[np.repeat(rows[who], sizes), self.order[j][np.repeat(first[bucket], sizes) + inside]] = True
@@ -185,7 +192,13 @@ class Block:
 
     def within(self, codes: np.ndarray, radii: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs of a query code and a vector whose codes differ in at most the radius."""
-        who, row = np.nonzero(self.probe(codes, radii))
+        probed = self.probe(codes, radii)
+        if np.count_nonzero(probed) * 8 > probed.size:  # comparing all is cheaper than picking that many
+            apart = np.zeros(probed.shape, np.uint16)
+            for word in range(codes.shape[1]):
+                apart += np.bitwise_count(codes[:, word][:, None] ^ self.codes[:, word])
+            return np.nonzero(probed & (apart <= radii[:, None]))
+        who, row = np.nonzero(probed)
         close = distances(self.codes[row], codes[who]) <= radii[who]
         return who[close], row[close]
 
