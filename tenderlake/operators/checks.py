@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -171,6 +171,23 @@ def check_contract(tables: dict[str, DataFrame], contract: Sequence[Table]) -> D
     return reduce(DataFrame.unionByName, [r.select(*_RESULT) for r in results if r is not None])
 
 
+def key_ranges(spark: SparkSession, tables: Sequence[Table], parts: Sequence) -> DataFrame:
+    """Whether the folders of a table share keys, from the first and last key of each (``table``, ``first_key``, ``last_key``).
+
+    Disjoint ranges prove that keys unique in every folder are unique in the table, without reading a folder. One
+    row per table in the shape of the contract check: the number of folders that begin before an earlier one ends.
+    """
+    rows = []
+    for table in tables:
+        ranges = sorted((p.first_key, p.last_key) for p in parts if p.table == table.name and p.first_key is not None)
+        end, overlaps = None, 0
+        for first, last in ranges:
+            overlaps += end is not None and first <= end
+            end = last if end is None else max(end, last)
+        rows.append((table.name, "key_ranges", ",".join(table.primary_key), overlaps))
+    return spark.createDataFrame(rows, "tabela string, regra string, coluna string, violacoes long").select(*_RESULT)
+
+
 def reconcile(
     parts: DataFrame, whole: DataFrame, measures: Sequence[str], name: str = "total"
 ) -> DataFrame:

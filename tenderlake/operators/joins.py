@@ -156,6 +156,19 @@ def lookup_key(
     )
 
 
+def rows_with_keys(
+    df: DataFrame, keys: DataFrame, on: Sequence[tuple[str, str]], null_safe: bool = False, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of a large table whose key stands in ``keys``; ``on`` pairs columns of both.
+
+    The keys are measured, so they should be a written table: up to ``broadcast_bytes`` they are broadcast and
+    the large table is not shuffled.
+    """
+    if measured_bytes(keys) <= broadcast_bytes:
+        keys = F.broadcast(keys)
+    return df.join(keys, matching(df, keys, on, null_safe), "left_semi")
+
+
 def mark_matches(
     left: DataFrame,
     right: DataFrame,

@@ -135,6 +135,26 @@ def assign_dense_key(
     )
 
 
+def assign_key_by_group(df: DataFrame, name: str, group: str, start: int = 1, key_type: str = "bigint") -> DataFrame:
+    """Number the rows without a gap so that those of one group get consecutive numbers, groups in their order.
+
+    Rows are rebalanced by group: small groups share a task, a large one is dealt to several. As in
+    :func:`assign_dense_key` they are written once with their place; one offset per group and partition is broadcast.
+    """
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
+    placed = df.hint("rebalance", group).sortWithinPartitions(group)
+    rows = staged(placed.select("*", F.spark_partition_id().alias("_part"), position.alias("_pos")))
+    before = Window.orderBy("_grupo", "_bloco").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy(named(group).alias("_grupo"), F.col("_part").alias("_bloco"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_primeira"))
+        .select("_grupo", "_bloco", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_primeira")).alias("_offset"))
+    )
+    number = (F.col("_offset") + F.col("_pos") + F.lit(start)).cast(key_type)
+    same = named(group).eqNullSafe(F.col("_grupo")) & (F.col("_part") == F.col("_bloco"))
+    return rows.join(F.broadcast(offsets), same).select(number.alias(name), *[named(c) for c in df.columns if c != name])
+
+
 def get_or_create_key(
     mapping: DataFrame, batch: DataFrame, natural_key: Sequence[str], sk: str
 ) -> DataFrame:

@@ -174,11 +174,12 @@ def build_fact_item(
     date_key: int = 2,
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Won items with their five keys, and the number of items without a tender.
 
     The date follows the first tender of (number, unit), as in the published star;
-    ``date_key=3`` uses the full tender key instead.
+    ``date_key=3`` uses the full tender key instead. ``keep`` names columns of the items to carry along.
     """
     context = staged(tender_context(tenders, dims["dim_tempo"], dims["dim_orgao"], date_key))
     context_key = list(C.TENDER_KEY[:date_key])
@@ -189,6 +190,7 @@ def build_fact_item(
         named("Quantidade Item").alias("quantidade_item"),
         named("Valor Item").alias("valor_item"),
         C.ROW_ORD,
+        *keep,
     )
     spread = _spreader(slim, rows_per_task, broadcast_bytes)
     # The long text goes first: once it is a key, no later shuffle carries it.
@@ -210,7 +212,7 @@ def build_fact_item(
     )
     price = X.unit_price(F.col("valor_item"), F.col("quantidade_item"))
     named_fact = fact.withColumn("valor_unitario_item", price).select(
-        C.ROW_ORD, *[c for c in C.FATO_ITEM.names if c != "sk_fato_item"]
+        C.ROW_ORD, *[c for c in C.FATO_ITEM.names if c != "sk_fato_item"], *keep
     )
     return named_fact, orphan_count(slim, context, context_key, null_safe=True)
 
@@ -220,14 +222,16 @@ def build_fact_bid(
     dims: dict[str, DataFrame],
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Bids with tender, product and supplier keys; unresolved keys stay null."""
+    """Bids with tender, product and supplier keys; unresolved keys stay null. ``keep`` names columns to carry along."""
     slim = participants.select(
         *[named(k) for k in C.TENDER_KEY],
         named("Código Participante"),
         named("Descrição Item Compra"),
         "flag_vencedor",
         C.ROW_ORD,
+        *keep,
     )
     spread = _spreader(slim, rows_per_task, broadcast_bytes)
     fact = lookup_key(
@@ -242,7 +246,7 @@ def build_fact_bid(
         fact, dims["dim_licitacao"], list(_TENDER_KEY), "sk_licitacao",
         null_safe=True, **spread(C.TENDER_KEY),
     )
-    return fact.select(C.ROW_ORD, "sk_licitacao", "sk_produto", "sk_fornecedor", "flag_vencedor")
+    return fact.select(C.ROW_ORD, "sk_licitacao", "sk_produto", "sk_fornecedor", "flag_vencedor", *keep)
 
 
 def build_dimensions(

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tenderlake import contracts as C
 from tenderlake.operators.aggregates import attribute_drift
 from tenderlake.plans.silver import domain_samples
+from tenderlake.plans.versions import set_path
 
+OCCURRENCES = "ocorrencias"
 SCHEMA = "dataset string, regra string, valor string, linhas long"
 INVALID_STATE, SEVERAL_NAMES, WITHOUT_TENDER = "uf_invalida", "unidade_com_varios_nomes", "item_sem_licitacao"
 
@@ -39,10 +41,11 @@ def items_without_tender(orphans: DataFrame) -> DataFrame:
     return _rows(orphans.filter("orfaos > 0"), C.ITEMS, WITHOUT_TENDER, F.lit(None), F.col("orfaos"))
 
 
-def write_occurrences(parts: list[DataFrame], root: str) -> None:
-    """Replace the table of one load; it holds a few rows, or one per unit at most."""
-    reduce(DataFrame.unionByName, parts).coalesce(1).write.mode("overwrite").json(f"{root}/ocorrencias")
+def write_occurrences(parts: list[DataFrame], folder: str) -> None:
+    """Write the table of one load to the folder of its set; it holds a few rows, or one per unit at most."""
+    reduce(DataFrame.unionByName, parts).coalesce(1).write.json(f"{folder}/{OCCURRENCES}")
 
 
 def read_occurrences(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(SCHEMA).json(f"{root}/ocorrencias")
+    """The occurrences of the current set."""
+    return spark.read.schema(SCHEMA).json(set_path(spark, root, OCCURRENCES))

@@ -1,18 +1,14 @@
 """Typed, checked, all-or-nothing publication of the star.
 
-A published version is a list of folders: one per dimension, and one per fact or, in
-incremental loading, one per fact and period. Publishing appends that list in a single
-file; readers follow the list appended last. Nothing a reader may be using is rewritten,
-and a period that did not change is carried over by name, not by copy.
+A published star is a version (see :mod:`tenderlake.plans.versions`): a list of folders, one per fact and period, and
+one or several per dimension. A dimension's later folders hold the members that a load brought or changed;
+readers take the newest row of each key.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from functools import reduce
-from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,27 +17,24 @@ from pyspark.sql import types as T
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named
 from tenderlake.operators.checks import check_contract, open_gate
+from tenderlake.operators.joins import BROADCAST_BYTES, rows_bytes
+from tenderlake.operators.keys import latest_by_key
 from tenderlake.plans.gold import Star
-from tenderlake.session import delete_path, path_exists, side_by_side
-
-_LIST = "publicacoes"
-_LIST_SCHEMA = (
-    "ordem long, publicado_em timestamp, versao string, tabela string, periodo string, "
-    "caminho string, maior_chave long"
+from tenderlake.plans.versions import (
+    Part,
+    current_parts,
+    new_version,
+    publish_parts,
+    removed_on_failure,
+    set_path,
+    version_path,
+    write_set,
 )
+from tenderlake.session import side_by_side
 
 
-class Part(NamedTuple):
-    """A folder of a published version; ``period`` and ``last_key`` are for facts only."""
-
-    table: str
-    path: str
-    period: str | None = None
-    last_key: int | None = None
-
-
-def conform(df: DataFrame, table: C.Table) -> DataFrame:
-    """Columns of the contract in their types; empty text is missing, money is rounded.
+def conform(df: DataFrame, table: C.Table, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns of the contract in their types, and those to ``keep``; empty text is missing, money is rounded.
 
     A value that does not fit its type stops the job. Lengths are left as they are and
     reported by the contract check, so that no text is cut silently.
@@ -52,7 +45,7 @@ def conform(df: DataFrame, table: C.Table) -> DataFrame:
         if isinstance(df.schema[column.name].dataType, T.StringType):
             cell = F.nullif(cell, F.lit(""))
         cells.append(cell.cast(column.type).alias(column.name))
-    return df.select(*cells)
+    return df.select(*cells, *keep)
 
 
 def conform_all(
@@ -66,54 +59,12 @@ def table_schema(table: C.Table) -> T.StructType:
 
 
 def write_gold(tables: dict[str, DataFrame], root: str) -> None:
-    """Write every table of the star, replacing what was there, in files of a sensible size."""
-    for name, df in tables.items():
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/{name}")
+    """Replace all tables of the star together; until the last one is written readers see the old ones."""
+    write_set(next(iter(tables.values())).sparkSession, tables, root)
 
 
 def read_star(spark: SparkSession, root: str) -> Star:
-    return Star(**{t.name: spark.read.parquet(f"{root}/{t.name}") for t in C.WAREHOUSE})
-
-
-def _published(spark: SparkSession, root: str) -> list:
-    """Rows of the list appended last (one per folder)."""
-    path = f"{root}/{_LIST}"
-    if not path_exists(spark, path):
-        return []
-    entries = spark.read.schema(_LIST_SCHEMA).parquet(path)
-    # Should two writers meet, the later one wins as a whole.
-    last = entries.agg(F.max_by("versao", F.struct("ordem", "publicado_em", "versao"))).scalar()
-    return entries.filter(F.col("versao") == last).collect()
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version readers see: the one published last."""
-    entries = _published(spark, root)
-    return entries[0].versao if entries else None
-
-
-def current_parts(spark: SparkSession, root: str) -> list[Part]:
-    return [
-        Part(e.tabela, e.caminho, e.periodo, e.maior_chave) for e in _published(spark, root)
-    ]
-
-
-def new_version() -> str:
-    return uuid.uuid4().hex
-
-
-def version_path(root: str, version: str, table: str) -> str:
-    return f"{root}/versoes/{version}/{table}"
-
-
-@contextmanager
-def removed_on_failure(spark: SparkSession, root: str, version: str) -> Iterator[None]:
-    """Take the folders of a version away when what fills or checks them fails."""
-    try:
-        yield
-    except BaseException:
-        delete_path(spark, f"{root}/versoes/{version}")
-        raise
+    return Star(**{t.name: spark.read.parquet(set_path(spark, root, t.name)) for t in C.WAREHOUSE})
 
 
 def stage_version(
@@ -129,37 +80,6 @@ def stage_version(
     return version
 
 
-class VersionMoved(RuntimeError):
-    """Another writer published since the work began."""
-
-
-ANY = object()
-
-
-def publish_parts(
-    spark: SparkSession, root: str, version: str, parts: Sequence[Part], base: str | None | object = ANY
-) -> None:
-    """Switch readers to a list of folders. One appended file is the whole switch.
-
-    A list that carries folders over from the version ``base`` is refused when another version has been
-    published meanwhile, as it would take that version's changes back.
-    """
-    before = _published(spark, root)
-    now = before[0].versao if before else None
-    if base is not ANY and base != now:
-        raise VersionMoved(f"built on version {base}, but {now} is published")
-    if any(e.versao == version for e in before):
-        raise ValueError(f"version is published already: {version}")
-    order = before[0].ordem + 1 if before else 1
-    rows = spark.createDataFrame(
-        [(order, version, p.table, p.period, p.path, p.last_key) for p in parts],
-        "ordem long, versao string, tabela string, periodo string, caminho string, maior_chave long",
-    )
-    entries = rows.withColumn("publicado_em", F.current_timestamp())
-    names = [f.split()[0] for f in _LIST_SCHEMA.split(", ")]
-    entries.select(*names).coalesce(1).write.mode("append").parquet(f"{root}/{_LIST}")
-
-
 def publish_version(
     spark: SparkSession, root: str, version: str, contract: Sequence[C.Table] = C.WAREHOUSE
 ) -> None:
@@ -168,6 +88,25 @@ def publish_version(
     publish_parts(spark, root, version, parts)
 
 
+def _newest(spark: SparkSession, table: C.Table, parts: Sequence[Part]) -> DataFrame:
+    """Members of a dimension kept in several folders: of each key the row of the last folder that has it.
+
+    The first folder, the large one, is not shuffled as long as the keys of the others may be broadcast.
+    """
+    schema, key = table_schema(table), table.primary_key[0]
+    first, *later = parts
+    turns = [spark.read.schema(schema).parquet(p.path).withColumn("_vez", F.lit(i)) for i, p in enumerate(later)]
+    changes = reduce(DataFrame.unionByName, turns)
+    if len(later) > 1:
+        changes = latest_by_key(changes, [key], "_vez")
+    changes = changes.drop("_vez")
+    known = changes.select(key)
+    rows = [p.rows for p in later]
+    if None not in rows and rows_bytes(sum(rows), 1) <= BROADCAST_BYTES:
+        known = F.broadcast(known)
+    return spark.read.schema(schema).parquet(first.path).join(known, key, "left_anti").unionByName(changes)
+
+
 def read_tables(
     spark: SparkSession, parts: Sequence[Part], contract: Sequence[C.Table] = C.WAREHOUSE
 ) -> dict[str, DataFrame]:
@@ -175,10 +114,13 @@ def read_tables(
     tables = {}
     for table in contract:
         schema = table_schema(table)
-        paths = [p.path for p in parts if p.table == table.name]
-        tables[table.name] = (
-            spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-        )
+        mine = [p for p in parts if p.table == table.name]
+        if any(p.delta for p in mine):
+            tables[table.name] = _newest(spark, table, mine)
+        elif mine:
+            tables[table.name] = spark.read.schema(schema).parquet(*[p.path for p in mine])
+        else:
+            tables[table.name] = spark.createDataFrame([], schema)
     return tables
 
 
@@ -214,30 +156,14 @@ def publish_if_clean(
         stage_version(spark, conform_all(tables, contract), root, version)
         staged = [Part(t.name, version_path(root, version, t.name)) for t in contract]
         written = read_tables(spark, staged, contract)
-        results = check_contract(written, contract)
-        for check in more_checks:
-            results = results.unionByName(check)
-        open_gate(results)
-    publish_parts(spark, root, version, staged)
+        gate(check_contract(written, contract), more_checks)
+        publish_parts(spark, root, version, staged)
     return row_counts(written)
 
 
-def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete folders that none of the last ``keep`` publications uses; returns them.
-
-    Readers of an older version lose it, so ``keep`` has to cover the longest-running query.
-    """
-    path = f"{root}/{_LIST}"
-    if keep < 1 or not path_exists(spark, path):
-        return []
-    entries = spark.read.schema(_LIST_SCHEMA).parquet(path)
-    last = entries.agg(F.max("ordem")).scalar()
-    kept = entries.filter(F.col("ordem") > last - keep).select("caminho")
-    unused = entries.select("caminho").distinct().join(kept, "caminho", "left_anti")
-    folders = sorted(r.caminho for r in unused.collect() if path_exists(spark, r.caminho))
-    for folder in folders:
-        delete_path(spark, folder)
-    return folders
+def gate(results: DataFrame, more_checks: Sequence[DataFrame] = ()) -> None:
+    """Raise if the contract check, or a further check of its shape, found violations."""
+    open_gate(reduce(DataFrame.unionByName, more_checks, results))
 
 
 def load_warehouse(spark: SparkSession, star: Star, root: str) -> dict[str, int]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tenderlake import contracts as C
 from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
+from tenderlake.plans.versions import set_path
 
 COPIES, STATE = "_linhas", "situacao_linha"
 ACCEPTED, NEGATIVE = "aceita", "valor_negativo"
@@ -32,6 +33,8 @@ REPORT = (
     "uf_invalida_corrigida", "codigo_item_gerado", "participante_invalido_corrigido",
     "participante_estrangeiro", "datas_invalidas",
 )
+QUALITY = "relatorio_qualidade"
+_QUALITY_SCHEMA = ", ".join(["dataset string", *[f"{c} long" for c in REPORT]])
 
 
 def _bad_date(raw: Column) -> Column:
@@ -189,19 +192,24 @@ def domain_samples(df: DataFrame, name: str, domain, limit: int = 5) -> DataFram
     return outside.orderBy(F.col(f"`{name}`").asc_nulls_first()).limit(limit)
 
 
-def write_silver(marked: DataFrame, root: str, name: str) -> None:
-    """Replace one silver table; rejected rows stay in it, flagged, for the report."""
-    marked.write.mode("overwrite").parquet(f"{root}/{name}")
+def write_silver(marked: DataFrame, folder: str, name: str) -> None:
+    """Write one silver table to the folder of a set; rejected rows stay in it, flagged, for the report."""
+    marked.write.parquet(f"{folder}/{name}")
 
 
-def write_quality(report: DataFrame, root: str) -> None:
-    report.coalesce(1).write.mode("overwrite").json(f"{root}/relatorio_qualidade")
+def write_quality(report: DataFrame, folder: str) -> None:
+    report.coalesce(1).write.json(f"{folder}/{QUALITY}")
 
 
-def read_marked(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+def read_marked(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}")
 
 
 def read_silver(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The three clean tables the star is built from; a missing one is an error."""
-    return {name: accepted(read_marked(spark, root, name)) for name in (C.TENDERS, C.ITEMS, C.BIDS)}
+    """The three clean tables of the current set, which the star is built from; a missing one is an error."""
+    return {name: accepted(spark.read.parquet(set_path(spark, root, name))) for name in (C.TENDERS, C.ITEMS, C.BIDS)}
+
+
+def read_quality(spark: SparkSession, root: str) -> DataFrame:
+    """The quality report of the current set."""
+    return spark.read.schema(_QUALITY_SCHEMA).json(set_path(spark, root, QUALITY))

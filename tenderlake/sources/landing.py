@@ -17,6 +17,7 @@ from tenderlake import contracts as C
 from tenderlake.functions.columns import named, null_tokens
 from tenderlake.operators.keys import latest_by_key, union_periods
 from tenderlake.session import delete_path, path_exists
+from tenderlake.sources.records import QUOTED_CELL, count_records, records
 
 FILE, BLOCK, LINE_ID = "_arquivo", "_bloco", "_id_linha"
 FILE_PART = "arquivo"
@@ -25,10 +26,11 @@ MANIFEST = "manifesto"
 MANIFEST_SCHEMA = (
     "arquivo_origem string, dataset_logico string, ano string, mes string, linhas long, "
     "colunas array<string>, impressao string, encoding_original string, "
-    "separador_original string, data_ingestao_utc timestamp, status string"
+    "separador_original string, data_ingestao_utc timestamp, status string, bytes long, modificado timestamp"
 )
 
-_WHOLE_QUOTED_CELL = r'(^|;)"[^"]*+(?:""[^"]*+)*+"(?=;|$)'
+#: How the records of a file are found: every line is one, they are put together from splits, or one task reads the file.
+BY_LINE, BY_RECORD, WHOLE_FILE = "linhas", "registros", "arquivo"
 _BAD_RECORD = "_registro_ruim"
 
 
@@ -48,12 +50,12 @@ def file_name(path: Column) -> Column:
 
 
 def listing(spark: SparkSession, folder: str, names: str = "*.csv") -> DataFrame:
-    """Files of a folder with their sizes, empty ones included; contents are not read."""
+    """Files of a folder with size and time of change, empty ones included; contents are not read."""
     target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{names}")
     found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target) or []
-    rows = [(s.getPath().toString(), s.getLen()) for s in found if s.isFile()]
-    files = spark.createDataFrame(rows, "path string, bytes long")
-    return files.withColumn("path", _plain_path(F.col("path")))
+    rows = [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found if s.isFile()]
+    files = spark.createDataFrame(rows, "path string, bytes long, modificado long")
+    return files.withColumns({"path": _plain_path(F.col("path")), "modificado": F.timestamp_millis("modificado")})
 
 
 def recognise(files: DataFrame, specs: Sequence[C.DatasetSpec] = C.DATASETS) -> DataFrame:
@@ -74,9 +76,11 @@ def recognise(files: DataFrame, specs: Sequence[C.DatasetSpec] = C.DATASETS) ->
     reason = F.when(~F.col("_casa"), "nome_fora_do_padrao").when(
         F.col("dataset").isNull(), "dataset_desconhecido"
     )
+    if "modificado" not in files.columns:
+        read = read.withColumn("modificado", F.lit(None).cast("timestamp"))
     # The specification has one row per known data set.
     return read.join(F.broadcast(known), "fonte", "left").select(
-        "path", "nome", "bytes", "ano", "mes", "fonte", "dataset", "obrigatorias",
+        "path", "nome", "bytes", "modificado", "ano", "mes", "fonte", "dataset", "obrigatorias",
         reason.isNull().alias("aceito"), reason.alias("motivo"),
     )
 
@@ -95,7 +99,7 @@ def missing_columns(header: Column, required: Column) -> Column:
 
 def has_open_quote(line: Column) -> Column:
     """True if a quote is left once whole quoted cells are removed: the record may go on."""
-    rest = F.regexp_replace(line, _WHOLE_QUOTED_CELL, "$1")
+    rest = F.regexp_replace(line, QUOTED_CELL, "$1")
     return F.contains(line, F.lit('"')) & F.contains(rest, F.lit('"'))
 
 
@@ -150,29 +154,32 @@ def _header_cells(line: str | None) -> list[str]:
 
 
 def profile_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Header, record count, splittability and digest of each file (one row per file).
+    """Header, record count, way of reading and digest of each file (one row per file).
 
-    Blank lines are no records. A file whose records may span lines is counted by the
-    parser, as a whole file per task; all others are counted in splits, in the pass that reads the rest.
+    Blank lines are no records. Files whose records may span lines are looked at once more, in splits; only
+    those that do not quote properly are counted by the parser, as a whole file per task.
     """
     paths = list(paths)
     seen = {r.path: r for r in scan_lines(spark, paths).collect()}
     headers = {p: _header_cells(seen[p].primeira) if p in seen else [] for p in paths}
+    counts = {path: max(found.preenchidas - 1, 0) for path, found in seen.items()}
+    ways = dict.fromkeys(paths, BY_LINE)
+    spanning = sorted(path for path, found in seen.items() if not found.divisivel)
     whole: dict[tuple[str, ...], list[str]] = {}
-    for path, found in seen.items():
-        if not found.divisivel:
-            whole.setdefault(tuple(headers[path]), []).append(path)
-    records = {path: max(found.preenchidas - 1, 0) for path, found in seen.items()}
+    for r in count_records(spark, spanning, source_path()).collect() if spanning else []:
+        ways[r.path] = BY_RECORD if r.correto else WHOLE_FILE
+        counts[r.path] = max(r.registros - 1, 0)
+        if not r.correto:
+            whole.setdefault(tuple(headers[r.path]), []).append(r.path)
     for header, files in whole.items():
         parsed = read_landing_csv(spark, files, header, splittable=False, provenance=True)
-        records |= dict.fromkeys(files, 0)
-        records |= {r[FILE]: r["count"] for r in parsed.groupBy(FILE).count().collect()}
+        counts |= dict.fromkeys(files, 0)
+        counts |= {r[FILE]: r["count"] for r in parsed.groupBy(FILE).count().collect()}
     rows = [
-        (p, headers[p], records.get(p, 0), p not in seen or seen[p].divisivel, seen[p].impressao if p in seen else None)
-        for p in paths
+        (p, headers[p], counts.get(p, 0), ways[p] == BY_LINE, ways[p], seen[p].impressao if p in seen else None) for p in paths
     ]
     return spark.createDataFrame(
-        rows, "path string, colunas array<string>, linhas long, divisivel boolean, impressao string"
+        rows, "path string, colunas array<string>, linhas long, divisivel boolean, leitura string, impressao string"
     )
 
 
@@ -186,6 +193,25 @@ def _unique_names(header: Sequence[str]) -> list[str]:
     return names
 
 
+def _record_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BAD_RECORD)])
+
+
+_PARSER = {
+    "sep": C.SOURCE_SEPARATOR, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD_RECORD,
+}
+
+
+def _cells(names: Sequence[str]) -> list[Column]:
+    """Cells of parsed records, missing markers as null; a record longer than its header stops the job."""
+    cells = F.size(F.split(F.regexp_replace(_BAD_RECORD, QUOTED_CELL, "$1"), C.SOURCE_SEPARATOR))
+    too_long = F.col(_BAD_RECORD).isNotNull() & (cells > len(names))
+    first = F.when(
+        too_long, F.raise_error(F.concat(F.lit("record longer than header: "), _BAD_RECORD)).cast("string")
+    ).otherwise(null_tokens(named(names[0])))
+    return [first.alias(names[0]), *[null_tokens(named(n)).alias(n) for n in names[1:]]]
+
+
 def read_landing_csv(
     spark: SparkSession,
     paths: Sequence[str],
@@ -200,24 +226,12 @@ def read_landing_csv(
     identifier that grows along each block.
     """
     names = _unique_names(header)
-    schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in (*names, _BAD_RECORD)]
-    )
     rows = (
-        spark.read.schema(schema)
-        .options(
-            header=True, sep=C.SOURCE_SEPARATOR, encoding=C.SOURCE_ENCODING, quote='"',
-            escape='"', multiLine=not splittable, mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_BAD_RECORD, enforceSchema=True,
-        )
+        spark.read.schema(_record_schema(names))
+        .options(header=True, encoding=C.SOURCE_ENCODING, multiLine=not splittable, enforceSchema=True, **_PARSER)
         .csv(list(paths))
     )
-    cells = F.size(F.split(F.regexp_replace(_BAD_RECORD, _WHOLE_QUOTED_CELL, "$1"), C.SOURCE_SEPARATOR))
-    too_long = F.col(_BAD_RECORD).isNotNull() & (cells > len(names))
-    first = F.when(
-        too_long, F.raise_error(F.concat(F.lit("record longer than header: "), _BAD_RECORD)).cast("string")
-    ).otherwise(null_tokens(named(names[0])))
-    columns = [first.alias(names[0]), *[null_tokens(named(n)).alias(n) for n in names[1:]]]
+    columns = _cells(names)
     if provenance:
         columns += [
             source_path().alias(FILE),
@@ -227,6 +241,22 @@ def read_landing_csv(
     return rows.select(*columns)
 
 
+def read_spanning_csv(spark: SparkSession, paths: Sequence[str], header: Sequence[str], provenance: bool = False) -> DataFrame:
+    """The same for files whose records span lines, in splits; they have to be properly quoted."""
+    names = _unique_names(header)
+    parsed = F.from_csv("texto", _record_schema(names).toDDL(), {**_PARSER, "multiLine": "true"})
+    rows = records(spark, paths, source_path()).select("path", "bloco", "id", parsed.alias("r")).select("path", "bloco", "id", "r.*")
+    where = [F.col("path").alias(FILE), F.col("bloco").alias(BLOCK), F.col("id").alias(LINE_ID)] if provenance else []
+    return rows.select(*_cells(names), *where)
+
+
+_READERS = {
+    BY_LINE: lambda spark, paths, header: read_landing_csv(spark, paths, header, splittable=True, provenance=True),
+    BY_RECORD: lambda spark, paths, header: read_spanning_csv(spark, paths, header, provenance=True),
+    WHOLE_FILE: lambda spark, paths, header: read_landing_csv(spark, paths, header, splittable=False, provenance=True),
+}
+
+
 def with_size(files: DataFrame) -> DataFrame:
     """Complete the digest of the lines by the file's size, so that other line ends show too."""
     return files.withColumn("impressao", F.sha2(F.concat_ws(":", "bytes", F.coalesce("impressao", F.lit(""))), 256))
@@ -276,7 +306,7 @@ def build_manifest(outcomes: DataFrame) -> DataFrame:
         F.lit(C.SOURCE_ENCODING).alias("encoding_original"),
         F.lit(C.SOURCE_SEPARATOR).alias("separador_original"),
         F.current_timestamp().alias("data_ingestao_utc"),
-        "status",
+        "status", "bytes", "modificado",
     )
 
 
@@ -298,6 +328,34 @@ def changed_files(fingerprints: DataFrame, manifest: DataFrame) -> DataFrame:
     return now.join(before, "arquivo_origem").filter("impressao <> impressao_anterior")
 
 
+def unseen_files(spark: SparkSession, files: DataFrame, bronze_root: str) -> DataFrame:
+    """Recognised files that are new, or have other content than at their last ingestion.
+
+    A file whose name, size and time of change stand in the manifest is not read. Where only the name is known, the
+    contents are compared by fingerprint; a file that turns out the same is noted with its new time, so that it is
+    read this once.
+    """
+    manifest = read_manifest(spark, bronze_root)
+    known = manifest.select(
+        F.col("arquivo_origem").alias("nome"), *[F.col(c).alias(f"_antes_{c}") for c in ("bytes", "modificado", "impressao")]
+    )
+    untouched = (F.col("bytes") == F.col("_antes_bytes")) & (F.col("modificado") == F.col("_antes_modificado"))
+    suspects = files.join(known, "nome", "left").filter(~F.coalesce(untouched, F.lit(False)))
+    suspects = spark.createDataFrame(suspects.collect(), suspects.schema)
+    renewed = suspects.filter("_antes_impressao is not null")
+    now = fingerprint_paths(spark, renewed).withColumnRenamed("impressao", "_agora")
+    compared = suspects.join(now, "path", "left").withColumn("_igual", F.coalesce(F.col("_agora") == F.col("_antes_impressao"), F.lit(False)))
+    compared = spark.createDataFrame(compared.collect(), compared.schema)
+    same = compared.filter("_igual").select(F.col("nome").alias("arquivo_origem"), F.col("bytes").alias("_b"), F.col("modificado").alias("_m"))
+    if not same.isEmpty():
+        noted = manifest.join(same, "arquivo_origem").withColumns(
+            {"bytes": F.col("_b"), "modificado": F.col("_m"), "data_ingestao_utc": F.current_timestamp()}
+        )
+        rows = noted.select(*manifest.columns).collect()
+        spark.createDataFrame(rows, manifest.schema).write.mode("append").parquet(f"{bronze_root}/{MANIFEST}")
+    return compared.filter("not _igual").select(*files.columns)
+
+
 def _folder_of(spark: SparkSession, name: str) -> str:
     """Folder of a file's rows, spelled as Spark spells partition values."""
     spell = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
@@ -322,11 +380,8 @@ def promote(outcomes: DataFrame, bronze_root: str) -> None:
         groups: dict[tuple, list[str]] = {}
         for f in mine:
             if f.status == C.OK:
-                groups.setdefault((tuple(f.colunas), f.divisivel), []).append(f.path)
-        parts = [
-            read_landing_csv(spark, paths, header, splittable, provenance=True)
-            for (header, splittable), paths in groups.items()
-        ]
+                groups.setdefault((tuple(f.colunas), f.leitura), []).append(f.path)
+        parts = [_READERS[way](spark, paths, header) for (header, way), paths in groups.items()]
         if not parts:
             continue
         rows = union_periods(parts)
@@ -353,7 +408,7 @@ def ingest_files(spark: SparkSession, files: DataFrame, bronze_root: str) -> Dat
     if not taken:
         empty = spark.createDataFrame([], files.schema).withColumns(
             {"colunas": F.array().cast("array<string>"), "linhas": F.lit(0).cast("long"),
-             "divisivel": F.lit(True), "impressao": F.lit("")}
+             "divisivel": F.lit(True), "leitura": F.lit(BY_LINE), "impressao": F.lit("")}
         )
         return ingest_outcome(empty)
     profile = profile_files(spark, sorted(r.path for r in taken))

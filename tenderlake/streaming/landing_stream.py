@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenderlake.contracts import DATASETS, DatasetSpec
-from tenderlake.sources.landing import ingest_files, recognise
+from tenderlake.sources.landing import discover_landing, ingest_files, read_manifest, recognise, unseen_files
 
 # The fixed columns of Spark's binaryFile source.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -28,10 +28,13 @@ def land_continuously(
     """Ingest files as they land; by default those present now, then stop.
 
     Only file names stream; contents are read by the batch scan. A batch that runs twice
-    replaces the same files, so the bronze tables stay the same, and files of one period may come
-    in different batches. A file rewritten under
-    its old name is not seen again: corrections come by a backfill, and the fingerprint
-    comparison lists them.
+    finds its files in the manifest and leaves them, so the bronze tables stay the same, and files of one period may come
+    in different batches.
+
+    The file source names a path once. Files rewritten under a known name are therefore looked for in the listing, when
+    the stream starts (outcomes then come as batch -1) and with every batch: size, time of change and then content are compared
+    with the manifest, and a file with other content replaces its rows. A file rewritten while nothing new
+    lands is found by the next batch or start.
     """
     found = (
         spark.readStream.format("binaryFile")
@@ -39,17 +42,31 @@ def land_continuously(
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(folder)
-        .select("path", F.col("length").alias("bytes"))
+        .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"))
     )
 
+    def rewritten(session: SparkSession) -> DataFrame:
+        """Accepted files of the folder that the manifest knows by name, but not with this content."""
+        names = read_manifest(session, bronze_root).select(F.col("arquivo_origem").alias("nome"))
+        listed = discover_landing(session, folder, specs).filter("aceito").join(names, "nome", "left_semi")
+        return unseen_files(session, listed, bronze_root)
+
     def ingest(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         files = session.createDataFrame(batch.collect(), batch.schema)
-        known = recognise(files, specs)
-        outcomes = ingest_files(session, known, bronze_root)
+        landed = unseen_files(session, recognise(files, specs), bronze_root)
+        again = rewritten(session)
+        both = landed.unionByName(again.select(*landed.columns).join(landed.select("nome"), "nome", "left_anti").select(*landed.columns))
+        outcomes = ingest_files(session, session.createDataFrame(both.collect(), landed.schema), bronze_root)
         if on_outcomes:
             on_outcomes(outcomes, batch_id)
 
+    found_again = rewritten(spark)
+    if not found_again.isEmpty():
+        outcomes = ingest_files(spark, found_again, bronze_root)
+        if on_outcomes:
+            on_outcomes(outcomes, -1)
+
     return (
         found.writeStream.foreachBatch(ingest)
         .option("checkpointLocation", checkpoint)

@@ -1,6 +1,7 @@
 """Landing files to bronze tables."""
 
 import csv
+import io
 from pathlib import Path
 from random import Random
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tenderlake import contracts as C
 from tenderlake.sources import landing as L
 from tenderlake.sources.bronze import load_bronze
+from tenderlake.sources.records import count_records
 from tenderlake.streaming.landing_stream import land_continuously
 
 TENDER = C.DATASETS[0].required
@@ -251,6 +253,76 @@ def test_random_files_read_like_a_reference_parser(spark, tmp_path, write_csv):
         assert [[r[c] for c in TENDER] for r in got if r[C.MONTH_PART] == month] == expected
 
 
+def spanning_file(random, header, rows, end, quoting):
+    """Random cells with quotes, separators and line ends, the latter as the file's own."""
+    pieces = ["a", "ç", '"', ";", end, " ", "1,5", "", "lon" * 30]
+    cells = [[str(i), *["".join(random.choices(pieces, k=random.randint(0, 4))) for _ in header[1:]]] for i in range(rows)]
+    out = io.StringIO(newline="")
+    writer = csv.writer(out, delimiter=";", lineterminator=end, quoting=quoting)
+    writer.writerow(header)
+    for row in cells:
+        writer.writerow(row)
+        if random.random() < 0.1:
+            out.write(end)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("split", [300])
+def test_records_in_splits_equal_the_parser_on_whole_files(spark, tmp_path, split):
+    random = Random(split)
+    header, two_lines = ["n", "b", "c"], ["n", "b\nb", "c"]
+    texts = {
+        "a": spanning_file(random, header, 30, "\n", csv.QUOTE_MINIMAL), "b": spanning_file(random, header, 30, "\n", csv.QUOTE_ALL),
+        "c": spanning_file(random, header, 20, "\r\n", csv.QUOTE_MINIMAL), "d": spanning_file(random, two_lines, 15, "\n", csv.QUOTE_MINIMAL),
+        "e": 'n;b;c\n1;"' + "x;\n" * 300 + '";2\n3;4;5',  # one record over many splits, no last line end
+        "f": '\n\nn;b;c\n\n"1";"a\n\nb";""\n\n',
+    }
+    for name, content in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(content.encode("latin-1"))
+    paths = [str(tmp_path / f"{name}.csv") for name in texts]
+    whole = L.read_landing_csv(spark, paths, header, splittable=False, provenance=True)
+    want = {}
+    for r in whole.orderBy(L.FILE, L.LINE_ID).collect():
+        want.setdefault(r[L.FILE], []).append((r.n, r.b, r.c))
+    previous = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        counted = {r.path: (r.correto, r.registros - 1) for r in count_records(spark, paths, L.source_path()).collect()}
+        found = L.read_spanning_csv(spark, paths, header, provenance=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", previous)
+    got, places = {}, {}
+    for r in sorted(found, key=lambda r: (r[L.FILE], r[L.BLOCK], r[L.LINE_ID])):
+        got.setdefault(r[L.FILE], []).append((r.n, r.b, r.c))
+        places.setdefault((r[L.FILE], r[L.BLOCK]), []).append(r[L.LINE_ID])
+    assert got == want
+    assert counted == {p: (True, len(rows)) for p, rows in want.items()}
+    assert all(ids == list(range(ids[0], ids[0] + len(ids))) for ids in places.values())
+    assert len(places) > 2 * len(paths)  # several tasks had a part of a file
+
+
+def test_files_that_do_not_quote_properly_are_told(spark, tmp_path):
+    proper = {"a": 'n;b\n1;"x\ny"\n', "b": "n;b\n1;2\n", "c": 'n;b\r\n1;"x\r\ny"\r\n', "d": 'n;b\n"1""";""""\n'}
+    improper = {"e": 'n;b\n1;5" cano\n2;"x\ny"\n', "f": 'n;b\n1;"x\ny"z\n', "g": 'n;b\n1;"x\ny\n', "h": 'n;b\r\n1;"x\ny\nz"\r\n2;3\r\n', "i": 'n;b\n1;"x\ry"\n',
+                "j": 'n;b\n1;a"b\n2;c"d\n'}
+    for name, content in (proper | improper).items():
+        (tmp_path / f"{name}.csv").write_bytes(content.encode())
+    paths = [str(tmp_path / f"{name}.csv") for name in proper | improper]
+    found = {Path(r.path).stem: r.correto for r in count_records(spark, paths, L.source_path()).collect()}
+    assert found == dict.fromkeys(proper, True) | dict.fromkeys(improper, False)
+    with pytest.raises(ValueError, match="not properly quoted"):
+        L.read_spanning_csv(spark, paths, ["n", "b"])
+
+
+def test_improper_files_are_still_read(spark, tmp_path, write_csv):
+    text = ";".join(TENDER) + '\n1;5" cano;c;DF;1,0\n2;"duas\nlinhas";c;SP;2,0\n'
+    (Path(write_csv.folder) / "202401_Licitação.csv").write_text(text, encoding="latin-1")
+    outcome = L.ingest_folder(spark, write_csv.folder, str(tmp_path / "bronze")).first()
+    assert (outcome.linhas, outcome.leitura) == (2, L.WHOLE_FILE)
+    got = load_bronze(spark, str(tmp_path / "bronze"), C.TENDERS).orderBy(C.ROW_ORD).collect()
+    assert [r["Código UG"] for r in got] == ['5" cano', "duas\nlinhas"]
+
+
 def test_record_longer_than_header_stops(spark, tmp_path, write_csv):
     folder = write_csv("202401_Licitação.csv", TENDER, (*ROW, "a mais"))
     with pytest.raises(PySparkException, match="record longer than header"):
@@ -315,3 +387,32 @@ def test_stream_ingests_new_files_once(spark, tmp_path, write_csv):
     L.ingest_folder(spark, folder, batch)
     streamed, whole = (load_bronze(spark, r, C.TENDERS) for r in (bronze, batch))
     assert streamed.exceptAll(whole).isEmpty() and whole.exceptAll(streamed).isEmpty()
+
+
+def test_stream_replaces_rewritten_files_and_leaves_the_others(spark, tmp_path, write_csv):
+    folder = write_csv("202401_Licitação.csv", TENDER, ROW)
+    write_csv("202402_Licitação.csv", TENDER, ROW, ROW)
+    bronze, checkpoint, seen, read = str(tmp_path / "bronze"), str(tmp_path / "check"), [], []
+
+    def run():
+        seen.clear()
+        land_continuously(spark, folder, bronze, checkpoint, lambda out, n: seen.extend((n, r.nome) for r in out.collect())).awaitTermination()
+
+    run()
+    write_csv("202401_Licitação.csv", TENDER, ROW, ROW, ROW)
+    same = Path(folder) / "202402_Licitação.csv"
+    same.write_bytes(same.read_bytes())
+    run()
+    assert seen == [(-1, "202401_Licitação.csv")]
+    assert load_bronze(spark, bronze, C.TENDERS).count() == 5
+    # what was only touched has been noted, and is not compared again
+    files = L.discover_landing(spark, folder)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(L, "scan_lines", lambda *a: read.append(a))
+        assert L.unseen_files(spark, files, bronze).isEmpty() and not read
+    # a rewritten file and a new one in the same batch
+    write_csv("202402_Licitação.csv", TENDER, ROW)
+    write_csv("202403_Licitação.csv", TENDER, ROW)
+    run()
+    assert sorted(name for _, name in seen) == ["202402_Licitação.csv", "202403_Licitação.csv"]
+    assert load_bronze(spark, bronze, C.TENDERS).count() == 5

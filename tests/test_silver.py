@@ -7,6 +7,7 @@ import pytest
 
 from tenderlake import contracts as C
 from tenderlake.plans import silver as S
+from tenderlake.plans.versions import replaced_set
 
 PARTS = {C.YEAR_PART: "2024", C.MONTH_PART: "01"}
 
@@ -155,13 +156,14 @@ def test_extra_columns_pass_through(spark):
 
 def test_silver_round_trip_and_missing_table(spark, tmp_path):
     root = str(tmp_path)
-    for name, mark, base in (
-        (C.TENDERS, S.mark_tenders, TENDER), (C.ITEMS, S.mark_items, ITEM), (C.BIDS, S.mark_bids, BID)
-    ):
-        S.write_silver(mark(frame(spark, base, {}, {})), root, name)
+    with replaced_set(spark, root) as folder:
+        for name, mark, base in (
+            (C.TENDERS, S.mark_tenders, TENDER), (C.ITEMS, S.mark_items, ITEM), (C.BIDS, S.mark_bids, BID)
+        ):
+            S.write_silver(mark(frame(spark, base, {}, {})), folder, name)
     clean = S.read_silver(spark, root)
     assert {n: df.count() for n, df in clean.items()} == {C.TENDERS: 1, C.ITEMS: 1, C.BIDS: 1}
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(FileNotFoundError):
         S.read_silver(spark, str(tmp_path / "nada"))
 
 

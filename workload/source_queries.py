@@ -7,6 +7,7 @@ from tenderlake import contracts as C
 from tenderlake.functions.columns import parse_brl
 from tenderlake.operators.joins import orphan_count
 from tenderlake.plans import occurrences
+from tenderlake.plans.versions import replaced_set
 from tenderlake.session import new_folder, staged
 from tenderlake.sources import landing as L
 from tenderlake.sources import pages as P
@@ -125,6 +126,31 @@ def s2(spark, sf):
     )
 
 
+@query(
+    "s2_records_over_lines",
+    """
+SELECT o_orderkey, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority || chr(10) || 'nº "' || o_orderkey || '";' || chr(10) || chr(10) || 'fim' END
+  AS texto, o_totalprice FROM orders""",
+)
+def s2_spanning(spark, sf):
+    """Cells with line ends, quotes and separators, read in splits of 64 KiB by the parallel reader."""
+    folder, key = new_folder(spark, "texto"), text("o_orderkey")
+    words = F.concat(F.col("o_orderpriority"), F.lit('\nnº "'), key, F.lit('";\n\nfim'))
+    table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 6 == 0, "N/A").otherwise(words).alias("texto"), "o_totalprice"
+    ).coalesce(2).write.options(header=True, sep=C.SOURCE_SEPARATOR, encoding=C.SOURCE_ENCODING, escape='"').csv(folder)
+    paths = [r.path for r in L.listing(spark, folder).collect()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        if not L.profile_files(spark, paths).filter(F.col("leitura") != L.BY_RECORD).isEmpty():
+            raise AssertionError("the files should be read in splits")
+        back = L.read_spanning_csv(spark, paths, ["o_orderkey", "texto", "o_totalprice"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return back.select(F.col("o_orderkey").cast("long"), "texto", F.col("o_totalprice").cast("double"))
+
+
 @query(
     "s3_load_bronze",
     """
@@ -294,6 +320,47 @@ def i12(spark, sf):
     return _typed(load_bronze(spark, root, "pedidos"))
 
 
+def _land(spark: SparkSession, rows: DataFrame, folder: str) -> None:
+    """Finished orders as one file a month, replacing those of the same name."""
+    written = new_folder(spark, "escrita")
+    rows.drop("estado").repartition("periodo").write.partitionBy("periodo").options(
+        header=True, sep=C.SOURCE_SEPARATOR, encoding=C.SOURCE_ENCODING, escape='"'
+    ).csv(written)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(folder))
+    for status in files.globStatus(hadoop.Path(f"{written}/*/*.csv")):
+        target = hadoop.Path(f"{folder}/{status.getPath().getParent().getName().split('=')[1]}_Pedidos.csv")
+        files.delete(target, False)
+        files.rename(status.getPath(), target)
+
+
+@query(
+    "i12_rewritten_files",
+    f"SELECT * REPLACE (CASE WHEN CAST(mes AS INTEGER) % 6 = 0 THEN 'novo' ELSE texto END AS texto) FROM ({_PROMOTED})",
+)
+def i12_rewritten(spark, sf):
+    """Files of two months a year are written again with another text; the others are not read again."""
+    folder, root, checkpoint = (new_folder(spark, n) for n in ("entrada", "bronze", "fluxo"))
+    specs = [C.DatasetSpec("Pedidos", "pedidos", ("Chave", "Total"))]
+    rows = _rows(spark, sf).filter("estado = 'F'")
+    again = rows.filter("cast(right(periodo, 2) AS int) % 6 = 0")
+    ingested = []
+    for landed in (rows, again.withColumn("Texto", F.lit("novo")), None):
+        if landed is not None:
+            _land(spark, landed, folder)
+        ingested.append(0)
+
+        def note(outcomes, batch):
+            ingested[-1] += outcomes.count()
+
+        land_continuously(spark, folder, root, checkpoint, note, specs=specs).awaitTermination()
+    months = again.select("periodo").distinct().count()
+    if ingested[1:] != [months, 0]:
+        raise AssertionError(f"files ingested: {ingested}, rewritten: {months}")
+    return _typed(load_bronze(spark, root, "pedidos"))
+
+
 # Page dumps
 
 _PAGE = 500
@@ -451,5 +518,6 @@ def j1_reported(spark, sf):
     orphans = orphan_count(tables[C.ITEMS], known, list(C.TENDER_DATE_KEY), null_safe=True)
     root = new_folder(spark, "silver")
     found = [occurrences.invalid_states(kept), occurrences.units_with_several_names(kept), occurrences.items_without_tender(orphans)]
-    occurrences.write_occurrences(found, root)
+    with replaced_set(spark, root) as folder:
+        occurrences.write_occurrences(found, folder)
     return occurrences.read_occurrences(spark, root)
