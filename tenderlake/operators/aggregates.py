@@ -88,6 +88,7 @@ def flag_outliers(
     min_count: int = 5,
     rows_per_task: int = ROWS_PER_TASK,
     groups: int | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose value lies more than ``sigmas`` deviations above their group's mean.
 
@@ -95,10 +96,12 @@ def flag_outliers(
     threshold never reach the join. A group too large for one task is dealt to several,
     using the count the statistics already hold; every use of the statistics asks for the
     same columns, so Spark computes them once. Where ``groups``, an upper bound on the number
-    of groups, allows it, the statistics are broadcast and the rows are not shuffled at all.
+    of groups, allows it, the statistics are broadcast and the rows are not shuffled at all. ``stats``
+    replaces the statistics, where they are known from elsewhere.
     """
     known = df.filter(named(value).isNotNull() & named(group).isNotNull())
-    stats = group_stats(known, [group], value, min_count)
+    if stats is None:
+        stats = group_stats(known, [group], value, min_count)
     size = F.col("quantidade_ocorrencias")
     reachable = above_threshold(F.col("maior"), F.col("media"), F.col("desvio_padrao"), sigmas)
     parts = F.when(reachable, parts_for(size, rows_per_task)).otherwise(0)

@@ -182,10 +182,11 @@ def _with_names(star: Star, rows: DataFrame, dims: dict[str, DataFrame]) -> Data
     return rows
 
 
-def anomaly_view(star: Star, sigmas: float = 2, min_count: int = 5) -> DataFrame:
-    """All anomalies with supplier and product, most extreme first."""
+def anomaly_view(star: Star, sigmas: float = 2, min_count: int = 5, outliers: DataFrame | None = None) -> DataFrame:
+    """All anomalies with supplier and product, most extreme first; ``outliers`` are those kept up to date, if any."""
     dims = {"sk_fornecedor": star.dim_fornecedor, "sk_produto": star.dim_produto}
-    rows = _with_names(star, price_outliers(star, sigmas, min_count), dims).select(*_ANOMALY)
+    found = price_outliers(star, sigmas, min_count) if outliers is None else outliers
+    rows = _with_names(star, found, dims).select(*_ANOMALY)
     return rank_all(
         rows, "desvios_acima_da_media", ["descricao_item", "nome_fornecedor", "valor_unitario_item"]
     )

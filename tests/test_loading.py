@@ -484,22 +484,6 @@ def three_months(write_csv):
     return write_csv
 
 
-def test_a_month_corrected_after_a_full_refresh(spark, tmp_path, three_months, rows):
-    root, whole = str(tmp_path / "lake"), str(tmp_path / "whole")
-    refresh(spark, three_months.folder, root)
-    keys = {r.numero_licitacao: r.sk_licitacao for r in P.read_version(spark, f"{root}/warehouse").dim_licitacao.collect()}
-    three_months("202401_Licitação.csv", TENDER_HEADER, tender("1", "16/01/2024"), tender("2", "15/01/2024"), tender("9", "17/01/2024"))
-    three_months("202401_ItemLicitação.csv", ITEM_HEADER, item("9", "7"), item("2", "7"))
-    ingest_folder(spark, three_months.folder, f"{root}/bronze")
-    refresh_period(spark, root, "2024", "01")
-    refresh(spark, three_months.folder, whole)
-    assert won_and_offered(spark, f"{root}/warehouse", rows) == won_and_offered(spark, f"{whole}/warehouse", rows)
-    grown = {r.numero_licitacao: r.sk_licitacao for r in P.read_version(spark, f"{root}/warehouse").dim_licitacao.collect()}
-    assert keys.items() <= grown.items() and grown["9"] == max(grown.values()) == len(grown)
-    facts = P.read_version(spark, f"{root}/warehouse").fato_item_licitacao
-    assert facts.select("sk_fato_item").distinct().count() == facts.count() == 8
-
-
 def test_a_load_reads_what_the_postings_name_and_writes_what_changed(spark, tmp_path, three_months, rows, monkeypatch):
     monkeypatch.setattr(L, "MOST_CHANGED", 10)
     root = str(tmp_path / "lake")
@@ -543,24 +527,28 @@ def test_a_load_reads_what_the_postings_name_and_writes_what_changed(spark, tmp_
     assert [r.nome_ug for r in star.dim_orgao.collect()] == ["Unidade"]
 
 
-def test_only_changed_files_are_read_and_only_their_months_loaded(spark, tmp_path, three_months, rows, monkeypatch):
+def test_months_corrected_after_a_full_refresh(spark, tmp_path, three_months, rows, monkeypatch):
+    """Only changed files are read, only their months are loaded, and the star equals one built from scratch."""
     root, whole = str(tmp_path / "lake"), str(tmp_path / "whole")
     assert refresh_changes(spark, three_months.folder, root) == ["2024-01", "2024-02", "2024-03"]
-    assert refresh_changes(spark, three_months.folder, root) == []
-    three_months("202402_ItemLicitação.csv", ITEM_HEADER, item("3", "7", "1,00"), item("1", "8", "2,00"))
+    keys = {r.numero_licitacao: r.sk_licitacao for r in P.read_version(spark, f"{root}/warehouse").dim_licitacao.collect()}
+    three_months("202401_Licitação.csv", TENDER_HEADER, tender("1", "16/01/2024"), tender("2", "15/01/2024"), tender("9", "17/01/2024"))
+    three_months("202401_ItemLicitação.csv", ITEM_HEADER, item("9", "7"), item("2", "7"))
+    path = Path(three_months.folder) / "202403_Licitação.csv"
+    path.write_bytes(path.read_bytes())  # the same content again: compared, and nothing is loaded
     ingested, cleaned = [], []
     real_ingest, real_clean = R.ingest_files, R.bronze_to_silver
     monkeypatch.setattr(R, "ingest_files", lambda s, f, b: ingested.extend(r.nome for r in f.collect()) or real_ingest(s, f, b))
     monkeypatch.setattr(R, "bronze_to_silver", lambda s, b, f, p=None: cleaned.append(p) or real_clean(s, b, f, p))
-    assert refresh_changes(spark, three_months.folder, root) == ["2024-02"]
-    assert ingested == ["202402_ItemLicitação.csv"] and cleaned == [[("2024", "02")]]
+    assert refresh_changes(spark, three_months.folder, root) == ["2024-01"]
+    assert sorted(ingested) == ["202401_ItemLicitação.csv", "202401_Licitação.csv"] and cleaned == [[("2024", "01")]]
     refresh(spark, three_months.folder, whole)
     assert won_and_offered(spark, f"{root}/warehouse", rows) == won_and_offered(spark, f"{whole}/warehouse", rows)
-    # a file that is written again with the same content is compared, and nothing is loaded
-    path = Path(three_months.folder) / "202403_Licitação.csv"
-    path.write_bytes(path.read_bytes())
-    ingested.clear()
-    assert refresh_changes(spark, three_months.folder, root) == [] and ingested == []
+    grown = {r.numero_licitacao: r.sk_licitacao for r in P.read_version(spark, f"{root}/warehouse").dim_licitacao.collect()}
+    assert keys.items() <= grown.items() and grown["9"] == max(grown.values()) == len(grown)
+    facts = P.read_version(spark, f"{root}/warehouse").fato_item_licitacao
+    assert facts.select("sk_fato_item").distinct().count() == facts.count() == 8
+    assert refresh_changes(spark, three_months.folder, root) == []
 
 
 def test_dimension_changes_by_hand(spark, rows):

@@ -1,12 +1,20 @@
 """Questions over a hand-computed miniature star."""
 
+import dataclasses
 from datetime import date
 from decimal import Decimal
+from random import Random
 
 import pytest
 
+from tenderlake import contracts as C
+from tenderlake.operators.aggregates import distinct_by, group_stats
+from tenderlake.operators.states import merge_moments, merge_sketches, moment_states, presence_states, sketch_states
+from tenderlake.plans import anomalies as A
 from tenderlake.plans import marts as M
+from tenderlake.plans import versions as V
 from tenderlake.plans.gold import Star
+from tenderlake.plans.publish import conform, read_tables
 
 D = Decimal
 JAN, FEB = date(2024, 1, 5), date(2024, 2, 6)
@@ -166,3 +174,53 @@ def test_views(spark, star):
     M.publish_views(spark, star)
     assert spark.sql("SELECT count(*) FROM fato_item_licitacao").first()[0] == 24
     assert spark.sql("SELECT descricao_item FROM vw_anomalias_preco").first()[0] == "tubo"
+
+
+def test_moments_merge_to_the_statistics_of_all_rows(spark):
+    random = Random(3)
+    data = [(g, p, None if random.random() < 0.1 else D(random.randint(1, 99999)) / 100) for g in range(6) for p in range(g + 1) for _ in range(12)]
+    data += [(9, p, D("0.1")) for p in range(4) for _ in range(3)] + [(10, 0, D(1)), (11, 0, None)]
+    df = spark.createDataFrame(data, "g int, p int, v decimal(18,4)")
+    want = {r.g: r for r in group_stats(df, ["g"], "v").collect()}
+    merged = merge_moments(moment_states(df, ["g", "p"], "v"), ["g"])
+    got = {r.g: r for r in merged.collect()}
+    assert merged.schema["media"].dataType == group_stats(df, ["g"], "v").schema["media"].dataType
+    assert got.keys() == want.keys() == {*range(6), 9}
+    for g, w in want.items():
+        assert (got[g].media, got[g].quantidade_ocorrencias, got[g].maior) == (w.media, w.quantidade_ocorrencias, w.maior)
+        assert got[g].desvio_padrao == pytest.approx(w.desvio_padrao, rel=1e-12, abs=1e-12)
+    assert got[9].desvio_padrao == 0
+
+
+def test_distinct_states(spark):
+    df = spark.range(60000).selectExpr("id % 3 as g", "id % 7 as p", "if(id % 10 = 0, null, id % 20000) as v")
+    exact = distinct_by(presence_states(df, ["g", "p"], "v"), ["g"], "v", "n")
+    estimated = {r.g: r.n for r in merge_sketches(sketch_states(df, ["g", "p"], "v"), ["g"], "n").collect()}
+    found = {r.g: r.n for r in exact.collect()}
+    assert found == {r.g: r.n for r in distinct_by(df, ["g"], "v", "n").collect()}
+    assert all(abs(estimated[g] - n) <= 0.05 * n for g, n in found.items())
+
+
+def test_kept_anomalies_follow_the_star(spark, star, tmp_path, rows):
+    """After every step the kept rows equal those of the whole fact, and only changed periods are computed."""
+    warehouse, root = str(tmp_path / "w"), str(tmp_path / "a")
+    with pytest.raises(FileNotFoundError):
+        A.read_outliers(spark, root)
+    assert A.update_outliers(spark, warehouse, root) == [] and A.read_outliers(spark, root).isEmpty()
+    fact = conform(star.fato_item_licitacao, C.FATO_ITEM)
+    steps = [{"1": "sk_fato_item <= 6", "2": "sk_fato_item > 6"}, {"1": "sk_fato_item <= 6", "2": "sk_fato_item > 9"},
+             {"1": "sk_fato_item <= 6", "2": "sk_fato_item > 6 and sk_produto <> 2", "3": "false"}, {"2": "sk_fato_item > 6"}]
+    paths = {}
+    for turn, (step, changed) in enumerate(zip(steps, (["1", "2"], ["2"], ["2", "3"], ["2"]))):
+        for period, condition in step.items():
+            if (period, condition) not in paths:
+                paths[period, condition] = f"{warehouse}/{len(paths)}"
+                fact.filter(condition).write.parquet(paths[period, condition])
+        parts = [V.Part(C.FATO_ITEM.name, paths[k], k[0]) for k in step.items()]
+        V.publish_parts(spark, warehouse, str(turn), parts)
+        assert A.update_outliers(spark, warehouse, root) == (changed if turn else ["1", "2"])
+        assert A.update_outliers(spark, warehouse, root) == []
+        now = dataclasses.replace(star, fato_item_licitacao=read_tables(spark, parts, [C.FATO_ITEM])[C.FATO_ITEM.name])
+        columns = ("sk_fato_item", "preco_medio_produto", "quantidade_ocorrencias", "desvios_acima_da_media")
+        assert rows(A.read_outliers(spark, root), *columns) == rows(M.price_outliers(now), *columns)
+        assert rows(M.anomaly_view(now, outliers=A.read_outliers(spark, root))) == rows(M.anomaly_view(now))

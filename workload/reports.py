@@ -1,7 +1,15 @@
 """Business questions, the anomaly view and the report pages."""
 
+from pyspark.sql import functions as F
+
+from tenderlake import contracts as C
+from tenderlake.operators.aggregates import distinct_by
+from tenderlake.operators.states import merge_sketches, presence_states, sketch_states
 from tenderlake.plans import marts as M
-from workload.adapters import FATO, MEAN, STATS, star
+from tenderlake.plans.anomalies import read_outliers, update_outliers
+from tenderlake.plans.versions import Part, publish_parts
+from tenderlake.session import new_folder, staged
+from workload.adapters import FATO, MEAN, STATS, star, table
 from workload.registry import query
 
 _TOP_PRODUCTS = FATO + """
@@ -131,6 +139,43 @@ def v1(spark, sf):
     return M.anomaly_view(star(spark, sf))
 
 
+@query("v1_view_kept_by_period", STATS + _ANOMALY_ROWS)
+def v1_kept(spark, sf):
+    """Three periods; one of them loses half its rows, and gets them back. After each step only what changed is judged again."""
+    warehouse, root = new_folder(spark, "warehouse"), new_folder(spark, "anomalias")
+    fact, key = star(spark, sf).fato_item_licitacao, F.col("sk_fato_item")
+
+    def written(name, rows):
+        path = f"{warehouse}/{name}"
+        rows.write.parquet(path)
+        return path
+
+    paths = {str(k): written(str(k), fact.filter(key % 3 == k)) for k in range(3)}
+    half = written("metade", fact.filter((key % 3 == 1) & (F.col("sk_produto") % 2 == 0)))
+    for turn, change in enumerate(({}, {"1": half}, {})):
+        parts = [Part(C.FATO_ITEM.name, p, period) for period, p in (paths | change).items()]
+        publish_parts(spark, warehouse, str(turn), parts)
+        done = update_outliers(spark, warehouse, root)
+        if done != (["1"] if turn else ["0", "1", "2"]) or update_outliers(spark, warehouse, root):
+            raise AssertionError(f"computed anew: {done}")
+    return M.anomaly_view(star(spark, sf), outliers=read_outliers(spark, root))
+
+
+@query(
+    "a4_distinct_from_states",
+    """
+SELECT month(o_orderdate) AS mes, COUNT(DISTINCT o_custkey) AS exatos, true AS estimativa_perto FROM orders GROUP BY 1""",
+)
+def a4_states(spark, sf):
+    """Buyers per month of the year, from what was kept for each single month; estimates within five per cent."""
+    orders = table(spark, sf, "orders").withColumns({"mes": F.month("o_orderdate"), "ano": F.year("o_orderdate")})
+    present = staged(presence_states(orders, ["ano", "mes"], "o_custkey"))
+    exact = distinct_by(present, ["mes"], "o_custkey", "exatos")
+    estimated = merge_sketches(staged(sketch_states(orders, ["ano", "mes"], "o_custkey")), ["mes"], "estimados")
+    near = (F.abs(F.col("estimados") - F.col("exatos")) <= 0.05 * F.col("exatos")).alias("estimativa_perto")
+    return exact.join(estimated, "mes").select("mes", "exatos", near)
+
+
 @query("k7_published_view", STATS + _ANOMALY_ROWS)
 def k7(spark, sf):
     M.publish_views(spark, star(spark, sf))
