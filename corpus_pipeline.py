@@ -12,6 +12,22 @@ from tenderlake.session import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents that a Python worker holds at a time. Workers live on from stage to stage, and so does the memory they once took.
+BATCH_ROWS = 500
+#: Workers give memory back to the system when they are done with it.
+WORKER_ENVIRONMENT = {"MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "1048576", "ARROW_DEFAULT_MEMORY_POOL": "system"}
+
+
+def lean(stage: Stage) -> Stage:
+    """The stage with small batches and small workers; its result is computed later, so the settings stay."""
+
+    def run_lean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.sparkContext.environment.update(WORKER_ENVIRONMENT)
+        return stage(spark, docs, sf_dir)
+
+    return run_lean
+
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language (no text, no letter) go; all others stay unchanged.
@@ -42,11 +58,11 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("language_id", known_languages),
-    ("ngram_jaccard_join", first_of_near_copies),
-    ("benchmark_decontamination", without_benchmark),
-    ("source_mixing", mixed_sources),
-    ("sharding", sharded),
+    ("language_id", lean(known_languages)),
+    ("ngram_jaccard_join", lean(first_of_near_copies)),
+    ("benchmark_decontamination", lean(without_benchmark)),
+    ("source_mixing", lean(mixed_sources)),
+    ("sharding", lean(sharded)),
 ]
 
 #: SQL cannot score texts by a fitted context tree.
