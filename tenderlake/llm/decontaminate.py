@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.llm.arrays import ALPHANUMERIC, chunks, split_words, window_hashes
+from tenderlake.llm.graph import whole_row
 from tenderlake.session import staged
 
 WINDOW = 10
@@ -137,28 +138,50 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     0, their ends are excluded. Items are the names (as text) of the items with a window in the
     document, without repeats.
 
-    The windows are dealt to blocks by hash so that each broadcast holds about
-    ``block_windows`` of them, however large the benchmark is; the documents are scanned once per block.
+    Up to ``block_windows`` windows with their items are broadcast at once. Beyond that distinct windows are dealt to blocks
+    by hash, however many items share them; the documents, written once with a number, are scanned once
+    per block, and a scan returns hits only. Windows with the same items carry one number for them, which is joined to the items in the end.
 
     Null and empty texts have no words and no hits. An item without a name hits but is not named.
     Repeated documents and items are judged alike; empty tables give empty or clean results;
     further columns, whatever their names, pass through, except that ``contamination`` is replaced.
     """
-    spark = docs.sparkSession
     windows = staged(benchmark_windows(benchmark, item, benchmark_text, width))
-    blocks = max(1, -(-windows.count() // block_windows))
-    mine = F.pmod(F.col("hash"), F.lit(blocks))
-    out, names = docs.drop("contamination"), []
+    rows = docs.select(whole_row(docs.drop("contamination")))
+    source = F.col("row").getField(text)
+    if windows.count() <= block_windows:
+        found = _finder(docs.sparkSession, windows.toPandas())(source)
+        judged = rows.select("row", found.alias("found"))
+        spans, items = F.col("found.spans"), F.array_distinct("found.items")
+    else:
+        judged = _found_in_blocks(staged(rows.withColumn("number", F.monotonically_increasing_id())), source, windows, block_windows)
+        spans, items = F.col("found.spans"), F.coalesce("items", F.array().cast("array<string>"))
+    contamination = F.struct(F.col("found.n_words").alias("n_words"), _union_of_spans(spans).alias("spans"), items.alias("items"))
+    return judged.select("row.*", contamination.alias("contamination"))
+
+
+def _found_in_blocks(rows: DataFrame, text: Column, windows: DataFrame, block_windows: int) -> DataFrame:
+    """``row, found, items`` of numbered rows, with bounded broadcasts of distinct windows."""
+    spark = rows.sparkSession
+    name = F.xxhash64(F.lit("name"), "item")
+    alike = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("item")), F.bit_xor(name), F.sum(F.xxhash64("item").cast("decimal(38,0)")))
+    kinds = staged(windows.groupBy("hash", "n", "words").agg(alike.cast("string").alias("item")))
+    blocks = -(-kinds.count() // block_windows)
+    hits = []
     for b in range(blocks):
-        rows = windows.where(mine == b).select("item", "n", "words", "hash").toPandas()
-        names.append(f"__block_{b}")
-        out = out.withColumn(names[-1], _finder(spark, rows)(F.col(text)))
-        if blocks > 1:
-            out = staged(out)
-    spans = reduce(F.concat, [F.col(n).spans for n in names])
-    items = reduce(F.array_union, [F.col(n)["items"] for n in names])
-    found = F.struct(F.col(names[0]).n_words.alias("n_words"), _union_of_spans(spans).alias("spans"), F.array_distinct(items).alias("items"))
-    return out.withColumn("contamination", found).drop(*names)
+        block = kinds.where(F.pmod("hash", F.lit(blocks)) == b).toPandas()
+        scan = rows.select("number", _finder(spark, block)(text).alias("found")).select("number", "found.*")
+        hits.append(staged(scan if b == 0 else scan.where(F.size("spans") > 0)))
+    hits = reduce(DataFrame.unionByName, hits)
+    together = hits.groupBy("number").agg(
+        F.struct(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans")).alias("found")
+    )
+    one = F.min(F.struct("hash", "n", "words"))
+    example = kinds.groupBy("item").agg(one.alias("w")).select(F.col("item").alias("kind"), "w.*")
+    items_of = windows.where("item is not null").join(example, ["hash", "n", "words"]).select("kind", "item")
+    met = hits.select("number", F.explode("items").alias("kind")).distinct().join(items_of, "kind")
+    named_items = met.groupBy("number").agg(F.collect_set("item").alias("items"))
+    return rows.join(together, "number").join(named_items, "number", "left").select("row", "found", "items")
 
 
 def hit_words(found: Column) -> Column:

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
+from tenderlake.llm.graph import whole_row
 from tenderlake.session import staged
 
 WEIGHTS = (5, 2, 1)
@@ -120,17 +122,19 @@ class Mix:
     most: int
 
     def copies(self, docs: DataFrame) -> DataFrame:
-        """Add ``size, source_size, target, copies``; columns with these names are replaced."""
-        rows = docs.drop("source_size", "target", "copies").withColumn("size", words_of(self.text))
-        return _with_copies(rows, self.state, self.key, self.source, self.most).drop("__priority")
+        """Add ``size, source_size, target, copies``; columns with these names are replaced, all others pass."""
+        added = ("size", "source_size", "target", "copies")
+        return self._judged(docs, docs.drop(*added)).select("row.*", *added)
 
     def take(self, docs: DataFrame) -> DataFrame:
         """Every document as often as it has copies."""
-        row = F.struct(*docs.columns).alias("__row")
-        rows = docs.select(row, F.col(self.key).alias("__key"), F.col(self.source).alias("__source"), words_of(self.text).alias("size"))
-        kept = _with_copies(rows, self.state, "__key", "__source", self.most).where("copies > 0")
-        repeated = kept.select("__row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
-        return repeated.select("__row.*")
+        kept = self._judged(docs, docs).where("copies > 0")
+        return kept.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+
+    def _judged(self, docs: DataFrame, kept: DataFrame) -> DataFrame:
+        """Copies of each document beside ``row``, the columns that are kept."""
+        rows = docs.select(whole_row(kept), named(self.key).alias("key"), named(self.source).alias("source"), words_of(self.text).alias("size"))
+        return _with_copies(rows, self.state, "key", "source", self.most)
 
 
 def _with_copies(rows: DataFrame, state: DataFrame, key: str, source: str, most: int) -> DataFrame:

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
 from tenderlake.llm.arrays import Bloom
 from tenderlake.session import staged
 
@@ -73,6 +74,11 @@ def bloom_of(ids: DataFrame, column: str) -> Bloom:
     return bloom
 
 
+def whole_row(rows: DataFrame) -> Column:
+    """All columns as one struct named ``row``: helper columns beside it cannot meet a column of the input."""
+    return F.struct(*map(named, rows.columns)).alias("row")
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """Remainder of the CRC-32 of a column as text; -1 for null."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))

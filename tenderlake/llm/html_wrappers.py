@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
+from tenderlake.llm.graph import whole_row
 from tenderlake.llm.url_templates import host_and_path
 from tenderlake.session import staged
 
@@ -428,10 +430,12 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html") ->
 
     Pages of one host and like trees share a wrapper, whose content root holds the content; pages without a host
     (null URL) are as of one host. Null and empty pages, and pages without content, have an empty text. Repeated
-    rows get equal texts; an empty table stays empty; further columns pass through, except that ``text`` is replaced.
+    rows get equal texts; an empty table stays empty; further columns pass through whatever their names, except that
+    ``text`` is replaced.
     """
-    rows = pages.drop("text").withColumn("__url", F.col(url)).withColumn("__host", host_and_path(F.col("__url"))[0]).drop("__url")
-    wrappers = induce_wrappers(rows.select(F.col("__host").alias("host"), F.col(html).alias("html")))
+    rows = pages.select(whole_row(pages.drop("text")), host_and_path(named(url))[0].alias("host"))
+    source = F.col("row").getField(html)
+    wrappers = induce_wrappers(rows.select("host", source.alias("html")))
 
     @F.pandas_udf("string")
     def skeleton(sources: pd.Series) -> pd.Series:
@@ -445,6 +449,5 @@ def extract_main_text(pages: DataFrame, url: str = "url", html: str = "html") ->
         )
         return pd.Series(list(found), dtype=object)
 
-    wrappers = wrappers.select(*[F.col(c).alias(f"__{c}") for c in ("host", "tree", "wrapper", "template", "root")])
-    joined = rows.withColumn("__tree", F.xxhash64(skeleton(html))).join(wrappers, ["__host", "__tree"], "left")
-    return joined.withColumn("text", extract(html, "__wrapper", "__template", "__root")).drop("__host", "__tree", "__wrapper", "__template", "__root")
+    joined = rows.withColumn("tree", F.xxhash64(skeleton(source))).join(wrappers, ["host", "tree"], "left")
+    return joined.select("row.*", extract(source, "wrapper", "template", "root").alias("text"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tenderlake.llm.arrays import (
     BLANK_SEPARATED, chunks, pack, pack_sorted, split_words, unpack, unpack_sorted, window_hashes,
 )
-from tenderlake.llm.graph import bloom_of, components
+from tenderlake.llm.graph import bloom_of, components, whole_row
 from tenderlake.session import staged
 
 WIDTH = 5
@@ -381,7 +381,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     Columns pass whatever their names.
     """
     classes = jaccard_classes(docs, doc_id, text)
-    rows = docs.select(F.col(doc_id).alias("id"), F.struct(*docs.columns).alias("row"))
+    rows = docs.select(F.col(doc_id).alias("id"), whole_row(docs))
     lost = classes.where("id <> component").select("id")
     twice = staged(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 and id is not null").select("id"))
     once = rows.join(lost.unionByName(twice).distinct(), "id", "left_anti").select("row.*")

@@ -17,7 +17,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
 from tenderlake.llm.arrays import chunks
+from tenderlake.llm.graph import whole_row
 from tenderlake.llm.sampling import sample_per_label
 from tenderlake.session import staged
 
@@ -164,20 +166,18 @@ def predict_language(docs: DataFrame, model: Model | None, text: str = "text") -
             return pd.DataFrame({"lang_pred": [], "score": []})
         return pd.DataFrame({"lang_pred": names[np.concatenate(best)], "score": np.concatenate(score)})
 
-    readable = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
-    found = predict(F.when(readable, F.col(text)))
-    out = docs.withColumn("__found", F.struct(readable.alias("readable"), found.alias("best")))
-    best = F.col("__found.best")
-    return out.withColumns({
-        "lang_pred": F.when(F.col("__found.readable"), best["lang_pred"]).otherwise(UNKNOWN),
-        "score": F.when(F.col("__found.readable"), best["score"]).otherwise(0.0),
-    }).drop("__found")
+    readable = F.coalesce(named(text).rlike(r"\p{L}"), F.lit(False))
+    found = predict(F.when(readable, named(text)))
+    out = docs.select(whole_row(docs), readable.alias("readable"), found.alias("best"))
+    return out.select(
+        "row.*", F.when(F.col("readable"), F.col("best.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("readable"), F.col("best.score")).otherwise(0.0).alias("score"),
+    )
 
 
 def keep_known(docs: DataFrame, held_out: str = "false", doc_id: str = "doc_id", text: str = "text",
                lang: str = "lang") -> DataFrame:
     """The documents whose language is recognised, unchanged; fitted on the rows not held out."""
     model = fit(docs.where(f"not ({held_out})"), text, lang, doc_id)
-    kept = docs.withColumn("__row", F.struct(*docs.columns))
-    found = predict_language(kept.select("__row", F.col(text).alias("__text")), model, "__text")
-    return found.where(F.col("lang_pred") != UNKNOWN).select("__row.*")
+    found = predict_language(docs.select(whole_row(docs), named(text).alias("text")), model)
+    return found.where(F.col("lang_pred") != UNKNOWN).select("row.*")

@@ -4,8 +4,8 @@ Bytes of the old shards are supplies, capacities of the new ones demands, and st
 nothing: a minimum-cost flow between shards, a graph whose size is the number of shards, says how many bytes go where.
 The rows of an old shard are ordered by a hash and cut into blocks along the flow, so a row's new
 shard follows from its hash and a few cuts, and is found without moving it. Only documents that are
-large compared with a shard are placed one by one; their number is bounded by that
-comparison. Then the files of shards that lose or gain rows are written anew.
+large compared with a shard are fitted into the transfers of the flow one by one; their number is bounded by that
+comparison, and the flow is solved again for what the others leave. Then the files of shards that lose or gain rows are written anew.
 """
 
 from __future__ import annotations
@@ -17,12 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
+from tenderlake.llm.graph import whole_row
 from tenderlake.session import new_folder, staged
 
 SHARDS = 24
 OLD_SHARDS = 16
-#: A document is placed alone when it has more than this part of a shard; there are at most
-#: ``LARGE_PARTS`` times as many such documents as shards.
+#: A document is fitted alone into the flow when it has more than this part of a shard, as a cut would tear the
+#: transfer by more; there are at most ``LARGE_PARTS`` times as many such documents as shards.
 LARGE_PARTS = 256
 BLOCK_ROWS = 4096
 LAW = "bytes"
@@ -84,7 +86,7 @@ def even_capacities(total: int, shards: int) -> list[int]:
 
 def document_bytes(text: str) -> Column:
     """UTF-8 bytes of a text (none for null) and 8 for the id."""
-    return (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 8).cast("long")
+    return (F.coalesce(F.octet_length(named(text)), F.lit(0)) + 8).cast("long")
 
 
 def _level(fixed: list[int], total: int) -> list[int]:
@@ -101,14 +103,41 @@ def _level(fixed: list[int], total: int) -> list[int]:
     return rooms
 
 
+def fit_into_transfers(documents: list[tuple[int, int]], transfers: list[list[int]], wanted: list[int]) -> list[int]:
+    """New shard of each large document, given as ``(old shard, bytes)``, largest first.
+
+    A document takes the place its shard's transfers have for it: staying if that has room, else the transfer it
+    fills best. One that no transfer holds stays while its shard has room, and else goes where most room is.
+    """
+    room = [list(out) for out in transfers]
+    filled, found = [0] * len(wanted), []
+    for i, size in documents:
+        fitting = [(j != i, room[i][j], j) for j in range(len(wanted)) if room[i][j] >= size and filled[j] + size <= wanted[j]]
+        if fitting:
+            j = min(fitting)[2]
+        elif i < len(wanted) and filled[i] + size <= wanted[i]:
+            j = i
+        else:
+            j = max(range(len(wanted)), key=lambda x: (wanted[x] - filled[x], -x))
+        room[i][j] = max(0, room[i][j] - size)
+        filled[j] += size
+        found.append(j)
+    return found
+
+
 @dataclass
 class Plan:
-    """``cuts``: old shard, hash from, hash below, new shard. ``large``: documents placed alone."""
+    """``cuts``: old shard, hash from, hash below, new shard. ``large``: documents placed alone.
+
+    ``least_bytes`` is the optimum of the flow, which no plan of whole documents with equal shards can go below;
+    ``moved_bytes`` is what this plan moves.
+    """
 
     cuts: DataFrame
     large: DataFrame
     affected: list[int]
     moved_bytes: int
+    least_bytes: int
     shards: int
     key: str
     text: str
@@ -117,20 +146,26 @@ class Plan:
 
     def assign(self, rows: DataFrame) -> DataFrame:
         """Add ``size`` and ``shard`` (int) to rows; each row is judged by itself."""
-        sized = rows.withColumns({"size": document_bytes(self.text), "__hash": _hash(self.key), "__old": F.expr(self.old)})
+        return self.place(rows, rows.drop("size", "shard")).select("row.*", "size", "shard")
+
+    def place(self, rows: DataFrame, kept: DataFrame) -> DataFrame:
+        """``row`` (the columns that are kept), ``key, hash, size`` and ``shard``."""
+        sized = rows.select(
+            whole_row(kept), named(self.key).alias("key"), _hash(self.key).alias("hash"),
+            document_bytes(self.text).alias("size"), F.expr(self.old).alias("old"),
+        )
         single = sized.join(
-            F.broadcast(self.large), (F.col("__hash") == F.col("__l_hash")) & (F.col("size") == F.col("__l_size")) & (F.col("__old") == F.col("__l_old")), "left",
+            F.broadcast(self.large), (F.col("hash") == F.col("l_hash")) & (F.col("size") == F.col("l_size")) & (F.col("old") == F.col("l_old")), "left",
         )
         cut = single.join(
             F.broadcast(self.cuts),
-            F.col("__l_shard").isNull() & (F.col("__old") == F.col("__c_old")) & (F.col("__hash") >= F.col("__c_from")) & (F.col("__hash") < F.col("__c_below")), "left",
+            F.col("l_shard").isNull() & (F.col("old") == F.col("c_old")) & (F.col("hash") >= F.col("c_from")) & (F.col("hash") < F.col("c_below")), "left",
         )
-        shard = F.coalesce("__l_shard", "__c_shard").cast("int")
-        return cut.withColumn("shard", shard).drop("__l_hash", "__l_size", "__l_old", "__l_shard", "__c_old", "__c_from", "__c_below", "__c_shard")
+        return cut.select("row", "key", "hash", "size", F.coalesce("l_shard", "c_shard").cast("int").alias("shard"))
 
 
 def _hash(key: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.lit("block"), F.col(key)), 2)
+    return F.shiftrightunsigned(F.xxhash64(F.lit("block"), named(key)), 2)
 
 
 _HASHES = 1 << 62
@@ -154,25 +189,22 @@ def plan_resharding(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id",
     units = staged(rows.groupBy("old", "hash", "size").agg(F.count("*").alias("n")).withColumn("bytes", F.col("n") * F.col("size")))
     count, total = units.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
     is_large = F.col("bytes") > total // (shards * LARGE_PARTS)
-    # placed one by one, largest first: at home while there is room, else where there is most room
-    wanted, filled, placed = even_capacities(total, shards), [0] * shards, []
-    alone = units.where(is_large).orderBy(F.col("bytes").desc(), "old", "hash", "size").toPandas()
-    for o, h, s, b in alone[["old", "hash", "size", "bytes"]].itertuples(index=False):
-        j = int(o)
-        if j >= shards or filled[j] + b > wanted[j]:
-            j = max(range(shards), key=lambda x: (wanted[x] - filled[x], -x))
-        filled[j] += int(b)
-        placed.append((int(h), int(s), int(o), j))
-    moved = sum(int(b) for (_, _, o, j), b in zip(placed, alone["bytes"]) if o != j)
+    wanted, cost = even_capacities(total, shards), [[int(i != j) for j in range(shards)] for i in range(old_shards)]
+    transfers = minimum_cost_flow(_bytes_by_old(units, old_shards), wanted, cost)
+    least = sum(b for i, out in enumerate(transfers) for j, b in enumerate(out) if j != i)
+    alone = units.where(is_large).orderBy(F.col("bytes").desc(), "old", "hash", "size").collect()
+    targets = fit_into_transfers([(r.old, r.bytes) for r in alone], transfers, wanted)
+    placed = [(r["hash"], r["size"], r.old, j) for r, j in zip(alone, targets)]
+    filled = [0] * shards
+    for r, j in zip(alone, targets):
+        filled[j] += r.bytes
+    moved = sum(r.bytes for r, j in zip(alone, targets) if r.old != j)
     small = units.where(~is_large)
     blocks = max(1, -(-count // (BLOCK_ROWS * max(old_shards, 1))))
     block = (F.col("hash") * F.lit(1.0) / F.lit(float(_HASHES)) * blocks).cast("long")
     small = small.withColumn("block", F.least(block, F.lit(blocks - 1)))
-    supply = [0] * old_shards
-    for r in small.groupBy("old").agg(F.sum("bytes").alias("bytes")).collect():
-        supply[r.old] = r.bytes
-    demand = _level(filled, sum(supply))
-    flow = minimum_cost_flow(supply, demand, [[int(i != j) for j in range(shards)] for i in range(old_shards)])
+    supply = _bytes_by_old(small, old_shards)
+    flow = minimum_cost_flow(supply, _level(filled, sum(supply)), cost)
     positions, order = [], {}
     for i, out in enumerate(flow):
         at = 0
@@ -192,12 +224,17 @@ def plan_resharding(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id",
     lost_or_gained = {o for _, _, o, j in placed if o != j} | {j for _, _, o, j in placed if o != j}
     lost_or_gained |= {x for i, out in enumerate(flow) for j, b in enumerate(out) if b and i != j for x in (i, j)}
     return Plan(
-        spark.createDataFrame(cuts, "__c_old int, __c_from long, __c_below long, __c_shard int"),
-        spark.createDataFrame(placed, "__l_hash long, __l_size long, __l_old int, __l_shard int"),
-        sorted(lost_or_gained), moved, shards, key, text, old, blocks,
+        spark.createDataFrame(cuts, "c_old int, c_from long, c_below long, c_shard int"),
+        spark.createDataFrame(placed, "l_hash long, l_size long, l_old int, l_shard int"),
+        sorted(lost_or_gained), moved, least, shards, key, text, old, blocks,
     )
 
 
+def _bytes_by_old(units: DataFrame, old_shards: int) -> list[int]:
+    found = dict(units.groupBy("old").agg(F.sum("bytes")).collect())
+    return [found.get(i, 0) for i in range(old_shards)]
+
+
 def _cut_hashes(small: DataFrame, positions: list[tuple[int, int, int]]) -> dict[tuple[int, int], int]:
     """For (old shard, new shard, byte position): the hash from which rows lie behind the position."""
     if not positions:
@@ -227,20 +264,20 @@ def rewrite(docs: DataFrame, plan: Plan, path: str) -> DataFrame:
     Slots count a shard's rows from 0 without gaps, in the order of hash blocks, so no task sorts
     a whole shard. Columns of the input that have one of these names are replaced.
     """
-    names = [c for c in docs.columns if c not in ("size", "shard", "slot")]
-    rows = plan.assign(docs.select(*names))
-    block = F.least((F.col("__hash") * F.lit(1.0) / F.lit(float(_HASHES)) * plan.blocks * 4).cast("long"), F.lit(plan.blocks * 4 - 1))
-    rows = rows.withColumn("__block", block)
-    counts = rows.groupBy("shard", "__block").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("shard").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    within = Window.partitionBy("shard", "__block").orderBy("__hash", plan.key, "size", F.xxhash64(plan.text))
-    numbered = rows.join(offsets, ["shard", "__block"]).withColumn("slot", (F.col("__before") + F.row_number().over(within) - 1).cast("long"))
-    numbered = numbered.select(*names, "size", "shard", "slot")
+    kept = docs.drop("size", "shard", "slot")
+    rows = plan.place(docs, kept)
+    block = F.least((F.col("hash") * F.lit(1.0) / F.lit(float(_HASHES)) * plan.blocks * 4).cast("long"), F.lit(plan.blocks * 4 - 1))
+    rows = rows.withColumn("block", block)
+    counts = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    within = Window.partitionBy("shard", "block").orderBy("hash", "key", "size", F.xxhash64(F.col("row").getField(plan.text)))
+    slot = (F.col("before") + F.row_number().over(within) - 1).cast("long")
+    numbered = rows.join(offsets, ["shard", "block"]).select("row.*", "size", "shard", slot.alias("slot"))
     moved = F.col("shard").isin(plan.affected)
     numbered.where(moved).write.partitionBy("shard").option("compression", "zstd").parquet(path)
     schema = numbered.schema
-    written = docs.sparkSession.read.schema(schema).parquet(path).select(*names, "size", "shard", "slot")
+    written = docs.sparkSession.read.schema(schema).parquet(path).select(*map(named, numbered.columns))
     stays = len(plan.affected) < plan.shards
     return written.unionByName(numbered.where(~moved)) if stays else written
 

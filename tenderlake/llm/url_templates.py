@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderlake.functions.columns import named
+from tenderlake.llm.graph import whole_row
 from tenderlake.session import staged
 
 BLOCK, ALLOW = "block", "allow"
@@ -36,7 +38,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """What stands behind ``://`` up to ``/ ? #``, A-Z lower-cased, and from there up to ``? #``."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring(__url, instr(__url, '://') + 3)"))
+    rest = F.when(F.instr(url, "://") > 0, url.substr(F.instr(url, "://") + 3, F.length(url)))
     host = F.translate(F.regexp_extract(rest, r"^[^/?#]*", 0), _UPPER, _LOWER)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
@@ -100,6 +102,29 @@ def alike_branches(counts: list[tuple[int, int]]) -> list[int]:
     return found
 
 
+def _branches(tree: DataFrame) -> DataFrame:
+    """Branches with labels enough to be compared: ``host, merged, blocked, allowed``."""
+    branch = tree.groupBy("host", "merged").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
+    return branch.where(F.col("blocked") + F.col("allowed") >= LEAST_LABELLED)
+
+
+def _family(depth: Column) -> Column:
+    """The branch without its segment at a depth: equal for siblings that differ there only."""
+    return F.transform("merged", lambda s, i: F.when(i == depth, F.lit("")).otherwise(s))
+
+
+def _deepest_siblings(tree: DataFrame, above: int | None) -> int | None:
+    """The greatest depth (above the given one) at which branches have siblings; null if there is none.
+
+    Only such depths cost a pass, so paths of any length do not.
+    """
+    places = _branches(tree).select("host", "merged", F.posexplode("merged").alias("depth", "segment"))
+    if above is not None:
+        places = places.where(F.col("depth") < above)
+    families = places.groupBy("host", "depth", F.xxhash64(_family(F.col("depth"))).alias("family")).agg(F.count("*").alias("n"))
+    return families.where("n > 1").agg(F.max("depth")).first()[0]
+
+
 def _merged_siblings(tree: DataFrame, depth: int) -> DataFrame:
     """Labelled branches under one parent that differ in the segment at ``depth`` only, and whose shares do not differ
     significantly, read alike in ``merged``, the template as far as it is merged so far; ``template`` stays.
@@ -111,11 +136,9 @@ def _merged_siblings(tree: DataFrame, depth: int) -> DataFrame:
     def groups(members: pd.Series) -> pd.Series:
         return pd.Series([alike_branches([(m["blocked"], m["allowed"]) for m in ms]) for ms in members], dtype=object)
 
-    family = F.transform("merged", lambda s, i: F.when(i == depth, F.lit("")).otherwise(s))
-    branch = tree.where(F.size("merged") > depth).groupBy("host", "merged").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
-    branch = branch.where(F.col("blocked") + F.col("allowed") >= LEAST_LABELLED)
+    branch = _branches(tree.where(F.size("merged") > depth))
     members = F.array_sort(F.collect_list(F.struct("merged", "blocked", "allowed")))
-    whole = branch.groupBy("host", family.alias("family")).agg(members.alias("members")).where(F.size("members") > 1)
+    whole = branch.groupBy("host", _family(F.lit(depth)).alias("family")).agg(members.alias("members")).where(F.size("members") > 1)
     grouped = whole.withColumn("groups", groups("members")).select("host", "members", "groups", F.posexplode("groups").alias("place", "group"))
     same = F.size(F.filter("groups", lambda g: g == F.col("group"))) > 1
     alike = grouped.where(same).select("host", F.element_at("members", F.col("place") + 1)["merged"].alias("merged"), F.concat(F.lit(MERGED), F.col("group")).alias("alike"))
@@ -144,9 +167,10 @@ def rejected_templates(judged: DataFrame) -> DataFrame:
             break
     sums = [F.sum(c).alias(c) for c in ("blocked", "allowed", "unnamed")]
     merged = staged(tree.groupBy("host", "template").agg(*sums).withColumn("merged", F.col("template")))
-    labelled = merged.where(F.col("blocked") + F.col("allowed") >= LEAST_LABELLED)
-    for depth in reversed(range(labelled.agg(F.max(F.size("template"))).first()[0] or 0)):
+    depth = _deepest_siblings(merged, None)
+    while depth is not None:
         merged = staged(_merged_siblings(merged, depth))
+        depth = _deepest_siblings(merged, depth)
     merged = merged.join(merged.groupBy("host", "merged").agg(*[F.sum(c).alias(f"m_{c}") for c in ("blocked", "allowed", "unnamed")]), ["host", "merged"])
     merged = merged.select("host", "template", *[F.col(f"m_{c}").alias(c) for c in ("blocked", "allowed", "unnamed")])
     seen = F.col("blocked") + F.col("allowed") + UNNAMED_WEIGHT * F.col("unnamed")
@@ -162,19 +186,17 @@ def judge_urls(pages: DataFrame, url: str = "url", rules: dict[str, str] | None
     that start with its path), else ``block`` where the template's purity reaches
     ``REJECT_SHARE``, else ``allow``. Null URLs and URLs without ``://`` have empty host and path
     and are judged as such. Repeated rows are judged alike; an empty table stays empty;
-    further columns pass through, except that columns with these names are replaced.
+    further columns pass through whatever their names, except that columns with these names are replaced.
     """
     rules = RULES if rules is None else rules
     added = ("host", "path", "rule", "template", "purity", "verdict")
-    host, path = host_and_path(F.col("__url"))
-    rows = pages.drop(*added).withColumn("__url", F.col(url)).withColumns({"host": host, "path": path}).drop("__url")
+    host, path = host_and_path(named(url))
+    rows = pages.select(whole_row(pages.drop(*added)), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("rule", match_rule(F.col("host"), F.col("path"), rules))
     verdict = reduce(lambda c, r: c.when(F.col("rule") == r, F.lit(rules[r])), rules, F.when(F.lit(False), F.lit(None).cast("string")))
-    labelled = rows.withColumn("__label", verdict)
-    trees = rejected_templates(labelled.select("host", "path", F.col("__label").alias("label")))
-    trees = trees.select(F.col("host").alias("__t_host"), F.col("first").alias("__t_first"), F.concat(F.lit("/"), F.concat_ws("/", "template")).alias("template"), "purity")
-    found = labelled.withColumn("__first", _generalised(F.col("path"))).join(
-        trees, (F.col("host") == F.col("__t_host")) & (F.col("__first") == F.col("__t_first")), "left"
-    )
-    judged = F.coalesce("__label", F.when(F.col("purity") >= REJECT_SHARE, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
-    return found.withColumn("verdict", judged).drop("__label", "__first", "__t_host", "__t_first")
+    labelled = rows.withColumn("label", verdict)
+    trees = rejected_templates(labelled.select("host", "path", "label"))
+    trees = trees.select("host", "first", F.concat(F.lit("/"), F.concat_ws("/", "template")).alias("template"), "purity")
+    found = labelled.withColumn("first", _generalised(F.col("path"))).join(trees, ["host", "first"], "left")
+    judged = F.coalesce("label", F.when(F.col("purity") >= REJECT_SHARE, F.lit(BLOCK)).otherwise(F.lit(ALLOW)))
+    return found.select("row.*", "host", "path", "rule", "template", "purity", judged.alias("verdict"))

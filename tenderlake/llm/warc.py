@@ -22,6 +22,8 @@ from tenderlake.session import new_folder
 VERSION = "WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: Tasks that pages with one payload, and captures that refer to one page, are dealt to.
+PARTS = 16
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 _RECORD = (
     "type string, record_id string, concurrent_to string, target_uri string, date string, refers_to string,"
@@ -66,6 +68,15 @@ def _capture(page: int | None, url: str | None, html: str, owner: int | None, di
                    "WARC-Concurrent-To": own, "Content-Type": "application/warc-fields"}, fields)
 
 
+def _part(*columns: str) -> Column:
+    """One of ``PARTS`` that rows with one key are dealt to."""
+    return F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
+
+
+def _in_all_parts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+
+
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html",
                    least_bytes: int = 0) -> None:
     """Write three records per page below ``path``.
@@ -77,8 +88,10 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page"), F.col(url).alias("url"), payload.alias("html"))
-    rows = rows.withColumn("digest", F.unhex(F.sha1("html")))
-    owners = rows.where(F.octet_length("html") >= least_bytes).groupBy("digest").agg(F.max("page").alias("owner"))
+    rows = rows.withColumn("digest", F.unhex(F.sha1("html"))).withColumn("part", _part("page", "url"))
+    # a page that is the only one with its payload needs no owner; a payload of many pages is dealt to several tasks
+    same = rows.where(F.octet_length("html") >= least_bytes).groupBy("digest")
+    owners = _in_all_parts(same.agg(F.max("page").alias("owner"), F.count("*").alias("n")).where("n > 1").drop("n"))
 
     def records(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -88,7 +101,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                 out.extend(_capture(page, url, html, owner, base64.b32encode(digest).decode()))
             yield pd.DataFrame({"value": out})
 
-    written = rows.join(owners, "digest", "left").select("page", "url", "html", "digest", "owner").mapInPandas(records, "value string")
+    written = rows.join(owners, ["digest", "part"], "left").select("page", "url", "html", "digest", "owner").mapInPandas(records, "value string")
     written.write.option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
@@ -192,8 +205,13 @@ def round_trip(pages: DataFrame, path: str | None = None, **names: str | int) ->
     write_archives(pages, path, **names)
     kept = new_folder(spark, "records")
     read_records(spark, path).write.option("compression", "zstd").parquet(kept)
-    captures = assemble(spark.read.schema(_RECORD).parquet(kept))
-    originals = captures.where("type = 'response'").groupBy(F.col("record_id").alias("refers_to")).agg(
+    records = spark.read.schema(_RECORD).parquet(kept)
+    captures = assemble(records)
+    # what refers to nothing is dealt by its own id, what refers to one page to several tasks
+    wanted = records.where("refers_to is not null").select(F.col("refers_to").alias("key")).distinct()
+    originals = captures.where("type = 'response'").withColumnRenamed("record_id", "key").join(wanted, "key", "left_semi").groupBy("key").agg(
         F.min(F.struct(F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"))).alias("original")
     )
-    return captures.join(originals, "refers_to", "left")
+    dealt = captures.withColumns({"key": F.coalesce("refers_to", "record_id"), "part": _part("record_id")})
+    found = dealt.join(_in_all_parts(originals), ["key", "part"], "left").drop("key", "part")
+    return found.withColumn("original", F.when(F.col("refers_to").isNotNull(), F.col("original")))
