@@ -108,6 +108,24 @@ def test_shards_are_even_whole_and_move_little(spark):
     assert moved <= least + 1000 and abs(moved - plan.moved_bytes) <= 1000
 
 
+def test_large_documents_take_the_places_of_the_flow():
+    wanted, cost = [100, 100, 100], [[int(i != j) for j in range(3)] for i in range(2)]
+    transfers = reshard.minimum_cost_flow([150, 150], wanted, cost)
+    documents = [(0, 60), (1, 60), (0, 50), (1, 50), (0, 40), (1, 40)]
+    found = reshard.fit_into_transfers(documents, transfers, wanted)
+    assert found == [0, 1, 2, 2, 0, 1]
+    assert reshard.fit_into_transfers([(0, 90), (0, 90)], [[100, 0], [0, 80]], [100, 80]) == [0, 1]
+    assert reshard.fit_into_transfers([], transfers, wanted) == []
+
+
+@pytest.mark.parametrize("rows", [40, 1500])
+def test_moved_bytes_stay_near_the_flow(spark, rows):
+    draw = random.Random(rows)
+    docs = spark.createDataFrame([(i, "w" * draw.randint(1, 400)) for i in range(rows)], "doc_id long, text string")
+    plan = reshard.plan_resharding(docs, shards=6, old_shards=4)
+    assert plan.least_bytes <= plan.moved_bytes + 6 * 408 and plan.moved_bytes <= plan.least_bytes + 6 * 408
+
+
 def test_unchanged_layout_is_not_rewritten(spark, tmp_path):
     docs = spark.createDataFrame([(i, "t" * 12) for i in range(8)], "doc_id long, text string")
     plan = reshard.plan_resharding(docs, shards=2, old="cast(doc_id % 2 as int)", old_shards=2)
