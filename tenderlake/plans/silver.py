@@ -18,6 +18,7 @@ from tenderlake import contracts as C
 from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
 from tenderlake.plans.versions import set_path
+from tenderlake.session import PACKED, fine_splits
 
 COPIES, STATE = "_linhas", "situacao_linha"
 ACCEPTED, NEGATIVE = "aceita", "valor_negativo"
@@ -194,7 +195,8 @@ def domain_samples(df: DataFrame, name: str, domain, limit: int = 5) -> DataFram
 
 def write_silver(marked: DataFrame, folder: str, name: str) -> None:
     """Write one silver table to the folder of a set; rejected rows stay in it, flagged, for the report."""
-    marked.write.parquet(f"{folder}/{name}")
+    with fine_splits(marked.sparkSession):
+        marked.write.options(**PACKED).parquet(f"{folder}/{name}")
 
 
 def write_quality(report: DataFrame, folder: str) -> None:

@@ -8,6 +8,7 @@ import pytest
 from tenderlake import contracts as C
 from tenderlake.plans import silver as S
 from tenderlake.plans.versions import replaced_set
+from tenderlake.session import SPLIT_BYTES, fine_splits
 
 PARTS = {C.YEAR_PART: "2024", C.MONTH_PART: "01"}
 
@@ -170,3 +171,24 @@ def test_silver_round_trip_and_missing_table(spark, tmp_path):
 def test_samples_of_bad_states(spark):
     df = frame(spark, TENDER, *[{"UF": v} for v in ("-3", "-3", "df", "x1", None)])
     assert [r.UF for r in S.domain_samples(df, "UF", C.STATES).collect()] == [None, "-3", "X1"]
+
+
+def test_cleaning_reads_fine_splits_and_packs_what_it_writes(spark, tmp_path):
+    """The setting holds while blocks overlap, is never raised, and comes back; the table is written under it."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with fine_splits(spark):
+        with fine_splits(spark):
+            assert spark.conf.get(name) == f"{SPLIT_BYTES}b"
+        assert spark.conf.get(name) == f"{SPLIT_BYTES}b"
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "64k")
+    try:
+        with fine_splits(spark):
+            assert spark.conf.get(name) == "65536b"
+        assert spark.conf.get(name) == "64k"
+    finally:
+        spark.conf.set(name, before)
+    S.write_silver(S.mark_items(frame(spark, ITEM, {}, {})), str(tmp_path), C.ITEMS)
+    files = [p.name for p in (tmp_path / C.ITEMS).glob("part-*")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
