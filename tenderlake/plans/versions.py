@@ -24,7 +24,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.session import delete_path, path_exists, side_by_side
+from tenderlake.session import PACKED, delete_path, path_exists, side_by_side
 
 _LISTS = "publicacoes"
 _LIST_SCHEMA = (
@@ -250,10 +250,10 @@ def set_path(spark: SparkSession, root: str, name: str) -> str:
 
 
 def write_set(spark: SparkSession, tables: dict[str, DataFrame], root: str, keep: int = 2) -> None:
-    """Replace a set of tables, written at the same time, in files of a sensible size."""
+    """Replace a set of tables, written at the same time and as they lie: files are those of the tasks, rows are not shuffled again."""
     with replaced_set(spark, root, keep) as folder:
 
         def write(name: str, df: DataFrame) -> Callable[[], None]:
-            return lambda: df.hint("rebalance").write.parquet(f"{folder}/{name}")
+            return lambda: df.write.options(**PACKED).parquet(f"{folder}/{name}")
 
         side_by_side(spark, {name: write(name, df) for name, df in tables.items()})
