@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tenderlake.functions.columns import named, zscore
 from tenderlake.operators.joins import BROADCAST_BYTES, ROWS_PER_TASK, lookup, parts_for, rows_bytes
+from tenderlake.session import staged
 
 
 def sum_count_by(
@@ -94,8 +95,8 @@ def flag_outliers(
 
     Group statistics are partially aggregated. Groups whose maximum stays below the
     threshold never reach the join. A group too large for one task is dealt to several,
-    using the count the statistics already hold; every use of the statistics asks for the
-    same columns, so Spark computes them once. Where ``groups``, an upper bound on the number
+    using the count the statistics already hold; statistics that cannot be broadcast are
+    written, so that they are computed once. Where ``groups``, an upper bound on the number
     of groups, allows it, the statistics are broadcast and the rows are not shuffled at all. ``stats``
     replaces the statistics, where they are known from elsewhere.
     """
@@ -106,6 +107,8 @@ def flag_outliers(
     reachable = above_threshold(F.col("maior"), F.col("media"), F.col("desvio_padrao"), sigmas)
     parts = F.when(reachable, parts_for(size, rows_per_task)).otherwise(0)
     bounded = groups is not None and not isinstance(df.schema[group].dataType, T.StringType)
+    if not (bounded and rows_bytes(groups, 5) <= BROADCAST_BYTES):
+        stats = staged(stats)  # hot groups and the join each read them
     flagged = lookup(
         known,
         stats.filter(reachable),
