@@ -28,7 +28,7 @@ from tenderlake.plans.versions import (
     removed_on_failure,
     version_path,
 )
-from tenderlake.session import staged
+from tenderlake.session import PACKED, staged
 
 MOMENTS, FLAGGED = "momentos_de_preco", "precos_anomalos"
 _PRODUCT, _PRICE, _PERIOD, _FOLDER = "sk_produto", "valor_unitario_item", "periodo", "_pasta"
@@ -65,7 +65,7 @@ def update_outliers(spark: SparkSession, warehouse: str, root: str, sigmas: floa
         folder = version_path(root, version, MOMENTS)
         found = moment_states(_facts(spark, [facts[k] for k in changed]), [_PRODUCT, _PERIOD], _PRICE)
         found = staged(found.select(_PRODUCT, "n", F.col("soma").cast("decimal(28,4)").alias("soma"), "centro", "quadrados", "maior", _PERIOD))
-        found.withColumn(_FOLDER, F.md5(F.col(_PERIOD).cast("binary"))).hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).parquet(folder)
+        found.withColumn(_FOLDER, F.md5(F.col(_PERIOD).cast("binary"))).hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).options(**PACKED).parquet(folder)
         filled = {r[0]: r[1] for r in found.select(_PERIOD, F.md5(F.col(_PERIOD).cast("binary"))).distinct().collect()}
         empty = f"{folder}/vazio"
         if len(filled) < len(changed):
@@ -88,7 +88,7 @@ def update_outliers(spark: SparkSession, warehouse: str, root: str, sigmas: floa
             done = F.broadcast(touched) if measured_bytes(touched) <= BROADCAST_BYTES else touched
             flagged = flagged.unionByName(others.join(done, matching(others, done, [(_PRODUCT, _PRODUCT)], null_safe=False), "left_anti"))
         path = version_path(root, version, FLAGGED)
-        flagged.write.parquet(path)
+        flagged.write.options(**PACKED).parquet(path)
         publish_parts(spark, root, version, [*kept, *fresh, Part(FLAGGED, path)], base)
     return changed
 

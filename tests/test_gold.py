@@ -134,6 +134,21 @@ def test_item_fact(spark, form):
     assert by_ord[0].sk_tempo == 1 and 5 not in by_ord
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_items_meet_context_and_tender_in_one_join(spark, form):
+    """Tenders that share number and unit are told apart by mode, a missing mode included; a key held twice gives both."""
+    t = tenders(spark, tender(kind="5"), tender(kind="6"), tender(kind=None))
+    won = items(spark, item(kind="5"), item(kind="6"), item(kind=None), item(kind="7"))
+    dims = G.build_dimensions(t, won, bids(spark, bid()))
+    twice = dims["dim_licitacao"].filter("codigo_modalidade_compra = '6'")
+    dims["dim_licitacao"] = dims["dim_licitacao"].unionByName(twice.withColumn("sk_licitacao", twice.sk_licitacao + 10))
+    fact, _ = G.build_fact_item(won, t, dims, **form)
+    got = sorted((r[C.ROW_ORD], r.sk_licitacao or 0) for r in fact.collect())
+    assert got == [(0, 1), (1, 2), (1, 12), (2, 3), (3, 0)]
+    if not form:
+        assert fact._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 2
+
+
 @pytest.mark.parametrize("form", FORMS)
 def test_bid_fact_keeps_unresolved_keys_null(spark, form):
     t = tenders(spark, tender())

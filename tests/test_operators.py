@@ -119,6 +119,14 @@ def test_hot_keys_include_the_missing_key(spark, rows):
     assert rows(J.hot_keys(fact, ["k"], 60)) == [(None, 2), ("hot", 2)]
 
 
+@pytest.mark.parametrize("classes", [1, 2, 1 << 16])
+def test_hot_keys_are_counted_in_full_classes_only(spark, rows, monkeypatch, classes):
+    monkeypatch.setattr(J, "HASHES", classes)
+    fact = spark.createDataFrame(FACT, "id int, k string")
+    assert rows(J.hot_keys(fact, ["k"], 60)) == [(None, 2), ("hot", 2)]
+    assert rows(J.hot_keys(fact, ["k"], 10_000)) == []
+
+
 @pytest.mark.parametrize("form", [{"groups": 5}, {}, {"rows_per_task": 3}])
 def test_outliers(spark, form):
     prices = [("clear", 1.0)] * 9 + [("clear", 100.0)]
@@ -218,6 +226,18 @@ def test_surplus_rows_of_dense_and_sparse_keys(spark, step):
     assert K._is_dense(seen["parent"]) == (step == 1) and not K._is_dense(seen["child"])
 
 
+@pytest.mark.parametrize("ids, range_of", [([1, 2, 3], (1, 3)), ([1, 2, 3, 3], (1, 3)), ([1, 3], None), ([1, 1, 3], None), ([], None)])
+def test_keys_without_a_gap_need_no_lookup(spark, ids, range_of):
+    """Rows outside the range of such a key point nowhere; a repeated value does not stand for a missing one."""
+    parent = spark.createDataFrame([(i, str(i)) for i in ids], "id int, code string")
+    child = spark.createDataFrame([(1, 0), (2, 1), (3, 2), (4, 2), (5, 4), (6, None)], "pk long, id int")
+    tables = {"parent": parent, "child": child}
+    found = K._gapless(tables, (PARENT, CHILD), K._summaries(tables, (PARENT, CHILD)))
+    assert found.get(("parent", "id")) == range_of
+    lost = {(r.tabela, r.regra): r.violacoes for r in K.check_contract(tables, (PARENT, CHILD)).collect()}
+    assert lost["child", "foreign_key"] == sum(i not in ids for i in (0, 1, 2, 2, 4))
+
+
 def test_gate(spark):
     clean = spark.createDataFrame([("t", "r", "c", 0)], "tabela string, regra string, coluna string, violacoes long")
     K.open_gate(clean)
