@@ -173,15 +173,14 @@ def _field(payload: Column, name: str) -> Column:
     return F.nullif(F.regexp_extract(payload.cast("string"), rf"(?m)^{name}: *(.*?)\r?$", 1), F.lit(""))
 
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: ``record_id, type, request, response, metadata, refers_to``.
+def _captures(records: DataFrame) -> DataFrame:
+    """Captures with their request and metadata, the response's fields still columns of their own.
 
-    Request and metadata records join the response or revisit they are concurrent to; of several
-    the smallest by id counts; a capture without one has null there. Records that belong to no capture are left out.
+    A struct that is built below a join is shuffled whole; as columns, payloads that nobody asks for stay where they lie.
     """
     captures = records.where(F.col("type").isin("response", "revisit")).select(
-        "record_id", "type", "refers_to", "target_uri", "date",
-        F.struct("http", "payload", "payload_bytes", F.coalesce("payload_digest", "declared_digest").alias("payload_digest")).alias("response"),
+        "record_id", "type", "refers_to", "target_uri", "date", "http", "payload", "payload_bytes",
+        F.coalesce("payload_digest", "declared_digest").alias("payload_digest"),
     )
 
     def beside(kind: str, *columns: Column | str) -> DataFrame:
@@ -195,6 +194,20 @@ def assemble(records: DataFrame) -> DataFrame:
     )
 
 
+def _nested(captures: DataFrame, *more: str) -> DataFrame:
+    response = F.struct("http", "payload", "payload_bytes", "payload_digest").alias("response")
+    return captures.select("record_id", "type", "refers_to", "target_uri", "date", response, "request", "metadata", *more)
+
+
+def assemble(records: DataFrame) -> DataFrame:
+    """One nested row per capture: ``record_id, type, request, response, metadata, refers_to``.
+
+    Request and metadata records join the response or revisit they are concurrent to; of several
+    the smallest by id counts; a capture without one has null there. Records that belong to no capture are left out.
+    """
+    return _nested(_captures(records))
+
+
 def round_trip(pages: DataFrame, path: str | None = None, **names: str | int) -> DataFrame:
     """Archive pages, read the archives back, and return the assembled captures, revisits resolved.
 
@@ -206,12 +219,14 @@ def round_trip(pages: DataFrame, path: str | None = None, **names: str | int) ->
     kept = new_folder(spark, "records")
     read_records(spark, path).write.option("compression", "zstd").parquet(kept)
     records = spark.read.schema(_RECORD).parquet(kept)
-    captures = assemble(records)
+    captures = _captures(records)
     # what refers to nothing is dealt by its own id, what refers to one page to several tasks
     wanted = records.where("refers_to is not null").select(F.col("refers_to").alias("key")).distinct()
     originals = captures.where("type = 'response'").withColumnRenamed("record_id", "key").join(wanted, "key", "left_semi").groupBy("key").agg(
-        F.min(F.struct(F.col("metadata.page_id").alias("page_id"), F.col("response.payload_bytes").alias("payload_bytes"))).alias("original")
+        F.min(F.struct(F.col("metadata.page_id").alias("page_id"), "payload_bytes")).alias("original")
     )
     dealt = captures.withColumns({"key": F.coalesce("refers_to", "record_id"), "part": _part("record_id")})
-    found = dealt.join(_in_all_parts(originals), ["key", "part"], "left").drop("key", "part")
-    return found.withColumn("original", F.when(F.col("refers_to").isNotNull(), F.col("original")))
+    dealt_originals = _in_all_parts(originals.withColumnRenamed("key", "original_key")).withColumnRenamed("part", "original_part")
+    # a condition of the join, not a case behind it: the original stays a plain column, through which unused fields can be left out
+    same = (F.col("key") == F.col("original_key")) & (F.col("part") == F.col("original_part")) & F.col("refers_to").isNotNull()
+    return _nested(dealt.join(dealt_originals, same, "left"), "original")

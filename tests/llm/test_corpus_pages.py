@@ -6,6 +6,7 @@ import hashlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tenderlake.llm import html_wrappers as H
 from tenderlake.llm import url_templates as U
@@ -172,3 +173,16 @@ def test_small_payloads_and_no_pages(spark):
     got = {r.metadata.page_id: r.type for r in warc.round_trip(pages, least_bytes=3).collect()}
     assert got == {1: "response", 2: "response", 3: "revisit", 4: "response"}
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_payloads_that_nobody_asks_for_are_not_joined(spark):
+    data = [(1, "u", "aa"), (2, "u", "aa"), (3, "u", "bbb")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    asked = warc.round_trip(pages).select(
+        "metadata.page_id", "type", "response.payload_digest", F.coalesce("response.payload_bytes", "original.payload_bytes").alias("n"), F.col("original.page_id").alias("first")
+    )
+    scans = [line for line in asked._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    captures = [line.split("DataFilters")[0] for line in scans if "revisit" in line]
+    assert captures and not any("payload#" in line or "http#" in line for line in captures)
+    got = {r.page_id: (r.type, r.n, r.first) for r in asked.collect()}
+    assert got == {1: ("revisit", 2, 2), 2: ("response", 2, None), 3: ("response", 3, None)}
