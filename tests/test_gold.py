@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
+from tenderlake.functions import columns as X
 from tenderlake.operators.checks import check_contract
 from tenderlake.operators.keys import first_by_key
 from tenderlake.plans import gold as G
@@ -203,3 +204,15 @@ def test_star_does_not_depend_on_partitioning(spark, partitions, rows):
     one, other = build(3), build(partitions)
     for name, table in one.tables().items():
         assert rows(table) == rows(other.tables()[name]), name
+
+
+def test_unit_prices_are_not_staged_with_the_fact(spark):
+    cells = "sk_tempo int, sk_orgao int, sk_fornecedor int, sk_produto int, sk_licitacao int, quantidade_item decimal(18,4), valor_item decimal(18,4)"
+    data = [(1, 1, 1, 1, 1, Decimal(3), Decimal(10)), (1, 1, 1, 1, 1, Decimal(0), Decimal(10)), (1, 1, 1, 1, 1, None, Decimal(1))]
+    fact = spark.createDataFrame(data, cells).withColumn("valor_unitario_item", X.unit_price(F.col("valor_item"), F.col("quantidade_item")))
+    numbered = G.number_fact(fact.withColumn(C.ROW_ORD, F.lit(1)), C.FATO_ITEM)
+    assert numbered.columns == list(C.FATO_ITEM.names) and numbered.schema["valor_unitario_item"].dataType == fact.schema["valor_unitario_item"].dataType
+    scans = [s for s in numbered._jdf.queryExecution().analyzed().toString().splitlines() if "Relation" in s]
+    assert scans and not any("valor_unitario_item" in s for s in scans)
+    asked = ["valor_item", "quantidade_item", "valor_unitario_item"]
+    assert sorted(map(str, numbered.select(asked).collect())) == sorted(map(str, fact.select(asked).collect()))

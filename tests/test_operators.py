@@ -251,3 +251,14 @@ def test_reconcile(spark, rows):
     assert [r.confere for r in K.reconcile(parts, whole, ["v"]).collect()] == [True]
     off = spark.createDataFrame([(4.1,)], "v double")
     assert [r.confere for r in K.reconcile(parts, off, ["v"]).collect()] == [False]
+
+
+def test_first_by_key_leaves_rows_of_single_keys_where_they_lie(spark, rows):
+    data = [("a", None, "x", 3), ("a", None, "y", 1), ("a", None, "y", 1), ("b", "z", "w", 2), (None, None, "v", None), (None, None, "u", 9), ("c", "c", "t", None), ("c", "c", "s", None)]
+    df = spark.createDataFrame(data, "k string, l string, t string, o long")
+    found = E.first_by_key(df, ["k", "l"], "o")
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    want = [(None, None, "u", 9), ("a", None, "y", 1), ("a", None, "y", 1), ("b", "z", "w", 2), ("c", "c", "s", None), ("c", "c", "t", None)]
+    assert rows(found) == rows(spark.createDataFrame(want, df.schema))
+    assert rows(E.first_by_key(df, ["k", "l"], "o", broadcast_bytes=0)) == rows(found)
+    assert rows(E.first_by_key(df.limit(0), ["k", "l"], "o")) == []

@@ -8,7 +8,7 @@ from tenderlake.operators.states import merge_sketches, presence_states, sketch_
 from tenderlake.plans import marts as M
 from tenderlake.plans.anomalies import read_outliers, update_outliers
 from tenderlake.plans.versions import Part, publish_parts
-from tenderlake.session import new_folder, staged
+from tenderlake.session import PACKED, new_folder, staged
 from workload.adapters import FATO, MEAN, STATS, star, table
 from workload.registry import query
 
@@ -147,7 +147,7 @@ def v1_kept(spark, sf):
 
     def written(name, rows):
         path = f"{warehouse}/{name}"
-        rows.write.parquet(path)
+        rows.write.options(**PACKED).parquet(path)
         return path
 
     paths = {str(k): written(str(k), fact.filter(key % 3 == k)) for k in range(3)}
