@@ -76,6 +76,24 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    """Bytes of a split at most, by the session's setting."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+
+
+def in_few_tasks(read: DataFrame) -> DataFrame:
+    """Where splits are much smaller than ``SPLIT_BYTES``, tasks that read several of them, at least one task per core.
+
+    Rows of a split stay together and in order; nothing is shuffled. A task for every small split would cost more than its rows.
+    """
+    spark = read.sparkSession
+    per_task = SPLIT_BYTES // _split_bytes(spark)
+    if per_task < 2:
+        return read
+    tasks = -(-read.rdd.getNumPartitions() // per_task)
+    return read.coalesce(max(tasks, spark.sparkContext.defaultParallelism))
+
+
 @contextmanager
 def fine_splits(spark: SparkSession) -> Iterator[None]:
     """Files are read in splits of at most ``SPLIT_BYTES`` by the jobs started inside the block.
@@ -87,8 +105,7 @@ def fine_splits(spark: SparkSession) -> Iterator[None]:
     with _fine_lock:
         if not _fine["blocks"]:
             _fine["before"] = spark.conf.get(name)
-            size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(_fine["before"])
-            spark.conf.set(name, f"{min(size, SPLIT_BYTES)}b")
+            spark.conf.set(name, f"{min(_split_bytes(spark), SPLIT_BYTES)}b")
         _fine["blocks"] += 1
     try:
         yield

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tenderlake import contracts as C
 from tenderlake.functions.columns import named, null_tokens
 from tenderlake.operators.keys import latest_by_key, union_periods
-from tenderlake.session import delete_path, path_exists
+from tenderlake.session import delete_path, in_few_tasks, path_exists
 from tenderlake.sources.records import QUOTED_CELL, count_records, records
 
 FILE, BLOCK, LINE_ID = "_arquivo", "_bloco", "_id_linha"
@@ -125,8 +125,9 @@ def scan_lines(spark: SparkSession, paths: Sequence[str], encoding: str = C.SOUR
     """
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(38,0)")
     words = _line_words()
-    lines = spark.read.text(list(paths)).select(
-        source_path().alias("path"), F.col("_metadata.file_block_start").alias("bloco"), "value",
+    read = spark.read.text(list(paths)).select(source_path().alias("path"), F.col("_metadata.file_block_start").alias("bloco"), "value")
+    lines = in_few_tasks(read).select(
+        "path", "bloco", "value",
         F.decode(F.col("value").cast("binary"), encoding).alias("linha"), position.alias("posicao"),
         *[w.cast("decimal(38,0)").alias(f"w{k}") for k, w in enumerate(words)],
     )

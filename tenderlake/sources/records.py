@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
-from tenderlake.session import staged
+from tenderlake.session import in_few_tasks, staged
 
 QUOTED_CELL = r'(^|;)"[^"]*+(?:""[^"]*+)*+"(?=;|$)'
 #: A line that begins outside a cell: what remains without whole quoted cells has no quote, or one cell that goes on.
@@ -52,9 +52,9 @@ def _proper_inside(line: Column) -> Column:
 def _lines(spark: SparkSession, paths: Sequence[str], source_path: Column, encoding: str) -> DataFrame:
     """Lines cut at line feeds only, with file and split, in the order of each split."""
     text = F.decode(F.col("value").cast("binary"), encoding)
-    return spark.read.option("lineSep", "\n").text(list(paths)).select(
+    return in_few_tasks(spark.read.option("lineSep", "\n").text(list(paths)).select(
         source_path.alias("path"), F.col("_metadata.file_block_start").alias("bloco"), text.alias("linha"),
-    )
+    ))
 
 
 def split_states(lines: DataFrame) -> DataFrame:

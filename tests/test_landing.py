@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tenderlake import contracts as C
 from tenderlake.sources import landing as L
+from tenderlake.sources import records as R
 from tenderlake.sources.bronze import load_bronze
 from tenderlake.sources.records import count_records
 from tenderlake.streaming.landing_stream import land_continuously
@@ -416,3 +417,22 @@ def test_stream_replaces_rewritten_files_and_leaves_the_others(spark, tmp_path,
     run()
     assert sorted(name for _, name in seen) == ["202402_Licitação.csv", "202403_Licitação.csv"]
     assert load_bronze(spark, bronze, C.TENDERS).count() == 5
+
+
+def test_small_splits_share_tasks(spark, tmp_path):
+    text = "a;b\n" + "".join(f'{i};"x\n;{i}"\n' for i in range(4000))
+    path = str(tmp_path / "202401_A.csv")
+    Path(path).write_bytes(text.encode("latin-1"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = {r.path: r.impressao for r in L.scan_lines(spark, [path]).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines = R._lines(spark, [path], L.source_path(), C.SOURCE_ENCODING)
+        splits = lines.select("bloco").distinct().count()
+        assert splits > 40 and lines.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert {r.path: r.impressao for r in L.scan_lines(spark, [path]).collect()} == whole
+        assert [(r.linhas, r.leitura) for r in L.profile_files(spark, [path]).collect()] == [(4000, L.BY_RECORD)]
+        got = sorted((int(r.a), r.b) for r in L.read_spanning_csv(spark, [path], ["a", "b"]).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [(i, f"x\n;{i}") for i in range(4000)]
