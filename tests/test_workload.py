@@ -1,12 +1,15 @@
 """Every named query next to its SQL counterpart, at the smallest scale factor."""
 
 import math
+from datetime import date
 from pathlib import Path
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tenderlake.sources import landing
+from workload import source_queries
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -48,3 +51,16 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry(spark).count() == 20
+
+
+def test_landing_files_do_not_grow_with_the_files_of_the_table(spark, tmp_path):
+    cells = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string"
+    data = [(i, i % 3, "FOP"[i % 3], i + 0.25, date(1996, 1 + i % 2, 3), "1-URGENT") for i in range(120)]
+    orders = spark.createDataFrame(data, cells)
+    orders.repartition(5).write.parquet(str(tmp_path / "orders.parquet"))
+    files = source_queries._landing(spark, str(tmp_path))
+    groups = {(d.month, state, i % 2 if state == "F" else 0) for i, _, state, _, d, _ in data}
+    found = landing.listing(spark, files).collect()
+    assert len(found) == len(groups)
+    read = landing.read_landing_csv(spark, [r.path for r in found], ["Chave", "Comprador", "Texto", "Total"])
+    assert sorted(int(r.Chave) for r in read.collect()) == list(range(120))

@@ -44,9 +44,9 @@ def _rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _landing(spark: SparkSession, sf: str) -> str:
-    """Orders as landing files ``AAAAMM_Pedidos<state>-<n>.csv``, written without a shuffle.
+    """Orders as landing files ``AAAAMM_Pedidos<state>-<n>.csv``, a month's rows brought together first, as a source delivers them.
 
-    Filled orders of a month stand in two files, which bronze has to hold side by side.
+    Filled orders of a month stand in two files, which bronze has to hold side by side. Files grow with the table, their number does not.
     Spark names its output files itself, so each is renamed to the name the source would use.
     """
     key = (spark.sparkContext.applicationId, sf)
@@ -54,7 +54,8 @@ def _landing(spark: SparkSession, sf: str) -> str:
         return _landed[key]
     written, folder = new_folder(spark, "escrita"), new_folder(spark, "entrada")
     half = F.when(F.col("estado") == "F", F.col("Chave").cast("long") % 2).otherwise(0)
-    _rows(spark, sf).withColumn("metade", half).write.partitionBy("periodo", "estado", "metade").options(
+    months = ["periodo", "estado", "metade"]
+    _rows(spark, sf).withColumn("metade", half).repartition(*months).write.partitionBy(*months).options(
         header=True, sep=C.SOURCE_SEPARATOR, encoding=C.SOURCE_ENCODING, escape='"'
     ).csv(written)
     hadoop = spark._jvm.org.apache.hadoop.fs
