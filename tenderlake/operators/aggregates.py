@@ -80,6 +80,19 @@ def above_threshold(x: Column, mean: Column, deviation: Column, sigmas: float) -
     return x.cast("double") > mean.cast("double") + F.lit(float(sigmas)) * deviation
 
 
+def may_exceed(df: DataFrame, group: str, value: str, thresholds: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows above the least threshold (``_limiar``) of all groups that share their group's class.
+
+    Classes are by hash, as many as may be broadcast however many groups there are; more groups per class let more
+    rows through, and never hold back one that is above its own group's threshold. No row is shuffled.
+    """
+    classes = max(broadcast_bytes // rows_bytes(1, 1), 1)
+    of = F.pmod(F.xxhash64(named(group)), F.lit(classes))
+    least = thresholds.groupBy(of.alias("_classe")).agg(F.min("_limiar").alias("_limiar"))
+    reached = (of == F.col("_classe")) & (named(value).cast("double") > F.col("_limiar"))
+    return df.join(F.broadcast(least), reached, "left_semi")
+
+
 def flag_outliers(
     df: DataFrame,
     group: str,
@@ -96,7 +109,8 @@ def flag_outliers(
     Group statistics are partially aggregated. Groups whose maximum stays below the
     threshold never reach the join. A group too large for one task is dealt to several,
     using the count the statistics already hold; statistics that cannot be broadcast are
-    written, so that they are computed once. Where ``groups``, an upper bound on the number
+    written, so that they are computed once, and rows below the least threshold of a class of groups are
+    left out before the others are shuffled. Where ``groups``, an upper bound on the number
     of groups, allows it, the statistics are broadcast and the rows are not shuffled at all. ``stats``
     replaces the statistics, where they are known from elsewhere.
     """
@@ -108,7 +122,9 @@ def flag_outliers(
     parts = F.when(reachable, parts_for(size, rows_per_task)).otherwise(0)
     bounded = groups is not None and not isinstance(df.schema[group].dataType, T.StringType)
     if not (bounded and rows_bytes(groups, 5) <= BROADCAST_BYTES):
-        stats = staged(stats)  # hot groups and the join each read them
+        stats = staged(stats)  # hot groups, thresholds and the join each read them
+        limit = F.col("media").cast("double") + F.lit(float(sigmas)) * F.col("desvio_padrao")
+        known = may_exceed(known, group, value, stats.filter(reachable).select(named(group), limit.alias("_limiar")))
     flagged = lookup(
         known,
         stats.filter(reachable),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.functions.columns import named
+from tenderlake.operators.joins import ROWS_PER_TASK, hot_keys, matching
+from tenderlake.session import staged
 
 #: Size of a distinct-count sketch: 2 ** 12 registers, a relative standard error of about 1.6 %.
 SKETCH_BITS = 12
@@ -23,6 +25,25 @@ def moment_states(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
+def gathered_moments(df: DataFrame, group: str, keys: Sequence[str], value: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """:func:`moment_states`; where groups are so many that tasks would hand on a state for every few rows, the rows of a group meet first.
+
+    ``group`` is one of the keys. A state is some four times as wide as a row. Groups with more rows than one task should
+    take are aggregated as they lie.
+    """
+    known = df.filter(named(value).isNotNull()).select(*[named(k) for k in keys], named(value))
+    rows, groups = known.agg(F.count(F.lit(1)), F.approx_count_distinct(named(group))).first()
+    if rows >= 4 * groups * known.rdd.getNumPartitions():
+        return moment_states(known, keys, value)
+    hot = staged(hot_keys(known, [group], rows_per_task).select(named(group).alias("_quente")))
+    if hot.isEmpty():
+        return moment_states(known.repartition(named(group)), keys, value)
+    hot = F.broadcast(hot)
+    on = matching(known, hot, [(group, "_quente")], null_safe=True)
+    small = moment_states(known.join(hot, on, "left_anti").repartition(named(group)), keys, value)
+    return small.unionByName(moment_states(known.join(hot, on, "left_semi"), keys, value))
+
+
 def _joined(a: Column, b: Column) -> Column:
     """Moments of two groups as one (Chan's formula)."""
     n, step = a.n + b.n, b.centro - a.centro

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tenderlake import contracts as C
 from tenderlake.operators.aggregates import flag_outliers
 from tenderlake.operators.joins import BROADCAST_BYTES, matching, measured_bytes, rows_with_keys
-from tenderlake.operators.states import merge_moments, moment_states
+from tenderlake.operators.states import gathered_moments, merge_moments
 from tenderlake.plans.publish import table_schema
 from tenderlake.plans.versions import (
     Part,
@@ -63,13 +63,14 @@ def update_outliers(spark: SparkSession, warehouse: str, root: str, sigmas: floa
     version = new_version()
     with removed_on_failure(spark, root, version):
         folder = version_path(root, version, MOMENTS)
-        found = moment_states(_facts(spark, [facts[k] for k in changed]), [_PRODUCT, _PERIOD], _PRICE)
-        found = staged(found.select(_PRODUCT, "n", F.col("soma").cast("decimal(28,4)").alias("soma"), "centro", "quadrados", "maior", _PERIOD))
-        found.withColumn(_FOLDER, F.md5(F.col(_PERIOD).cast("binary"))).hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).options(**PACKED).parquet(folder)
+        made = gathered_moments(_facts(spark, [facts[k] for k in changed]), _PRODUCT, [_PRODUCT, _PERIOD], _PRICE)
+        made = made.select(_PRODUCT, "n", F.col("soma").cast("decimal(28,4)").alias("soma"), "centro", "quadrados", "maior", _PERIOD)
+        made.withColumn(_FOLDER, F.md5(F.col(_PERIOD).cast("binary"))).hint("rebalance", _FOLDER).write.partitionBy(_FOLDER).options(**PACKED).parquet(folder)
+        found = spark.read.schema(_STATE).parquet(folder)
         filled = {r[0]: r[1] for r in found.select(_PERIOD, F.md5(F.col(_PERIOD).cast("binary"))).distinct().collect()}
         empty = f"{folder}/vazio"
         if len(filled) < len(changed):
-            found.limit(0).write.parquet(empty)
+            spark.createDataFrame([], _STATE).write.parquet(empty)
         fresh = [
             Part(MOMENTS, f"{folder}/{_FOLDER}={filled[k]}" if k in filled else empty, k, inputs=facts[k].path) for k in changed
         ]
@@ -79,7 +80,7 @@ def update_outliers(spark: SparkSession, warehouse: str, root: str, sigmas: floa
         touched = staged(stale.select(_PRODUCT).unionByName(found.select(_PRODUCT)).dropna().distinct())
         mine = staged(rows_with_keys(now, touched, [(_PRODUCT, _PRODUCT)]))
         periods = {r[0] for r in mine.select(_PERIOD).distinct().collect()}
-        rows = rows_with_keys(_facts(spark, [facts[k] for k in sorted(periods)]).drop(_PERIOD), touched, [(_PRODUCT, _PRODUCT)])
+        rows = _facts(spark, [facts[k] for k in sorted(periods)]).drop(_PERIOD)
         stats = merge_moments(mine, [_PRODUCT], min_count)
         flagged = flag_outliers(rows, _PRODUCT, _PRICE, "sk_fato_item", sigmas, min_count, groups=touched.count(), stats=stats)
         old = [p for p in before if p.table == FLAGGED]

@@ -9,7 +9,7 @@ import pytest
 
 from tenderlake import contracts as C
 from tenderlake.operators.aggregates import distinct_by, group_stats
-from tenderlake.operators.states import merge_moments, merge_sketches, moment_states, presence_states, sketch_states
+from tenderlake.operators.states import gathered_moments, merge_moments, merge_sketches, moment_states, presence_states, sketch_states
 from tenderlake.plans import anomalies as A
 from tenderlake.plans import marts as M
 from tenderlake.plans import versions as V
@@ -224,3 +224,20 @@ def test_kept_anomalies_follow_the_star(spark, star, tmp_path, rows):
         columns = ("sk_fato_item", "preco_medio_produto", "quantidade_ocorrencias", "desvios_acima_da_media")
         assert rows(A.read_outliers(spark, root), *columns) == rows(M.price_outliers(now), *columns)
         assert rows(M.anomaly_view(now, outliers=A.read_outliers(spark, root))) == rows(M.anomaly_view(now))
+
+
+@pytest.mark.parametrize("limit, hot", [(5_000_000, False), (2, True)])
+def test_values_of_many_small_groups_meet_before_they_are_aggregated(spark, rows, limit, hot):
+    data = [(i % 50 if i % 60 else None, "ab"[i % 2], Decimal(i * 37 % 101)) for i in range(120)] + [(1, "a", None)]
+    df = spark.createDataFrame(data, "g int, p string, v decimal(18,4)").repartition(8)
+    found = gathered_moments(df, "g", ["g", "p"], "v", rows_per_task=limit)
+    assert rows(found.select("g", "p", "n", "soma", "maior")) == rows(moment_states(df, ["g", "p"], "v").select("g", "p", "n", "soma", "maior"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and ("LeftAnti" in plan) == hot
+
+
+def test_few_groups_are_aggregated_as_they_lie(spark):
+    df = spark.range(4000).selectExpr("cast(id % 2 as int) g", "'a' p", "cast(id as decimal(18,4)) v").coalesce(2)
+    found = gathered_moments(df, "g", ["g", "p"], "v")
+    assert "REPARTITION_BY_COL" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.n for r in found.collect()) == [2000, 2000]

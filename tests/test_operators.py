@@ -262,3 +262,18 @@ def test_first_by_key_leaves_rows_of_single_keys_where_they_lie(spark, rows):
     assert rows(found) == rows(spark.createDataFrame(want, df.schema))
     assert rows(E.first_by_key(df, ["k", "l"], "o", broadcast_bytes=0)) == rows(found)
     assert rows(E.first_by_key(df.limit(0), ["k", "l"], "o")) == []
+
+
+def test_rows_below_every_threshold_of_their_class_are_left_out(spark):
+    data = [(i, f"g{i % 40}", float(1 + i % 40 + (500 if i % 97 == 0 else i % 7))) for i in range(4000)]
+    df = spark.createDataFrame(data, "id long, g string, v double")
+    limits = df.groupBy("g").agg((F.avg("v") + 2 * F.stddev("v")).alias("_limiar"))
+    above = {r.id for r in df.join(limits, "g").filter("v > _limiar").collect()}
+    for size in (A.rows_bytes(1, 1), 1 << 20):
+        kept = A.may_exceed(df, "g", "v", limits, broadcast_bytes=size)
+        found = {r.id for r in kept.collect()}
+        assert above <= found and len(found) < len(data)
+    assert found == above  # a class for every group
+    # statistics by a text are not broadcast: the same rows are flagged, and others are not shuffled
+    assert {r.id for r in A.flag_outliers(df, "g", "v", "id").collect()} == above
+    assert "_limiar" in A.flag_outliers(df, "g", "v", "id")._jdf.queryExecution().optimizedPlan().toString()
