@@ -458,6 +458,22 @@ def test_items_and_tenders_of_different_months_meet(spark, tmp_path, write_csv,
     assert read_occurrences(spark, f"{whole}/silver").filter("regra = 'item_sem_licitacao'").first().linhas == 1
 
 
+def test_a_load_that_concerns_two_periods_makes_their_context_once(spark, tmp_path, write_csv, monkeypatch):
+    write_csv("202401_Licitação.csv", TENDER_HEADER, tender("1", "15/01/2024"))
+    write_csv("202402_Licitação.csv", TENDER_HEADER, tender("2", "20/02/2024"))
+    write_csv("202401_ItemLicitação.csv", ITEM_HEADER, item("1", "7"), item("2", "8"))
+    write_csv("202402_ItemLicitação.csv", ITEM_HEADER, item("1", "5"), item("2", "6"))
+    write_csv("202401_ParticipantesLicitação.csv", BID_HEADER, offer("2", "8"))
+    write_csv("202402_ParticipantesLicitação.csv", BID_HEADER, offer("1", "5"))
+    root, made, context = str(tmp_path / "lake"), [], L.gold.tender_context
+    ingest_folder(spark, write_csv.folder, f"{root}/bronze")
+    refresh_period(spark, root, "2024", "01")
+    monkeypatch.setattr(L.gold, "tender_context", lambda *a: made.append(1) or context(*a))
+    refresh_period(spark, root, "2024", "02")
+    assert len(made) == 1
+    assert P.read_version(spark, f"{root}/warehouse").fato_item_licitacao.count() == 4
+
+
 def won_and_offered(spark, path, rows):
     """The star's facts by natural keys."""
     star = P.read_version(spark, path)
