@@ -31,6 +31,33 @@ def dedup_exact(df: DataFrame, order: str = ROW_ORD, copies: str | None = None)
     return df.groupBy(*content).agg(*measures)
 
 
+def split_repeated(df: DataFrame, content: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``content`` no other row has, which need not be shuffled to meet their copies, and the rest.
+
+    Contents are counted by 40 bits of a hash; the first 29 are the class of a content, and a class with a hash that stands
+    more than once sets its bit in bitmaps that are broadcast. Copies are always in the rest, with rows that merely
+    share a class, so the rest must still be compared. Whatever the table's size, a hash of each row is shuffled
+    and at most 64 MB are broadcast. Both sides read ``df`` again.
+    """
+    hashed = F.shiftrightunsigned(F.xxhash64(*content), 24)
+    low = hashed.bitwiseAND(F.lit((1 << 26) - 1)).cast("int")
+    hashes = df.select(F.shiftright(hashed, 26).cast("int").alias("_mapa"), low.alias("_resto"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = hashes.repartition(partitions, "_mapa").groupBy("_mapa", "_resto").agg(F.count(F.lit(1)).alias("_n"))
+    place = F.shiftright("_resto", 11).cast("long")
+    maps = staged(counted.filter("_n > 1").groupBy("_mapa").agg(F.bitmap_construct_agg(place).alias("_bits")))
+    # a row reads the whole piece its bit is in, so bitmaps of 4 KiB are cut in eight
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.lit(7)),
+        lambda i: F.struct((F.col("_mapa") * 8 + i).alias("_pedaco"), F.substring("_bits", i * 512 + 1, F.lit(512)).alias("_bits")),
+    )
+    bits = F.broadcast(maps.select(F.inline(pieces)))
+    bit = F.shiftright(low, 11).bitwiseAND(F.lit(4095))
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = (F.shiftright(hashed, 23).cast("int") == F.col("_pedaco")) & (F.getbit(byte, bit.bitwiseAND(F.lit(7))) == 1)
+    return df.join(bits, found, "left_anti"), df.join(bits, found, "left_semi")
+
+
 def _picked_by_key(df: DataFrame, keys: Sequence[str], pick, order: str | Column) -> DataFrame:
     rank = named(order) if isinstance(order, str) else order
     rest = [c for c in df.columns if c not in keys]

@@ -8,7 +8,7 @@ no second cleaning, and a task that runs twice after an executor loss cannot cou
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tenderlake import contracts as C
 from tenderlake.functions import columns as X
 from tenderlake.functions.columns import named
+from tenderlake.operators.keys import split_repeated
 from tenderlake.plans.versions import set_path
 from tenderlake.session import PACKED, fine_splits
 
@@ -35,6 +36,8 @@ REPORT = (
     "participante_estrangeiro", "datas_invalidas",
 )
 QUALITY = "relatorio_qualidade"
+# Columns that tell rows apart, of which cleaning touches none but participants' codes.
+TELLING = (C.YEAR_PART, C.MONTH_PART, *C.TENDER_KEY, "Código Item Compra", "Código Participante", "Código Empenho")
 _QUALITY_SCHEMA = ", ".join(["dataset string", *[f"{c} long" for c in REPORT]])
 
 
@@ -50,26 +53,36 @@ def _touched(**repairs: Column) -> dict[str, Column]:
     return {_TOUCHED + name: c.cast("int") for name, c in repairs.items()}
 
 
-def _collapse(df: DataFrame, money: str | None = None) -> DataFrame:
-    """Merge equal rows and add the state, the row count and the repair counts."""
+def _collapse(
+    df: DataFrame, cleaning: dict[str, Column], money: str | None = None, without: Sequence[str] = ()
+) -> DataFrame:
+    """Clean rows, merge equal ones and add the state, the row count and the repair counts.
+
+    Equal rows agree in the ``TELLING`` columns. A row that agrees with no other in these stays where it lies; only the
+    others are shuffled to be compared whole.
+    """
+    split = split_repeated(df, [cleaning.get(c, named(c)) for c in TELLING if c in df.columns])
+    apart, near = (raw.withColumns(cleaning).drop(*without) for raw in split)
     touched = [_TOUCHED + r for r in REPAIRS]
-    content = [c for c in df.columns if c != C.ROW_ORD and c not in touched]
+    content = [named(c) for c in apart.columns if c != C.ROW_ORD and c not in touched]
+    counted = [c for c in touched if c in cleaning]
     state = F.lit(ACCEPTED)
     if money:
         state = F.when(X.is_negative(named(money)), NEGATIVE).otherwise(ACCEPTED)
-    counts = [F.sum(c).alias(c) for c in touched if c in df.columns]
-    absent = {c: F.lit(0).cast("long") for c in touched if c not in df.columns}
-    return (
-        df.groupBy(*[named(c) for c in content])
-        .agg(F.min(C.ROW_ORD).alias(C.ROW_ORD), F.count(F.lit(1)).alias(COPIES), *counts)
-        .withColumns({STATE: state, **absent})
+    absent = {c: F.lit(0).cast("long") for c in touched if c not in cleaning}
+    single = apart.select(
+        *content, C.ROW_ORD, F.lit(1).cast("long").alias(COPIES), *[F.col(c).cast("long").alias(c) for c in counted]
+    )
+    merged = near.groupBy(*content).agg(
+        F.min(C.ROW_ORD).alias(C.ROW_ORD), F.count(F.lit(1)).alias(COPIES), *[F.sum(c).alias(c) for c in counted]
     )
+    return single.unionByName(merged).withColumns({STATE: state, **absent})
 
 
 def mark_tenders(df: DataFrame) -> DataFrame:
     state_code = X.upper_trim(named("UF"))
     opened, decided = named("Data Abertura"), named("Data Resultado Compra")
-    clean = df.withColumns(
+    cleaning = (
         _texts(*C.TENDER_TEXT)
         | {
             "UF": X.null_if_not_in(state_code, C.STATES),
@@ -82,21 +95,18 @@ def mark_tenders(df: DataFrame) -> DataFrame:
             datas_invalidas=_bad_date(opened) + _bad_date(decided),
         )
     )
-    return _collapse(clean, "Valor Licitação")
+    return _collapse(df, cleaning, "Valor Licitação")
 
 
 def mark_items(df: DataFrame) -> DataFrame:
     winner = X.strip(named("Código Vencedor"))
-    clean = df.withColumns(
-        _texts("Descrição", "Nome Vencedor")
-        | {
-            "Valor Item": X.parse_brl(named("Valor Item")),
-            "Quantidade Item": X.parse_number(named("Quantidade Item")),
-            "Código Vencedor": winner,
-        }
-    )
+    cleaning = _texts("Descrição", "Nome Vencedor") | {
+        "Valor Item": X.parse_brl(named("Valor Item")),
+        "Quantidade Item": X.parse_number(named("Quantidade Item")),
+        "Código Vencedor": winner,
+    }
     # What follows from other columns is added after equal rows have met.
-    marked = _collapse(clean, "Valor Item").withColumn(
+    marked = _collapse(df, cleaning, "Valor Item").withColumn(
         "tipo_documento_vencedor", X.classify_winner_doc(named("Código Vencedor"))
     )
     return X.fill_missing_code(marked, "Código Item Compra", C.ROW_ORD, "codigo_item_gerado")
@@ -105,7 +115,7 @@ def mark_items(df: DataFrame) -> DataFrame:
 def mark_bids(df: DataFrame) -> DataFrame:
     code = X.strip(named("Código Participante"))
     foreign = X.is_foreign_code(code)
-    clean = df.withColumns(
+    cleaning = (
         _texts("Nome Participante")
         | {
             "Código Participante": X.repair_participant_code(code),
@@ -116,19 +126,16 @@ def mark_bids(df: DataFrame) -> DataFrame:
             participante_estrangeiro=foreign,
         )
     )
-    return _collapse(clean.drop("Flag Vencedor"))
+    return _collapse(df, cleaning, without=["Flag Vencedor"])
 
 
 def mark_commitments(df: DataFrame) -> DataFrame:
     issued = named("Data Emissão Empenho")
-    clean = df.withColumns(
-        {
-            "Valor Empenho (R$)": X.parse_brl(named("Valor Empenho (R$)")),
-            "Data Emissão Empenho": X.parse_date_br(issued),
-        }
-        | _touched(datas_invalidas=_bad_date(issued))
-    )
-    return _collapse(clean)
+    cleaning = {
+        "Valor Empenho (R$)": X.parse_brl(named("Valor Empenho (R$)")),
+        "Data Emissão Empenho": X.parse_date_br(issued),
+    } | _touched(datas_invalidas=_bad_date(issued))
+    return _collapse(df, cleaning)
 
 
 CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {

@@ -277,3 +277,14 @@ def test_rows_below_every_threshold_of_their_class_are_left_out(spark):
     # statistics by a text are not broadcast: the same rows are flagged, and others are not shuffled
     assert {r.id for r in A.flag_outliers(df, "g", "v", "id").collect()} == above
     assert "_limiar" in A.flag_outliers(df, "g", "v", "id")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_without_a_copy_are_split_off(spark, rows):
+    """Copies, those of missing values too, are all in the rest; hardly any row without a copy is."""
+    df = spark.range(4000).selectExpr("id", "if(id % 1000 = 7, null, cast(id % 3000 as string)) AS a", "cast(id % 2 AS decimal(38,6)) AS b")
+    apart, rest = E.split_repeated(df, [F.col("a"), F.col("b")])
+    seen = {r.id for r in rest.collect()}
+    assert {i for i in range(4000) if i % 3000 < 1000 or i % 1000 == 7} <= seen
+    assert len(seen) < 2010
+    assert sorted(r.id for r in apart.collect()) == [i for i in range(4000) if i not in seen]
+    assert rows(apart.limit(0)) == [] and E.split_repeated(df.limit(0), [F.col("a")])[1].count() == 0

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 from tenderlake import contracts as C
+from tenderlake.operators.keys import split_repeated
 from tenderlake.plans import silver as S
 from tenderlake.plans.versions import replaced_set
 from tenderlake.session import SPLIT_BYTES, fine_splits
@@ -192,3 +193,21 @@ def test_cleaning_reads_fine_splits_and_packs_what_it_writes(spark, tmp_path):
     S.write_silver(S.mark_items(frame(spark, ITEM, {}, {})), str(tmp_path), C.ITEMS)
     files = [p.name for p in (tmp_path / C.ITEMS).glob("part-*")]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+@pytest.mark.parametrize("clean,base,change", [
+    (S.mark_tenders, TENDER, {"Nome UG": "UG Um"}), (S.mark_items, ITEM, {"Descrição": "Caneta azul"}),
+    (S.mark_bids, BID, {"Código Participante": " " + "1" * 14 + " "}), (S.mark_commitments, COMMITMENT, {"Valor Empenho (R$)": "-5,0"}),
+])
+def test_only_rows_that_may_have_copies_are_shuffled(spark, monkeypatch, clean, base, change):
+    """A row and one equal to it after cleaning meet; a row of another tender is kept where it lies, with the same counts."""
+    taken = []
+
+    def split(*args):
+        taken.extend(split_repeated(*args))
+        return taken[-2:]
+
+    monkeypatch.setattr(S, "split_repeated", split)
+    found = clean(frame(spark, base, {}, change, {"Número Licitação": "2"})).orderBy(C.ROW_ORD).collect()
+    assert [(r[C.ROW_ORD], r[S.COPIES], r["Número Licitação"]) for r in found] == [(0, 2, "1"), (2, 1, "2")]
+    assert [df.count() for df in taken] == [1, 2]
